@@ -1,5 +1,5 @@
 """Registered queries over the test tables and the SQL each must agree with."""
 
-from checks import projections, statistics
+from checks import acquisitions, focal, geometry, projections, statistics, timeseries
 
-MODULES = (projections, statistics)
+MODULES = (projections, statistics, acquisitions, focal, geometry, timeseries)

@@ -65,10 +65,10 @@ def _(d):
 
 @query("overview_pyramid", sql(
     "vel", "SELECT k AS level, CAST(floor(row/k) AS INT) AS row, CAST(floor(col/k) AS INT) AS col, "
-    "avg(value) AS value FROM vel CROSS JOIN (VALUES (2),(4),(8),(16)) AS t(k) "
+    "avg(value/sqrt(7)) AS value FROM vel CROSS JOIN (VALUES (2),(4),(8),(16)) AS t(k) "
     "GROUP BY k, floor(row/k), floor(col/k)", "value"))
 def _(d):
-    return C.overview_pyramid(d.vel)
+    return C.overview_pyramid(d.vel.withColumn("value", val() / F.sqrt(F.lit(7))))
 
 
 @query("multilook", sql(

@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -51,11 +52,11 @@ def t_two_sided(t: float, df: float) -> float | None:
     return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([t_two_sided(a, b) for a, b in zip(t, df)], dtype="float64")
 
 
 def t_pvalue(t: Column, df: Column) -> Column:
     """Two-sided p of Student's t.  Apply to report rows only."""
-    return F.nanvl(_t_pvalue(t, df), F.lit(None).cast("double"))
+    return _t_pvalue(t, df)

@@ -67,18 +67,17 @@ def min_gap_times(
     if min_gap_days <= 0:
         return us.select(*by, F.timestamp_micros("us").alias(time))
     gap = min_gap_days * _DAY
-    us = checkpointed(us)
     span = us.groupBy(*by).agg((F.max("us") - F.min("us")).alias("s")).agg(F.max("s")).first()[0]
+    rounds = math.ceil(math.log2((span or 0) / gap + 2))
     jumps = checkpointed(_next_at_distance(us, by, gap, _DAY // 24).where(F.col("next").isNotNull()))
     kept = us.groupBy(*by).agg(F.min("us").alias("us"))
-    for _ in range(math.ceil(math.log2((span or 0) / gap + 2))):
-        kept = checkpointed(
-            kept.union(kept.join(jumps, [*by, "us"]).select(*by, "next")).distinct()
-        )
-        far = jumps.select(*by, F.col("us").alias("next"), F.col("next").alias("_far"))
-        jumps = checkpointed(
-            jumps.join(far, [*by, "next"]).select(*by, "us", F.col("_far").alias("next"))
-        )
+    for left in range(rounds, 0, -1):
+        kept = kept.union(kept.join(jumps, [*by, "us"]).select(*by, "next")).distinct()
+        if left > 1:
+            far = jumps.select(*by, F.col("us").alias("next"), F.col("next").alias("_far"))
+            jumps = checkpointed(
+                jumps.join(far, [*by, "next"]).select(*by, "us", F.col("_far").alias("next"))
+            )
     return kept.select(*by, F.timestamp_micros("us").alias(time))
 
 

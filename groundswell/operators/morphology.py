@@ -71,6 +71,12 @@ def _covered(pieces: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def _sized(runs: DataFrame, by: Sequence[str], size) -> DataFrame:
+    if size is None:
+        raise ValueError("a sparse mask does not know its image size; give (height, width) or extent()")
+    return with_size(runs, by, size)
+
+
 def _shifted(runs: DataFrame, element: list[tuple[int, int]]) -> DataFrame:
     offsets = F.array(*[
         F.struct(F.lit(dy).alias("_dy"), F.lit(half).alias("_half")) for dy, half in element
@@ -84,7 +90,7 @@ def dilate_runs(
     runs: DataFrame, element: list[tuple[int, int]], by: Sequence[str] = (), size=None
 ) -> DataFrame:
     """Dilation; the outside of the image is false."""
-    pieces = _shifted(with_size(runs, by, size), element).select(
+    pieces = _shifted(_sized(runs, by, size), element).select(
         *by, "row",
         F.greatest(F.col("c0") - F.col("_half"), F.lit(0)).alias("c0"),
         F.least(F.col("c1") + F.col("_half"), F.col("_w") - 1).alias("c1"),
@@ -101,7 +107,7 @@ def erode_runs(
         F.least(F.col("row") + reach, F.col("_h") - 1)
         - F.greatest(F.col("row") - reach, F.lit(0)) + 1
     )
-    pieces = _shifted(with_size(runs, by, size), element).select(
+    pieces = _shifted(_sized(runs, by, size), element).select(
         *by, "row", need.alias("_need"),
         F.when(F.col("c0") > 0, F.col("c0") + F.col("_half")).otherwise(0).alias("c0"),
         F.when(F.col("c1") < F.col("_w") - 1, F.col("c1") - F.col("_half"))

@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from groundswell.frames import attach
 from groundswell.operators.geometry import deramp
@@ -69,7 +70,12 @@ def deramp_stack(stack: DataFrame) -> DataFrame:
     return deramp(stack, ["pair_id"], "phase")
 
 
-@F.pandas_udf("array<struct<idx:int,phase:double>>")
+_SERIES = T.ArrayType(
+    T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("phase", T.DoubleType())])
+)
+
+
+@F.pandas_udf(_SERIES)
 def _solve(pairs: pd.Series) -> pd.Series:
     """Date phases (first date 0) of each pixel; pixels with the same pairs share a solve."""
     groups: dict[tuple, list[int]] = {}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from groundswell.config import (
     CanalSettings, FusionSettings, PeatSettings, RiskSettings, WaterSettings,
 )
-from groundswell.frames import attach, val
+from groundswell.frames import attach, extent, val
 from groundswell.functions import scalar as S
 from groundswell.functions.geodesy import Grid
 from groundswell.operators import algebra as A
@@ -55,6 +55,7 @@ def detect_canals(
     vv: DataFrame, settings: CanalSettings = CanalSettings(), by: Sequence[str] = (), size=None,
     tile: int = 512,
 ) -> DataFrame:
+    size = extent(vv, by) if size is None else size
     raw = threshold_canals(vv, settings.percentile, by)
     return canal_cleanup(raw, settings, by, size, tile)
 
@@ -70,6 +71,7 @@ def water_mask(
     canals: DataFrame | None = None, by: Sequence[str] = (), size=None, tile: int = 512,
 ) -> DataFrame:
     """Open water: dark pixels (dB raster preferred), cleaned, canals left out."""
+    size = extent(vv, by) if size is None else size
     raw = (
         A.water_mask_db(vv_db, settings.threshold_db) if vv_db is not None
         else A.water_mask_linear(vv, settings.threshold_db)
@@ -105,6 +107,7 @@ def carbon_loss(
     rate = median_filter(src, 9, by, tile, size).withColumn("value", S.carbon_rate(val()))
     if water is None:
         return rate
+    size = extent(velocity, by) if size is None else size
     wet = M.dilate(water, M.disk(water_buffer), by, size)
     return (
         A.with_mask(rate, wet, "_wet", by).withColumn("value", F.when(~F.col("_wet"), val()))

@@ -15,8 +15,8 @@ def discover_pairs(listing: DataFrame) -> DataFrame:
         listing.select(first.alias("_a"), second.alias("_b")).where(F.col("_a") != "").distinct()
         .select(
             F.concat_ws("_", "_a", "_b").alias("pair_id"),
-            F.to_date("_a", "yyyyMMdd").alias("ref_date"),
-            F.to_date("_b", "yyyyMMdd").alias("sec_date"),
+            F.try_to_date("_a", "yyyyMMdd").alias("ref_date"),
+            F.try_to_date("_b", "yyyyMMdd").alias("sec_date"),
         )
     )
 
