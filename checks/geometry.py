@@ -116,11 +116,12 @@ def _(d):
     "(SELECT a.row, a.col, a.y, a.x, v.value, (CASE dr WHEN 0 THEN 1-(a.y-0.5-floor(a.y-0.5)) ELSE "
     "a.y-0.5-floor(a.y-0.5) END)*(CASE dc WHEN 0 THEN 1-(a.x-0.5-floor(a.x-0.5)) ELSE "
     "a.x-0.5-floor(a.x-0.5) END) AS w FROM at_t a CROSS JOIN (VALUES (0,0),(0,1),(1,0),(1,1)) AS "
-    "k(dr,dc) LEFT JOIN vel v ON v.row=floor(a.y-0.5)+dr AND v.col=floor(a.x-0.5)+dc) GROUP BY row, "
-    "col", "value", at_t=AT))
+    "k(dr,dc) LEFT JOIN src v ON v.row=floor(a.y-0.5)+dr AND v.col=floor(a.x-0.5)+dc) GROUP BY row, "
+    "col", "value", at_t=AT, src="SELECT row, col, value/sqrt(7) AS value FROM vel"))
 def _(d):
     h = _height(d)
-    return G.resample(d.vel, SRC(h), TGT(h), "bilinear")
+    src = d.vel.withColumn("value", val() / F.sqrt(F.lit(7)))
+    return G.resample(src, SRC(h), TGT(h), "bilinear")
 
 
 @query("align_to_reference", sql(

@@ -33,7 +33,7 @@ def inverse_sql() -> str:
 
 SERIES = ("SELECT row, col, idx, sum(k*phase) AS phase FROM {s} JOIN inv USING (pair_id) GROUP BY row, "
           "col, idx UNION ALL SELECT DISTINCT row, col, 0, 0.0 FROM {s}")
-CTE = {"inv": inverse_sql(), "series": SERIES.format(s="r_ifg")}
+CTE = {"inv": inverse_sql(), "series": SERIES.format(s="ifg")}
 
 
 @query("modify_network", sql(
@@ -47,48 +47,48 @@ def _(d):
         "pair_id", "row", "col", "phase", F.col("_keep").alias("coherence"))
 
 
-REF = ("SELECT row, col FROM r_ifg GROUP BY row, col HAVING avg(coherence)>=0.7 ORDER BY "
+REF = ("SELECT row, col FROM ifg GROUP BY row, col HAVING avg(coherence)>=0.7 ORDER BY "
        "avg(coherence) DESC, row, col LIMIT 1")
 
 
 @query("reference_phase", sql(
-    "r_ifg", "SELECT i.pair_id, i.row, i.col, i.phase-r.phase AS phase FROM r_ifg i JOIN (SELECT "
-    "pair_id, phase FROM r_ifg JOIN ref USING (row, col)) r USING (pair_id)", "phase", ref=REF))
+    "ifg", "SELECT i.pair_id, i.row, i.col, i.phase-r.phase AS phase FROM ifg i JOIN (SELECT "
+    "pair_id, phase FROM ifg JOIN ref USING (row, col)) r USING (pair_id)", "phase", ref=REF))
 def _(d):
-    return TS.reference_phase(d.r_ifg).select("pair_id", "row", "col", "phase")
+    return TS.reference_phase(d.ifg).select("pair_id", "row", "col", "phase")
 
 
 @query("apply_delay", sql(
-    "r_ifg", "SELECT pair_id, row, col, phase-(((row+sec_idx*col)%13-(row+ref_idx*col)%13)*0.01) AS "
-    "phase FROM r_ifg", "phase"))
+    "ifg", "SELECT pair_id, row, col, phase-(((row+sec_idx*col)%13-(row+ref_idx*col)%13)*0.01) AS "
+    "phase FROM ifg", "phase"))
 def _(d):
     idx = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("idx")
     delay = d.vel.select("row", "col", idx).select(
         "idx", "row", "col",
         ((F.col("row") + F.col("idx") * F.col("col")) % 13 * 0.01).alias("delay"))
-    return TS.apply_delay(d.r_ifg, delay).select("pair_id", "row", "col", "phase")
+    return TS.apply_delay(d.ifg, delay).select("pair_id", "row", "col", "phase")
 
 
 @query("deramp_stack", sql(
-    "r_ifg", "SELECT i.pair_id, i.row, i.col, i.phase-m+c1*r+c2*c-c1*i.row-c2*i.col AS phase FROM "
-    "r_ifg i JOIN (SELECT pair_id, r, c, m, (cc*rv-rc*cv)/(rr*cc-rc*rc) AS c1, (rr*cv-rc*rv)/(rr*cc-"
+    "ifg", "SELECT i.pair_id, i.row, i.col, i.phase-m+c1*r+c2*c-c1*i.row-c2*i.col AS phase FROM "
+    "ifg i JOIN (SELECT pair_id, r, c, m, (cc*rv-rc*cv)/(rr*cc-rc*rc) AS c1, (rr*cv-rc*rv)/(rr*cc-"
     "rc*rc) AS c2 FROM (SELECT pair_id, avg(row) AS r, avg(col) AS c, avg(phase) AS m, var_pop(row) "
     "AS rr, var_pop(col) AS cc, covar_pop(row,col) AS rc, covar_pop(row,phase) AS rv, "
-    "covar_pop(col,phase) AS cv FROM r_ifg GROUP BY pair_id)) USING (pair_id)", "phase"))
+    "covar_pop(col,phase) AS cv FROM ifg GROUP BY pair_id)) USING (pair_id)", "phase"))
 def _(d):
-    return TS.deramp_stack(d.r_ifg).select("pair_id", "row", "col", "phase")
+    return TS.deramp_stack(d.ifg).select("pair_id", "row", "col", "phase")
 
 
-@query("invert_network", sql("r_ifg", "SELECT row, col, idx, phase FROM series", "phase", **CTE))
+@query("invert_network", sql("ifg", "SELECT row, col, idx, phase FROM series", "phase", **CTE))
 def _(d):
-    return TS.invert_network(d.r_ifg)
+    return TS.invert_network(d.ifg)
 
 
 @query("invert_network_with_gaps")
 def _(d):
     """A third of the pixels lack some pairs; checked against a solve per pixel in the tests."""
     gap = (F.col("row") * 3 + F.col("col")) % 3 == 0
-    return TS.invert_network(d.r_ifg.where(~(gap & (F.col("pair_id") % 4 == F.col("col") % 4))))
+    return TS.invert_network(d.ifg.where(~(gap & (F.col("pair_id") % 4 == F.col("col") % 4))))
 
 
 VEL = ("SELECT row, col, regr_slope(phase, day/365.25) AS velocity, sqrt(greatest(regr_syy(phase, "
@@ -97,21 +97,21 @@ VEL = ("SELECT row, col, regr_slope(phase, day/365.25) AS velocity, sqrt(greates
        "row, col")
 
 
-@query("timeseries_velocity", sql("r_ifg v_days", VEL, "velocity velocity_std", **CTE))
+@query("timeseries_velocity", sql("ifg v_days", VEL, "velocity velocity_std", **CTE))
 def _(d):
-    return TS.timeseries_velocity(TS.invert_network(d.r_ifg), d.v_days)
+    return TS.timeseries_velocity(TS.invert_network(d.ifg), d.v_days)
 
 
-RESID = ("SELECT i.row, i.col, i.phase-(b.phase-a.phase) AS residual FROM r_ifg i JOIN series a ON "
+RESID = ("SELECT i.row, i.col, i.phase-(b.phase-a.phase) AS residual FROM ifg i JOIN series a ON "
          "a.row=i.row AND a.col=i.col AND a.idx=i.ref_idx JOIN series b ON b.row=i.row AND b.col=i.col "
          "AND b.idx=i.sec_idx")
 
 
 @query("temporal_coherence", sql(
-    "r_ifg", "SELECT row, col, sqrt(pow(avg(cos(residual)),2)+pow(avg(sin(residual)),2)) AS value "
+    "ifg", "SELECT row, col, sqrt(pow(avg(cos(residual)),2)+pow(avg(sin(residual)),2)) AS value "
     "FROM resid GROUP BY row, col", "value", **CTE, resid=RESID))
 def _(d):
-    return TS.temporal_coherence(d.r_ifg, TS.invert_network(d.r_ifg))
+    return TS.temporal_coherence(d.ifg, TS.invert_network(d.ifg))
 
 
 RMS = ("SELECT idx, sqrt(avg(pow(s.phase-a-b*day/365.25,2))) AS rms FROM series s JOIN v_days USING "
@@ -120,33 +120,33 @@ RMS = ("SELECT idx, sqrt(avg(pow(s.phase-a-b*day/365.25,2))) AS rms FROM series
        "l.col=s.col GROUP BY idx")
 
 
-@query("date_residual_rms", sql("r_ifg v_days", RMS, "rms", **CTE))
+@query("date_residual_rms", sql("ifg v_days", RMS, "rms", **CTE))
 def _(d):
-    return TS.date_residual_rms(TS.invert_network(d.r_ifg), d.v_days)
+    return TS.date_residual_rms(TS.invert_network(d.ifg), d.v_days)
 
 
-@query("reference_date", sql("r_ifg v_days", "SELECT idx, rms FROM rms ORDER BY rms, idx LIMIT 1",
+@query("reference_date", sql("ifg v_days", "SELECT idx, rms FROM rms ORDER BY rms, idx LIMIT 1",
                              "rms", **CTE, rms=RMS))
 def _(d):
-    return TS.reference_date(TS.date_residual_rms(TS.invert_network(d.r_ifg), d.v_days))
+    return TS.reference_date(TS.date_residual_rms(TS.invert_network(d.ifg), d.v_days))
 
 
 @query("stacked_velocity", sql(
-    "r_ifg", "SELECT row, col, sum(phase*dt_days)/sum(dt_days*dt_days) AS value FROM r_ifg GROUP BY "
+    "ifg", "SELECT row, col, sum(phase*dt_days)/sum(dt_days*dt_days) AS value FROM ifg GROUP BY "
     "row, col", "value"))
 def _(d):
-    return TS.stacked_velocity(d.r_ifg)
+    return TS.stacked_velocity(d.ifg)
 
 
 @query("export_velocity", sql(
-    "r_ifg v_days coh", "SELECT row-2 AS row, col-10 AS col, CASE WHEN c<0.5 THEN NULL ELSE "
+    "ifg v_days coh", "SELECT row-2 AS row, col-10 AS col, CASE WHEN c<0.5 THEN NULL ELSE "
     "greatest(least(velocity/40/cos(radians(37))*1000,200.0),-200.0) END AS value, CASE WHEN c<0.5 "
     "THEN NULL ELSE velocity_std/40*1000 END AS std FROM (SELECT v.*, coh.value AS c FROM vel_t v "
     "LEFT JOIN coh ON coh.row=v.row AND coh.col=v.col) WHERE row>=2 AND row<60 AND col>=10 AND col<85",
     "value std", **CTE, vel_t=VEL))
 def _(d):
     """Clamp, clip to the buffered area, then mask by coherence."""
-    v = TS.timeseries_velocity(TS.invert_network(d.r_ifg), d.v_days, 1 / 40)
+    v = TS.timeseries_velocity(TS.invert_network(d.ifg), d.v_days, 1 / 40)
     grid = Grid(120, 125, 0.01, 0.0, 100.0, 0.0, -0.01, 0.0)
     out = FL.export_velocity(v, d.coh, Settings(), grid, (100.1205, -0.4905, 100.7405, -0.1205))
     return out["subsidence_velocity"].join(
@@ -235,7 +235,7 @@ def _(d):
 @query("timeseries_flow")
 def _(d):
     """Network to exported velocity; steps are checked one by one elsewhere."""
-    return FL.timeseries_flow(d.r_ifg, d.v_days)["subsidence_velocity"]
+    return FL.timeseries_flow(d.ifg, d.v_days)["subsidence_velocity"]
 
 
 @query("fuse_flow", sql(

@@ -39,6 +39,8 @@ VIEWS = {
     "v_pairs": "SELECT * FROM (VALUES (1,0,1,12),(2,1,2,12),(3,2,3,24),(4,3,4,12),(5,0,2,24),(6,1,3,36),(7,2,4,36)) AS t(pair_id,ref_idx,sec_idx,dt_days)",
     "v_days": "SELECT * FROM (VALUES (0,0),(1,12),(2,24),(3,48),(4,60)) AS t(idx,day)",
     "r_ifg": "SELECT p.pair_id, p.ref_idx, p.sec_idx, p.dt_days, v.row, v.col, v.value*p.dt_days*CAST(0.001 AS DOUBLE)+CAST((v.row*7+v.col*3+p.pair_id)%11 AS DOUBLE)*CAST(0.01 AS DOUBLE) AS phase, c.value AS coherence FROM r_velocity v CROSS JOIN v_pairs p LEFT JOIN r_coherence c ON v.row=c.row AND v.col=c.col WHERE v.value<>-9999",
+    # Phases over an irrational: no sum lies half way between two digits.
+    "ifg": "SELECT pair_id, ref_idx, sec_idx, dt_days, row, col, phase/sqrt(7) AS phase, coherence FROM r_ifg",
     "v_lut": "SELECT l.line, x.pixel, CAST(100+l.line+2*x.pixel+(l.line*x.pixel)%7 AS DOUBLE) AS value FROM (VALUES (0),(40),(80),(110)) AS l(line) CROSS JOIN (VALUES (0),(30),(60),(90),(120)) AS x(pixel)",
     # Shapes that grow with the tables: one quadrilateral per supplier, one way per customer.
     "v_rings": "SELECT CAST(s_suppkey AS INT) AS feature_id, CAST(k AS INT) AS seq, CAST((s_suppkey*13)%97 AS DOUBLE)+0.2+CASE k WHEN 0 THEN 0.13 WHEN 1 THEN 17.21 WHEN 2 THEN 9.37 ELSE 3.41 END AS x, CAST((s_suppkey*7)%101 AS DOUBLE)+0.31+CASE k WHEN 0 THEN 0.03 WHEN 1 THEN 4.17 WHEN 2 THEN 5.21 ELSE 12.34 END AS y FROM supplier CROSS JOIN (VALUES (0),(1),(2),(3)) AS t(k)",
@@ -99,7 +101,10 @@ class Data:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
-        """A view as a DataFrame: its SQL is only a projection of one or two tables."""
+        """A view as a DataFrame.  Most are projections of one table and run as SQL; those
+        with a short fixed list inside spread it with ``inline`` instead of a cross join."""
+        if name in ("r_ifg", "ifg", "v_rings", "v_ways"):
+            return getattr(self, f"_{name}")()
         prefix = f"gs_{abs(hash(self.folder)) % 10**8}_"
         text = f"{with_views(name)} SELECT * FROM {name}"
         for t in TABLES:
@@ -108,6 +113,44 @@ class Data:
                 text = re.sub(rf"(FROM|JOIN)\s+{t}\b", rf"\1 {prefix}{t}", text)
         return self.spark.sql(text)
 
+    def _r_ifg(self) -> DataFrame:
+        links = [(1, 0, 1, 12), (2, 1, 2, 12), (3, 2, 3, 24), (4, 3, 4, 12), (5, 0, 2, 24),
+                 (6, 1, 3, 36), (7, 2, 4, 36)]
+        names = ("pair_id", "ref_idx", "sec_idx", "dt_days")
+        pairs = F.inline(F.array(*[
+            F.struct(*[F.lit(x).alias(n) for n, x in zip(names, link)]) for link in links]))
+        coherence = self.coh.withColumnRenamed("value", "coherence")
+        at = self.vel.where("value IS NOT NULL").join(coherence, ["row", "col"], "left")
+        noise = (F.col("row") * 7 + F.col("col") * 3 + F.col("pair_id")) % 11
+        return at.select("row", "col", "value", "coherence", pairs).select(
+            *names, "row", "col",
+            (F.col("value") * F.col("dt_days") * 0.001 + noise.cast("double") * 0.01).alias("phase"),
+            "coherence")
+
+    def _ifg(self) -> DataFrame:
+        return self._r_ifg().withColumn("phase", F.col("phase") / F.sqrt(F.lit(7)))
+
+    def _v_rings(self) -> DataFrame:
+        k = F.col("s_suppkey")
+        corners = [(0.13, 0.03), (17.21, 4.17), (9.37, 5.21), (3.41, 12.34)]
+        x, y = (k * 13 % 97).cast("double") + 0.2, (k * 7 % 101).cast("double") + 0.31
+        ring = F.inline(F.array(*[
+            F.struct(F.lit(i).alias("seq"), (x + a).alias("x"), (y + b).alias("y"))
+            for i, (a, b) in enumerate(corners)]))
+        return self.table("supplier").select(k.cast("int").alias("feature_id"), ring)
+
+    def _v_ways(self) -> DataFrame:
+        k = F.col("c_custkey")
+        kind = (F.when(k % 4 == 0, "river").when(k % 4 == 1, "canal").when(k % 4 == 2, "drain")
+                .otherwise("ditch"))
+        x, y = (k * 37 % 111).cast("double") + 0.37, (k * 59 % 113).cast("double") + 0.21
+        nodes = F.inline(F.array(*[
+            F.struct(F.lit(i).alias("seq"), (x + (k % 9).cast("double") * i * 0.83).alias("x"),
+                     (y + (k * 5 % 7).cast("double") * i * 0.71).alias("y")) for i in range(3)]))
+        return self.table("customer").select(
+            k.cast("int").alias("way_id"), kind.alias("waterway"), k, nodes
+        ).where((F.col("seq") == 0) | (F.col("c_custkey") % 5 != 0)).drop("c_custkey")
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in VIEWS:
             return self.view(name)

@@ -98,19 +98,23 @@ def label_runs(
             "c1": F.least("c1", F.col("_tc") * tile + (tile - 1)),
         })
     )
-    schema = T.StructType([*cut.schema.fields, T.StructField("_first", T.StringType())])
+    lead_fields = [T.StructField(n, T.LongType()) for n in ("_lead_row", "_lead_c0")]
+    schema = T.StructType([*cut.schema.fields, *lead_fields])
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["row", "c0"], ignore_index=True)
         row, c0, c1 = (pdf[c].to_numpy(np.int64) for c in ("row", "c0", "c1"))
         lead = _run_labels(row, c0, c1)
-        pdf["_first"] = [f"{r}.{c}" for r, c in zip(row[lead], c0[lead])]
+        pdf["_lead_row"], pdf["_lead_c0"] = row[lead], c0[lead]
         return pdf
 
     tiles = cut.groupBy(*by, "_tr", "_tc").applyInPandas(local, schema)
     parts = checkpointed(
-        tiles.withColumn("_part", F.concat_ws("/", *[F.col(k).cast("string") for k in by], "_first"))
-        .drop("_first", "_tr", "_tc")
+        tiles.select(
+            *by, "row", "c0", "c1",
+            F.concat_ws("/", *[F.col(k).cast("string") for k in [*by, "_lead_row", "_lead_c0"]])
+            .alias("_part"),
+        )
     )
     # Neighbours across seams: a run at a tile's last column and the next run, and
     # overlapping runs of the two rows that meet at a tile's last row.
