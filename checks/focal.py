@@ -249,7 +249,7 @@ def _(d):
 @query("ridge_mask")
 def _(d):
     """Dark-line strength on halo tiles; checked against a whole-image filter in the tests."""
-    return FO.ridge_mask(d.vv, tile=64)
+    return FO.ridge_mask(d.vv)
 
 
 @query("goldstein")

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from groundswell.session import configure
+
 TABLES = ("orders", "lineitem", "events", "customer", "supplier", "part", "documents", "pages")
 
 _RC = "CAST(floor({k}/125) AS INT) AS row, CAST({k}%125 AS INT) AS col"
@@ -95,7 +97,7 @@ class Data:
     """The tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = configure(spark), folder
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -103,7 +105,7 @@ class Data:
     def view(self, name: str) -> DataFrame:
         """A view as a DataFrame.  Most are projections of one table and run as SQL; those
         with a short fixed list inside spread it with ``inline`` instead of a cross join."""
-        if name in ("r_ifg", "ifg", "v_rings", "v_ways"):
+        if name in ("r_ifg", "ifg", "v_rings", "v_ways", "v_lut"):
             return getattr(self, f"_{name}")()
         prefix = f"gs_{abs(hash(self.folder)) % 10**8}_"
         text = f"{with_views(name)} SELECT * FROM {name}"
@@ -130,6 +132,13 @@ class Data:
     def _ifg(self) -> DataFrame:
         return self._r_ifg().withColumn("phase", F.col("phase") / F.sqrt(F.lit(7)))
 
+    def _v_lut(self) -> DataFrame:
+        nodes = F.inline(F.array(*[
+            F.struct(F.lit(a).alias("line"), F.lit(p).alias("pixel"),
+                     F.lit(float(100 + a + 2 * p + (a * p) % 7)).alias("value"))
+            for a in (0, 40, 80, 110) for p in (0, 30, 60, 90, 120)]))
+        return self.spark.range(1).select(nodes)
+
     def _v_rings(self) -> DataFrame:
         k = F.col("s_suppkey")
         corners = [(0.13, 0.03), (17.21, 4.17), (9.37, 5.21), (3.41, 12.34)]

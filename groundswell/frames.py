@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,7 +75,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts lineage and survives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialized(df: DataFrame) -> DataFrame:
+    """The frame written once to a table in the checkpoint folder and read back.
+
+    Cuts lineage, survives lost executors, runs the plan once (a plain ``checkpoint``
+    runs its last stage twice) and gives later joins a measured size.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

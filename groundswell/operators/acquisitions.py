@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundswell.frames import checkpointed
+from groundswell.frames import materialized
 
 _DAY = 86400 * 1_000_000
 
@@ -69,13 +69,13 @@ def min_gap_times(
     gap = min_gap_days * _DAY
     span = us.groupBy(*by).agg((F.max("us") - F.min("us")).alias("s")).agg(F.max("s")).first()[0]
     rounds = math.ceil(math.log2((span or 0) / gap + 2))
-    jumps = checkpointed(_next_at_distance(us, by, gap, _DAY // 24).where(F.col("next").isNotNull()))
+    jumps = materialized(_next_at_distance(us, by, gap, _DAY // 24).where(F.col("next").isNotNull()))
     kept = us.groupBy(*by).agg(F.min("us").alias("us"))
     for left in range(rounds, 0, -1):
         kept = kept.union(kept.join(jumps, [*by, "us"]).select(*by, "next")).distinct()
         if left > 1:
             far = jumps.select(*by, F.col("us").alias("next"), F.col("next").alias("_far"))
-            jumps = checkpointed(
+            jumps = materialized(
                 jumps.join(far, [*by, "next"]).select(*by, "us", F.col("_far").alias("next"))
             )
     return kept.select(*by, F.timestamp_micros("us").alias(time))
@@ -172,11 +172,13 @@ def orbit_cover(
     )
     t = F.col("start_time").cast("timestamp")
     asked = scenes.select(*on, "scene_id", t.alias("start_time"), F.to_date(t).alias("_day"))
-    found = asked.join(by_day, [*on, "_day"]).where(
-        (F.col("valid_from") <= F.col("start_time")) & (F.col("start_time") <= F.col("valid_to"))
-    ).groupBy("scene_id").agg(
-        F.min(F.struct("_rank", "name", "kind")).alias("_best")
+    same = [asked[k] == by_day[k] for k in [*on, "_day"]]
+    covers = (by_day["valid_from"] <= asked["start_time"]) & (
+        asked["start_time"] <= by_day["valid_to"]
     )
-    return scenes.select("scene_id").join(found, "scene_id", "left").select(
+    for c in same:
+        covers = covers & c
+    best = F.min(F.when(F.col("name").isNotNull(), F.struct("_rank", "name", "kind")))
+    return asked.join(by_day, covers, "left").groupBy("scene_id").agg(best.alias("_best")).select(
         "scene_id", F.col("_best.kind").alias("orbit_kind"), F.col("_best.name").alias("orbit_name")
     )

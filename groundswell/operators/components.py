@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundswell.frames import checkpointed
+from groundswell.frames import materialized
 from groundswell.operators.morphology import to_pixels, to_runs
 
 
@@ -53,7 +53,7 @@ def _run_labels(row: np.ndarray, c0: np.ndarray, c1: np.ndarray) -> np.ndarray:
 
 def _spread(edges: DataFrame) -> DataFrame:
     """Smallest node id reachable from each node of ``edges(a, b)``."""
-    both = checkpointed(edges.union(edges.select("b", "a")).distinct())
+    both = materialized(edges.union(edges.select("b", "a")).distinct())
     labels = both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node"))
     while True:
         near = (
@@ -71,7 +71,7 @@ def _spread(edges: DataFrame) -> DataFrame:
             "node", "old", F.least("label", F.coalesce("hook", "label")).alias("label")
         )
         jump = seen.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        nxt = checkpointed(
+        nxt = materialized(
             seen.join(jump, "label", "left").select(
                 "node", "old", F.coalesce("up", "label").alias("label")
             )
@@ -109,7 +109,7 @@ def label_runs(
         return pdf
 
     tiles = cut.groupBy(*by, "_tr", "_tc").applyInPandas(local, schema)
-    parts = checkpointed(
+    parts = materialized(
         tiles.select(
             *by, "row", "c0", "c1",
             F.concat_ws("/", *[F.col(k).cast("string") for k in [*by, "_lead_row", "_lead_c0"]])

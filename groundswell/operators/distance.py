@@ -3,7 +3,7 @@
 Separable: first the nearest mask pixel above and below in each column (two
 windows over one shuffle), then per image row the lower envelope of parabolas.
 Nothing crosses from row to row in the second pass, so there is no halo and no
-limit on the distance.  A task holds a few whole image rows.
+limit on the distance.  A task holds ``strip_rows`` whole image rows.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_ROWS = 32
-
 
 def lower_envelope(f: np.ndarray, step: float) -> np.ndarray:
     """min over j of (step*(i-j))**2 + f[:, j], for every i, all rows of ``f`` at once."""
@@ -53,7 +51,7 @@ def lower_envelope(f: np.ndarray, step: float) -> np.ndarray:
 
 def distance_map(
     pixels: DataFrame, mask: DataFrame, size_x: float = 1.0, size_y: float | None = None,
-    by: Sequence[str] = (),
+    by: Sequence[str] = (), strip_rows: int = 16,
 ) -> DataFrame:
     """Distance per pixel of ``pixels`` to the sparse ``mask``; NULL when the mask is empty.
 
@@ -75,7 +73,7 @@ def distance_map(
         pixels.select(*keys).join(hit, keys, "left")
         .withColumn("_above", above).withColumn("_below", below)
         .select(*keys, gap.cast("double").alias("_gap"),
-                F.floor(F.col("row") / _ROWS).cast("int").alias("_strip"))
+                F.floor(F.col("row") / strip_rows).cast("int").alias("_strip"))
     )
     schema = T.StructType([
         *[vertical.schema[k] for k in keys], T.StructField("distance", T.DoubleType())

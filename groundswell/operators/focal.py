@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundswell.frames import attach, val, with_size
+from groundswell.frames import attach, materialized, val, with_size
 from groundswell.operators.quantiles import exact_median, exact_percentiles
 
 
@@ -255,7 +255,7 @@ def ridge_mask(
     by: Sequence[str] = (), tile: int = 256, dims=None,
 ) -> DataFrame:
     """Pixels whose ridge strength reaches the percentile of the positive strengths."""
-    ridge = ridge_map(df, sigmas, by, tile, dims)
+    ridge = materialized(ridge_map(df, sigmas, by, tile, dims))
     cut = exact_percentiles(
         ridge, F.when(F.col("ridge") > 0, F.col("ridge")), [percentile / 100], by, ["_cut"]
     )

@@ -214,7 +214,8 @@ def cohort_stats(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.stddev_pop(val()).alias("std_velocity"),
     ).join(exact_median(rows, val(), keys, "median_velocity"), keys, "left")
     names = F.explode(F.array(*[F.lit(n) for n, _, _ in CLEARING_COHORTS])).alias("cohort")
-    every = df.groupBy(*by).agg(F.count("*").alias("_any")).select(*by, names)
+    rasters = df.select(*by).distinct() if by else df.sparkSession.range(1)
+    every = rasters.select(*by, names)
     return every.join(stats, keys, "left").withColumn(
         "n_pixels", F.coalesce("n_pixels", F.lit(0).cast("bigint"))
     )

@@ -6,15 +6,12 @@ pair and pixel; ``dates(idx, day)`` gives each acquisition's day number.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundswell.frames import attach
 from groundswell.operators.geometry import deramp
 
 PIXEL = ["row", "col"]
@@ -70,34 +67,27 @@ def deramp_stack(stack: DataFrame) -> DataFrame:
     return deramp(stack, ["pair_id"], "phase")
 
 
-_SERIES = T.ArrayType(
-    T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("phase", T.DoubleType())])
-)
-
-
-@F.pandas_udf(_SERIES)
-def _solve(pairs: pd.Series) -> pd.Series:
-    """Date phases (first date 0) of each pixel; pixels with the same pairs share a solve."""
-    groups: dict[tuple, list[int]] = {}
-    phases = []
-    for i, rows in enumerate(pairs):
-        rows = sorted(rows, key=lambda p: p["pair_id"])
-        groups.setdefault(tuple((p["ref_idx"], p["sec_idx"]) for p in rows), []).append(i)
-        phases.append([p["phase"] for p in rows])
-    out: list = [None] * len(phases)
-    for network, members in groups.items():
-        days = sorted({d for pair in network for d in pair})
-        place = {d: k for k, d in enumerate(days)}
-        design = np.zeros((len(network), len(days)))
-        for k, (a, b) in enumerate(network):
-            design[k, place[b]] += 1.0
-            design[k, place[a]] -= 1.0
-        inverse = np.linalg.pinv(design[:, 1:])
-        solved = np.array([phases[i] for i in members]) @ inverse.T
-        for i, x in zip(members, solved):
-            out[i] = [
-                {"idx": d, "phase": float(v)} for d, v in zip(days, np.concatenate([[0.0], x]))
-            ]
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _solve(refs: pd.Series, secs: pd.Series, phases: pd.Series) -> pd.Series:
+    """Least-squares phase per date of each pixel, first date 0, dates in ascending order.
+
+    Pixels of a batch with the same pairs share one pseudo-inverse and one product.
+    """
+    networks = [(np.asarray(r).tobytes(), np.asarray(s).tobytes()) for r, s in zip(refs, secs)]
+    codes, _ = pd.factorize(pd.Series(networks))
+    out = np.empty(len(refs), dtype=object)
+    for code in range(codes.max() + 1 if len(codes) else 0):
+        members = np.flatnonzero(codes == code)
+        a, b = np.asarray(refs.iloc[members[0]]), np.asarray(secs.iloc[members[0]])
+        days, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        design = np.zeros((len(a), len(days)))
+        rows = np.arange(len(a))
+        np.add.at(design, (rows, place[len(a) :]), 1.0)
+        np.add.at(design, (rows, place[: len(a)]), -1.0)
+        solved = np.stack(phases.iloc[members].to_numpy()) @ np.linalg.pinv(design[:, 1:]).T
+        full = np.hstack([np.zeros((len(members), 1)), solved])
+        for i, x in zip(members, full):
+            out[i] = x
     return pd.Series(out)
 
 
@@ -109,11 +99,15 @@ def invert_network(stack: DataFrame) -> DataFrame:
     """
     pair = F.struct("pair_id", F.col("ref_idx").cast("int").alias("ref_idx"),
                     F.col("sec_idx").cast("int").alias("sec_idx"), "phase")
-    return (
+    pixels = (
         stack.where(F.col("phase").isNotNull())
-        .groupBy(*PIXEL).agg(F.collect_list(pair).alias("_p"))
-        .select(*PIXEL, F.inline(_solve("_p")))
+        .groupBy(*PIXEL).agg(F.array_sort(F.collect_list(pair)).alias("_p"))
+        .select(*PIXEL, F.col("_p.ref_idx").alias("_r"), F.col("_p.sec_idx").alias("_s"),
+                F.col("_p.phase").alias("_f"))
     )
+    days = F.array_sort(F.array_distinct(F.concat("_r", "_s")))
+    solved = pixels.select(*PIXEL, days.alias("idx"), _solve("_r", "_s", "_f").alias("phase"))
+    return solved.select(*PIXEL, F.inline(F.arrays_zip("idx", "phase")))
 
 
 def timeseries_velocity(series: DataFrame, dates: DataFrame, to_value: float = 1.0) -> DataFrame:
@@ -130,14 +124,17 @@ def timeseries_velocity(series: DataFrame, dates: DataFrame, to_value: float = 1
 
 
 def residuals(stack: DataFrame, series: DataFrame) -> DataFrame:
-    """Observed minus modelled phase per pair and pixel."""
-    ref = series.select(F.col("idx").alias("ref_idx"), *PIXEL, F.col("phase").alias("_pr"))
-    sec = series.select(F.col("idx").alias("sec_idx"), *PIXEL, F.col("phase").alias("_ps"))
-    return (
-        stack.join(ref, ["ref_idx", *PIXEL]).join(sec, ["sec_idx", *PIXEL])
-        .withColumn("residual", F.col("phase") - (F.col("_ps") - F.col("_pr")))
-        .drop("_pr", "_ps")
+    """Observed minus modelled phase per pair and pixel.
+
+    A pixel's dates become one small map, so stack and series meet once, by pixel.
+    """
+    by_pixel = series.groupBy(*PIXEL).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("idx").cast("int"), "phase"))).alias("_m")
     )
+    model = F.element_at("_m", F.col("sec_idx").cast("int")) - F.element_at(
+        "_m", F.col("ref_idx").cast("int")
+    )
+    return stack.join(by_pixel, PIXEL).withColumn("residual", F.col("phase") - model).drop("_m")
 
 
 def temporal_coherence(stack: DataFrame, series: DataFrame) -> DataFrame:
@@ -149,11 +146,13 @@ def temporal_coherence(stack: DataFrame, series: DataFrame) -> DataFrame:
 def date_residual_rms(series: DataFrame, dates: DataFrame) -> DataFrame:
     """RMS over pixels of each date's departure from the pixel's straight line."""
     joined = series.join(dates.select("idx", (F.col("day") / 365.25).alias("_yr")), "idx")
-    line = joined.groupBy(*PIXEL).agg(
-        F.regr_slope("phase", "_yr").alias("_b"), F.regr_intercept("phase", "_yr").alias("_a")
-    )
+    pixel = Window.partitionBy(*PIXEL)
+    fit = joined.withColumns({
+        "_b": F.regr_slope("phase", "_yr").over(pixel),
+        "_a": F.regr_intercept("phase", "_yr").over(pixel),
+    })
     r = F.col("phase") - F.col("_a") - F.col("_b") * F.col("_yr")
-    return joined.join(line, PIXEL).groupBy("idx").agg(F.sqrt(F.avg(r * r)).alias("rms"))
+    return fit.groupBy("idx").agg(F.sqrt(F.avg(r * r)).alias("rms"))
 
 
 def reference_date(rms: DataFrame) -> DataFrame:

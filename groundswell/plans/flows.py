@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundswell.config import Settings
-from groundswell.frames import checkpointed, val
+from groundswell.frames import materialized, val
 from groundswell.functions import scalar as S
 from groundswell.functions.geodesy import Grid
 from groundswell.operators import acquisitions as Q
@@ -53,8 +53,8 @@ def timeseries_flow(
     ts = settings.timeseries
     net = TS.modify_network(stack, ts.min_pair_coherence)
     net = TS.reference_phase(net, reference, ts.reference_min_coherence)
-    net = TS.deramp_stack(TS.apply_delay(net, delay))
-    series = TS.invert_network(net)
+    net = materialized(TS.deramp_stack(TS.apply_delay(net, delay)))
+    series = materialized(TS.invert_network(net))
     metres = settings.sensor.wavelength_m / (4 * 3.141592653589793)
     velocity = TS.timeseries_velocity(series, dates, metres)
     coherence = TS.temporal_coherence(net, series)
@@ -100,29 +100,29 @@ def analysis_flow(
     """All analysis products of one area on one grid.
 
     Inputs left out skip the products that need them; velocity is calibrated and
-    classified in every case.  Layers that several products read are checkpointed, so
+    classified in every case.  Layers that several products read are materialized, so
     each is computed once.
     """
     spark = velocity.sparkSession
     out: dict[str, DataFrame] = {}
     canals = distance = water = None
     if vv is not None:
-        canals = checkpointed(P.detect_canals(vv, settings.canals, size=size, tile=settings.tile))
-        distance = checkpointed(P.canal_distance(vv, canals, grid))
+        canals = materialized(P.detect_canals(vv, settings.canals, size=size, tile=settings.tile))
+        distance = materialized(P.canal_distance(vv, canals, grid))
         out["canal_mask"], out["canal_distance"] = canals, distance
-        water = checkpointed(
+        water = materialized(
             P.water_mask(vv, settings.water, vv_db, canals, size=size, tile=settings.tile)
         )
         out["water_mask"] = water
 
-    velocity = checkpointed(A.calibrate_velocity(velocity, coherence))
+    velocity = materialized(A.calibrate_velocity(velocity, coherence))
     out["calibrated_velocity"] = velocity
     out["subsidence_class"] = A.classify(velocity, water, edges=settings.classes)
 
     peat = None
     if peat_polygons is not None and grid is not None:
         made = P.peat_products(velocity, peat_polygons, grid, settings.peat)
-        made["peat_extent_binary"] = checkpointed(made["peat_extent_binary"])
+        made["peat_extent_binary"] = materialized(made["peat_extent_binary"])
         out.update(made)
         peat = made["peat_extent_binary"]
     if forest is not None:
@@ -131,7 +131,7 @@ def analysis_flow(
 
     risk = None
     if distance is not None:
-        risk = checkpointed(P.risk_map(velocity, distance, water, settings.risk, size=size))
+        risk = materialized(P.risk_map(velocity, distance, water, settings.risk, size=size))
         out["canal_risk"] = risk
         if peat is not None:
             out["peat_risk"] = A.peat_weighted_risk(risk, out["peat_extent"])

@@ -11,10 +11,10 @@ def sync_plan(remote: DataFrame, local: DataFrame, suffix: str | None = None) ->
     r = remote.select("name", F.col("size").alias("_rs"))
     if suffix is not None:
         r = r.where(F.col("name").endswith(suffix))
-    present = local.select("name", F.col("size").alias("_ls"))
+    present = local.select(F.col("name").alias("_ln"), F.col("size").alias("_ls"))
     same = (F.col("_rs") == F.col("_ls")) | F.col("_rs").isNull()
-    have = r.join(present, "name").where(same).select("name").distinct()
-    return r.join(have, "name", "left_anti").select("name", F.col("_rs").alias("size"))
+    todo = r.join(present, (F.col("name") == F.col("_ln")) & same, "left_anti")
+    return todo.select("name", F.col("_rs").alias("size"))
 
 
 def file_checksums(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
