@@ -166,11 +166,11 @@ def _(d):
 
 @query("product_inventory", sql(
     "", "SELECT p_name || CAST(p_partkey AS VARCHAR) AS name, p_brand AS path, count(*) OVER () AS "
-    "product_count FROM part WHERE p_size%2=0"))
+    "product_count FROM part WHERE p_size>10"))
 def _(d):
     p = d.table("part").select(
         F.concat("p_name", F.col("p_partkey").cast("string")).alias("name"),
-        F.col("p_brand").alias("path"), (F.col("p_size") % 2 == 0).alias("present"))
+        F.col("p_brand").alias("path"), (F.col("p_size") > 10).alias("present"))
     return O.product_inventory(p)
 
 
@@ -211,13 +211,13 @@ def _(d):
 
 @query("stack_load", sql(
     "r_ifg", "SELECT p.pair_id, i.row, i.col, i.phase, c.coherence, CAST(NULL AS DOUBLE) AS "
-    "conncomp FROM (SELECT * FROM (VALUES (1),(2),(3),(4),(5),(9)) AS t(pair_id)) p LEFT JOIN "
-    "r_ifg i USING (pair_id) LEFT JOIN (SELECT * FROM r_ifg WHERE (row+col)%3<>0 AND pair_id<>2) c "
+    "conncomp FROM (SELECT DISTINCT pair_id FROM r_ifg UNION SELECT 9) p LEFT JOIN r_ifg i USING "
+    "(pair_id) LEFT JOIN (SELECT * FROM r_ifg WHERE coherence>0.1 AND pair_id<>2) c "
     "ON c.pair_id=i.pair_id AND c.row=i.row AND c.col=i.col"), digits=None)
 def _(d):
     layer = lambda n, src: src.select("pair_id", "row", "col", F.col(n).alias("value"))
-    coh = d.r_ifg.where("(row+col)%3<>0 AND pair_id<>2")
-    pairs = d.r_ifg.select("pair_id").distinct().where("pair_id<=5").union(
+    coh = d.r_ifg.where("coherence>0.1 AND pair_id<>2")  # pair 2 has no coherence file
+    pairs = d.r_ifg.select("pair_id").distinct().union(  # pair 9 has no files at all
         d.spark.range(9, 10).select(F.col("id").cast("int")))
     return SK.load_stack(pairs, layer("phase", d.r_ifg), layer("coherence", coh))
 
@@ -235,11 +235,11 @@ def _(d):
 COLS = "scene_id, platform, acquisition_date, processing_level, relative_orbit, download_status"
 CUR = ("SELECT CAST(event_id AS VARCHAR) AS scene_id, 'S1A' AS platform, CAST(ts AS DATE) AS "
        "acquisition_date, event_type AS processing_level, CAST(user_id AS INT) AS relative_orbit, "
-       "'completed' AS download_status FROM events WHERE event_id%3=0")
+       "'completed' AS download_status FROM events WHERE event_type='click'")
 
 
 def _catalog(d):
-    return C.conform(_scene_rows(d).where(F.col("event_id") % 3 == 0).withColumn(
+    return C.conform(_scene_rows(d).where(F.col("processing_level") == "click").withColumn(
         "download_status", F.lit("completed")), C.SCENES)
 
 
@@ -253,29 +253,29 @@ def _scene_rows(d):
 
 @query("register_scenes", sql(
     "", f"SELECT {COLS} FROM cur UNION ALL SELECT CAST(event_id AS VARCHAR), 'S1A', CAST(ts AS "
-    "DATE), event_type, CAST(user_id AS INT), 'pending' FROM events WHERE event_id%3<>0 AND "
-    "event_id%2=0", cur=CUR))
+    "DATE), event_type, CAST(user_id AS INT), 'pending' FROM events WHERE event_type<>'click'",
+    cur=CUR))
 def _(d):
-    rows = _scene_rows(d).where(F.col("event_id") % 2 == 0)
+    rows = _scene_rows(d)
     twice = rows.union(rows.withColumn("acquisition_date", F.date_add("acquisition_date", 400)))
     new = C.conform(twice, C.SCENES).drop("download_status")
     return C.register_scenes(_catalog(d), new).select(*COLS.split(", "))
 
 
-EV = ("SELECT CAST(event_id%500*3 AS VARCHAR) AS scene_id, CAST(ts AS TIMESTAMP) AS event_time, CASE "
+EV = ("SELECT CAST(CAST(floor(event_id/4) AS BIGINT) AS VARCHAR) AS scene_id, CAST(ts AS TIMESTAMP) AS event_time, CASE "
       "event_type WHEN 'click' THEN 'downloading' WHEN 'view' THEN 'downloaded' WHEN 'error' THEN "
       "'failed' ELSE 'processing' END AS status, CASE WHEN event_id%4=0 THEN 'p' || CAST(event_id AS "
       "VARCHAR) END AS local_path, CASE WHEN event_id%5=0 THEN CAST(event_id AS BIGINT) END AS "
-      "file_size_bytes FROM events WHERE event_id<4000")
+      "file_size_bytes FROM events")
 
 
 def _events(d):
-    e, k = d.table("events").where("event_id < 4000"), F.col("event_id")
+    e, k = d.table("events"), F.col("event_id")
     status = (F.when(F.col("event_type") == "click", "downloading")
               .when(F.col("event_type") == "view", "downloaded")
               .when(F.col("event_type") == "error", "failed").otherwise("processing"))
     return e.select(
-        (k % 500 * 3).cast("string").alias("scene_id"), F.col("ts").cast("timestamp").alias("event_time"),
+        F.floor(k / 4).cast("string").alias("scene_id"), F.col("ts").cast("timestamp").alias("event_time"),
         status.alias("status"), F.when(k % 4 == 0, F.concat(F.lit("p"), k.cast("string"))).alias("local_path"),
         F.lit(None).cast("string").alias("remote_path"), F.when(k % 5 == 0, k).alias("file_size_bytes"),
         F.lit(None).cast("string").alias("checksum"))
@@ -304,9 +304,9 @@ def _(d):
 
 
 @query("scene_exists", sql(
-    "", "SELECT CAST(event_id AS VARCHAR) AS scene_id FROM events WHERE event_id%6=0"))
+    "", "SELECT CAST(event_id AS VARCHAR) AS scene_id FROM events WHERE event_type='click'"))
 def _(d):
-    ids = _scene_rows(d).where(F.col("event_id") % 2 == 0).select("scene_id")
+    ids = _scene_rows(d).select("scene_id")
     return C.existing(ids, _catalog(d))
 
 
@@ -363,22 +363,31 @@ def _(d):
 
 
 PROD = ("SELECT p_type AS product_type, DATE '2024-01-01' + CAST(p_size%9 AS INT) AS run_date, "
-        "p_name || CAST(p_partkey AS VARCHAR) AS local_path, p_partkey AS load_order FROM part")
+        "'one/' || CAST(p_partkey AS VARCHAR) AS local_path, p_partkey AS load_order FROM part UNION "
+        "ALL SELECT p_type, DATE '2024-01-01' + CAST(p_size%9 AS INT), 'two/' || CAST(p_partkey AS "
+        "VARCHAR), p_partkey+1000000000 FROM part WHERE p_name LIKE 'red%'")
 
 
 def _products(d):
-    new = d.table("part").select(
-        F.col("p_type").alias("product_type"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_size") % 9).cast("int")).alias("run_date"),
-        F.concat("p_name", F.col("p_partkey").cast("string")).alias("local_path"),
-        F.col("p_partkey").alias("load_order"))
-    old, late = new.where("load_order < 700"), new.where("load_order >= 500")
-    conform = lambda x: C.conform(x, C.PRODUCTS).drop("product_id")
-    none = C.conform(new.limit(0), C.PRODUCTS)
-    first = C.register_products(none, conform(old).withColumn("load_order", F.regexp_extract(
-        "local_path", r"(\d+)$", 1).cast("int")))
-    return C.register_products(first, conform(late).withColumn("load_order", F.regexp_extract(
-        "local_path", r"(\d+)$", 1).cast("int")))
+    """The whole table registered once, then its red parts registered again."""
+
+    def load(part, prefix: str, shift: int):
+        rows = part.select(
+            F.col("p_type").alias("product_type"),
+            F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_size") % 9).cast("int"))
+            .alias("run_date"),
+            F.concat(F.lit(prefix), F.col("p_partkey").cast("string")).alias("local_path"),
+            (F.col("p_partkey") + shift).alias("load_order"))
+        return rows.select("*", F.lit(None).cast("string").alias("remote_path"),
+                           F.lit(None).cast("string").alias("crs"),
+                           F.lit(None).cast("string").alias("bounds"),
+                           F.lit(None).cast("timestamp").alias("created_at"))
+
+    part = d.table("part")
+    none = C.conform(part.select(F.lit("x").alias("product_id")).limit(0), C.PRODUCTS)
+    first = C.register_products(none, load(part, "one/", 0))
+    red = part.where(F.col("p_name").startswith("red"))
+    return C.register_products(first, load(red, "two/", 1000000000))
 
 
 REG = ("SELECT product_type || '_' || CAST(run_date AS VARCHAR) AS product_id, product_type, "

@@ -44,22 +44,26 @@ def _(d):
     return C.composite_coverage(d.r_stack)
 
 
+NDVI_BANDS = ("SELECT CAST(floor(l_orderkey/125) AS INT) AS row, CAST(l_orderkey%125 AS INT) AS col, "
+              "l_linenumber AS scene_id, l_extendedprice/10 AS nir, l_quantity*150 AS red FROM lineitem")
+
+
 @query("ndvi_composite", sql(
-    "r_bands", "SELECT row, col, median(CASE WHEN nir+red>0 THEN (nir-red)/(nir+red) END) AS value "
-    "FROM (SELECT row, col, s.scene_id, CAST((nir*(7+s.scene_id))%10000 AS DOUBLE) AS nir, "
-    "CAST((red*(11+s.scene_id))%10000 AS DOUBLE) AS red FROM r_bands CROSS JOIN scenes s) "
-    "GROUP BY row, col", "value",
-    scenes="SELECT event_id AS scene_id FROM events WHERE event_id<60 AND (event_id*37)%100<30 "
-           "ORDER BY (event_id*37)%100, event_id LIMIT 5"))
-def _(d):
-    scenes = d.table("events").where("event_id < 60").select(
-        F.col("event_id").alias("scene_id"), ((F.col("event_id") * 37) % 100).alias("cloud_cover"))
-    ids = F.explode(F.sequence(F.lit(0), F.lit(59))).alias("scene_id")
-    bands = d.r_bands.select("row", "col", "nir", "red", ids).select(
-        "row", "col", F.col("scene_id").cast("bigint").alias("scene_id"),
-        ((F.col("nir") * (F.col("scene_id") + 7)) % 10000).alias("nir"),
-        ((F.col("red") * (F.col("scene_id") + 11)) % 10000).alias("red"))
-    return C.ndvi_composite(scenes, bands, max_scenes=5)
+    "", "SELECT row, col, median(CASE WHEN nir+red>0 THEN (nir-red)/(nir+red) END) AS value FROM bands "
+    "WHERE scene_id IN (SELECT l_linenumber FROM lineitem GROUP BY 1 HAVING "
+    "max((l_linenumber*13)%41)<30 ORDER BY max((l_linenumber*13)%41), 1 LIMIT 4) GROUP BY row, col",
+    "value", bands=NDVI_BANDS))
+def _(d):
+    """Best four clear scenes; one observation per line of an order."""
+    k = F.col("l_linenumber")
+    scenes = d.table("lineitem").groupBy(k.alias("scene_id")).agg(
+        F.max(k * 13 % 41).alias("cloud_cover"))
+    key = F.col("l_orderkey")
+    bands = d.table("lineitem").select(
+        F.floor(key / 125).cast("int").alias("row"), (key % 125).cast("int").alias("col"),
+        k.alias("scene_id"), (F.col("l_extendedprice") / 10).alias("nir"),
+        (F.col("l_quantity") * 150).alias("red"))
+    return C.ndvi_composite(scenes, bands, max_scenes=4)
 
 
 @query("overview_pyramid", sql(

@@ -20,7 +20,10 @@ def aligned(
     left: DataFrame, right: DataFrame, name: str, by: Sequence[str] = (), how: str = "left",
     value: str = "value",
 ) -> DataFrame:
-    """Bring another raster's value to each pixel as column ``name``."""
+    """Bring another raster's value to each pixel as column ``name``.
+
+    Rasters saved by ``save_bucketed`` are joined where they lie, without a shuffle.
+    """
     keys = [*by, "row", "col"]
     return left.join(right.select(*keys, F.col(value).alias(name)), keys, how)
 

@@ -16,6 +16,7 @@ from groundswell.operators import acquisitions as Q
 from groundswell.operators import algebra as A
 from groundswell.operators import catalog as C
 from groundswell.operators import geometry as G
+from groundswell.operators import morphology as M
 from groundswell.operators import stats
 from groundswell.operators import timeseries as TS
 from groundswell.operators.composite import temporal_composite
@@ -144,12 +145,15 @@ def analysis_flow(
         checks = R.correlations(velocity, vv, coherence, dist_value, ndvi)
         agreement = None
         if waterways is not None and canals is not None and grid is not None:
-            from groundswell.operators import morphology as M
-
             lines = G.rasterize_lines(G.waterway_filter(waterways), grid.height, grid.width)
             truth = M.dilate(lines, M.square(2), size=(grid.height, grid.width))
             agreement = stats.mask_agreement(canals, truth)
-        out["validation_report"] = R.validation_report(spark, checks, agreement)
+        profile = None
+        if distance is not None:
+            profile = stats.distance_profile(
+                A.aligned(velocity, distance, "distance", value="distance"))
+        zones = R.zone_tests(velocity, coherence, ndvi)
+        out["validation_report"] = R.validation_report(spark, checks, agreement, profile, zones)
     if forest is not None:
         joined = A.aligned(velocity, forest, "lossyear", value="lossyear")
         out["validation_clearing"] = stats.cohort_stats(joined)

@@ -52,14 +52,36 @@ def validation_summary(checks: DataFrame) -> DataFrame:
     )
 
 
+def zone_tests(
+    velocity: DataFrame, coherence: DataFrame | None = None, ndvi: DataFrame | None = None,
+    threshold: float = 0.5,
+) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Zone statistics and Welch's test per zoning: coherence classes, vegetation classes."""
+    out = {}
+    if coherence is not None:
+        zoned = A.aligned(velocity, coherence, "_c").withColumn(
+            "zone", stats.coherence_zone(F.col("_c"), threshold))
+        out["coherence"] = (stats.zonal_stats(zoned), stats.welch_test(zoned, "cleared", "forested"))
+    if ndvi is not None:
+        zoned = A.aligned(velocity, ndvi, "_n").withColumn("zone", stats.ndvi_zone(F.col("_n")))
+        out["ndvi"] = (stats.zonal_stats(zoned), stats.welch_test(zoned, "low", "high"))
+    return out
+
+
 def validation_report(
     spark, checks: DataFrame, agreement: DataFrame | None = None,
     profile: DataFrame | None = None,
+    zones: dict[str, tuple[DataFrame, DataFrame]] | None = None,
 ) -> DataFrame:
     parts = [
         _list(checks, "label").alias("correlations"),
         _one(validation_summary(checks)).alias("summary"),
     ]
+    if zones:
+        parts.append(F.struct(*[
+            F.struct(_list(z, "zone").alias("zones"), _one(w).alias("welch")).alias(name)
+            for name, (z, w) in zones.items()
+        ]).alias("zonal_analysis"))
     if profile is not None:
         parts.append(_list(profile, "bin_center_m").alias("distance_profile"))
     if agreement is not None:

@@ -72,6 +72,21 @@ def write_raster(
     ).parquet(f"{path}/rasters")
 
 
+def save_bucketed(
+    df: DataFrame, table: str, buckets: int, by: Sequence[str] = ("raster_id",),
+    path: str | None = None, mode: str = "overwrite",
+) -> None:
+    """Save pixels as a table bucketed by the pixel key.
+
+    Rasters saved with the same bucket count meet in aligned joins, and fold in per-pixel
+    aggregates, without a shuffle.  Choose buckets so that one holds 128 to 512 MB; the
+    key includes row and col, so no raster or date, however large, makes a bucket hot.
+    """
+    keys = [*by, "row", "col"]
+    writer = df.repartition(buckets, *keys).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def raster_metadata(
     ids: DataFrame, grid: Grid, nodata: float = NODATA, dtype: str = "float", band: str = ""
 ) -> DataFrame:

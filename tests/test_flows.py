@@ -41,6 +41,8 @@ def test_analysis_flow(spark, rng):
     assert report["product_count"] == len(report["products"])
     checks = json.loads(out["validation_report"].first()["report"])
     assert checks["summary"]["n_correlations"] == 3
+    assert {z["zone"] for z in checks["zonal_analysis"]["coherence"]["zones"]} == {"cleared", "forested"}
+    assert "t_statistic" in checks["zonal_analysis"]["coherence"]["welch"]
 
 
 def test_without_backscatter(spark, rng):

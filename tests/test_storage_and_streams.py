@@ -23,6 +23,26 @@ def test_raster_round_trip_and_pruning(spark, tmp_path, rng):
     assert "GreaterThanOrEqual(row,10)" in plan and "PartitionFilters: [(raster_id" in plan.replace("isnotnull(raster_id#", "(raster_id")
 
 
+def test_bucketed_rasters_join_without_a_shuffle(spark, tmp_path, rng):
+    from groundswell.operators import algebra as A
+    from groundswell.operators import composite as C
+    from groundswell.session import configure
+
+    configure(spark)
+    a, b = rng.normal(size=(40, 50)), rng.normal(size=(40, 50))
+    for name, x in (("gs_a", a), ("gs_b", b)):
+        RS.save_bucketed(to_pixels(spark, x), name, 4, by=(), path=str(tmp_path / name))
+    left, right = spark.table("gs_a"), spark.table("gs_b")
+    joined = A.valid_pairs(left, right)
+    composite = C.temporal_composite(left)
+    for df in (joined, composite):
+        assert df.count() == 2000
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, plan
+    for name in ("gs_a", "gs_b"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_metadata_document(spark):
     t = F.struct(*[F.lit(float(v)).alias(k) for k, v in zip("abcdef", (10, 0, 500, 0, -10, 900))])
     df = spark.range(1).select(
