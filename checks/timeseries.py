@@ -333,3 +333,15 @@ def _(d):
     kept.writeStream.format("parquet").option("path", path).option(
         "checkpointLocation", _folder(d, "gap")).trigger(availableNow=True).start().awaitTermination()
     return d.spark.read.schema(kept.schema).parquet(path)
+
+
+@query("min_gap_register", sql(
+    "v_scenes", "SELECT CAST(s.scene_id AS VARCHAR) AS scene_id, CAST(s.path_number AS INT) AS "
+    "relative_orbit, s.start_time FROM v_scenes s JOIN kept k ON s.path_number=k.path_number AND "
+    "s.start_time=k.t", recursive=True, **gap_sql("v_scenes", 3)))
+def _(d):
+    path = _folder(d, "spaced")
+    ST.min_gap_register(_stream(d), path, _folder(d, "spacing"), 3, "relative_orbit").trigger(
+        availableNow=True).start().awaitTermination()
+    return d.spark.read.schema(
+        "scene_id string, relative_orbit int, start_time timestamp").parquet(path).drop("batch")

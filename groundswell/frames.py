@@ -9,21 +9,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Side tables up to this many rows (about 1 KB each at most) are broadcast.
+SMALL_ROWS = 20_000
+
 
 def val() -> Column:
     """The pixel value column."""
     return F.col("value")
 
 
+def small(df: DataFrame, write: bool = True) -> DataFrame:
+    """A side table, with a broadcast hint when it is counted to be small.
+
+    It is written first (unless it is already stored or trivial to make), so that counting
+    does not run its plan twice.  Beyond the bound there is no hint, and Spark joins by
+    shuffle, splitting hot keys.
+    """
+    side = materialized(df) if write else df
+    return F.broadcast(side) if side.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else side
+
+
 def attach(df: DataFrame, stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Put a small per-raster statistics row beside every pixel of that raster.
+    """Put a per-raster statistics row beside every pixel of that raster.
 
-    Without keys the single row becomes a scalar subquery, evaluated once.
-    With keys it is a left equi-join; no broadcast hint is given, so Spark picks
-    broadcast or a (skew-split) sort-merge join from the measured size.
+    Without keys the single row becomes a scalar subquery, evaluated once.  With keys the
+    statistics are computed and counted first: a short table is broadcast, so that pixels
+    are not shuffled by a raster key that may hold a third of them.
     """
     if by:
-        return df.join(stats, list(by), "left")
+        return df.join(small(stats), list(by), "left")
     row = stats.select(F.struct(*stats.columns)).scalar()
     return df.select(*df.columns, *[row.getField(n).alias(n) for n in stats.columns])
 

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from groundswell.frames import small
+
 
 def burst_sizes(lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Height and width per burst (a short table)."""
@@ -31,7 +33,9 @@ def burst_overlaps(
     keys = [*by, "burst"]
     sizes = burst_sizes(lines, by)
     nxt = sizes.select(*by, (F.col("burst") - 1).alias("burst"), F.col("height").alias("_hb"))
-    pairs = sizes.join(nxt, keys).withColumn("_mid", F.floor(F.col("width") / 2).cast("int"))
+    pairs = small(
+        sizes.join(nxt, keys).withColumn("_mid", F.floor(F.col("width") / 2).cast("int"))
+    )
     signal = lines.select(*keys, "row", "col", "value")
     # The next burst is read at the column in the middle of the first one's width.
     a = signal.join(pairs, keys).where(F.col("col") == F.col("_mid"))
@@ -102,7 +106,7 @@ def merge_bursts(
         F.coalesce(F.sum(F.col("_end") - F.col("_top")).over(before), F.lit(0)).alias("_start"),
     )
     return (
-        lines.join(cut, keys)
+        lines.join(small(cut), keys)
         .where((F.col("row") >= F.col("_top")) & (F.col("row") < F.col("_end")))
         .withColumn("row", (F.col("row") - F.col("_top") + F.col("_start")).cast("int"))
         .drop("_top", "_end", "_start", "burst")

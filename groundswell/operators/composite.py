@@ -49,7 +49,7 @@ def ndvi_composite(
     reaches the pixel table as a semi-join on ``scene_id``.
     """
     chosen = scenes.where(F.col("cloud_cover") < max_cloud).orderBy(*order).limit(max_scenes)
-    per_scene = bands.join(chosen.select("scene_id"), "scene_id", "left_semi").withColumn(
+    per_scene = bands.join(F.broadcast(chosen.select("scene_id")), "scene_id", "left_semi").withColumn(
         "value", scaled_ndvi(F.col("nir"), F.col("red"))
     )
     return temporal_composite(per_scene, "median")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from groundswell.frames import attach, val
+from groundswell.frames import attach, materialized, small, val
 from groundswell.functions.geodesy import Grid, project_utm, to_crs
 
 
@@ -40,15 +40,17 @@ def calibrate(dn: DataFrame, lut: DataFrame, by: Sequence[str] = ()) -> DataFram
     search is two equi-joins on short tables (image height and width), not a range join.
     """
     by = list(by)
-    cells = lut_cells(lut, by)
+    cells = materialized(lut_cells(lut, by))
     ends = lut.groupBy(*by).agg(
         F.min("line").alias("_l0"), (F.max("line") - 1).alias("_l1"),
         F.min("pixel").alias("_p0"), (F.max("pixel") - 1).alias("_p1"),
     )
 
     def index(a: str, b: str, name: str) -> DataFrame:
-        return cells.select(*by, a, b).distinct().select(
-            *by, a, F.explode(F.sequence(F.col(a), F.col(b) - 1)).alias(name)
+        spans = cells.select(*by, a, b).distinct()
+        return small(
+            spans.select(*by, a, F.explode(F.sequence(F.col(a), F.col(b) - 1)).alias(name)),
+            write=False,
         )
 
     def share(x: Column, a: str, b: str) -> Column:
@@ -61,7 +63,7 @@ def calibrate(dn: DataFrame, lut: DataFrame, by: Sequence[str] = ()) -> DataFram
         .withColumn("_pixel", F.least(F.greatest("col", "_p0"), "_p1"))
         .join(index("line0", "line1", "_line"), [*by, "_line"])
         .join(index("pixel0", "pixel1", "_pixel"), [*by, "_pixel"])
-        .join(cells, [*by, "line0", "pixel0"])
+        .join(small(cells, write=False), [*by, "line0", "pixel0"])
     )
     fy = share(F.col("row"), "line0", "line1")
     fx = share(F.col("col"), "pixel0", "pixel1")
@@ -219,27 +221,43 @@ def sample_points(
     at = points.withColumns({
         "row": F.floor(row).cast("int"), "col": F.floor(col).cast("int")
     })
-    return at.join(df.select(*by, "row", "col", "value"), [*by, "row", "col"], "left")
+    keys = [*by, "row", "col"]
+    pixels = df.select(*keys, "value")
+    wanted = small(at.select(*keys).distinct(), write=False)
+    # Few points: only the pixels under them travel.
+    return at.join(pixels.join(wanted, keys, "left_semi"), keys, "left")
 
 
 # --- Shapes to pixels -----------------------------------------------------------------
 
 
+def _edges(points: DataFrame, keys: Sequence[str], closed: bool) -> DataFrame:
+    """Consecutive points of each shape as ``x, y, x1, y1``.
+
+    A point meets its successor in an equi-join on (shape, seq), so a coastline with a
+    third of all points is spread like any other shape.
+    """
+    nxt = points.select(
+        *keys, (F.col("seq") - 1).alias("seq"), F.col("x").alias("x1"), F.col("y").alias("y1")
+    )
+    if closed:
+        last = points.groupBy(*keys).agg(F.max("seq").alias("seq"))
+        first = points.where(F.col("seq") == 0).select(
+            *keys, F.col("x").alias("x1"), F.col("y").alias("y1")
+        )
+        nxt = nxt.unionByName(first.join(last, list(keys)))
+    return points.join(nxt, [*keys, "seq"]).select(*keys, "x", "y", "x1", "y1")
+
+
 def polygon_runs(
     vertices: DataFrame, height: int, width: int, by: Sequence[str] = ()
 ) -> DataFrame:
     """Row runs inside polygons by the pixel-centre rule.
 
-    ``vertices(feature_id, seq, x, y)`` are in pixel units.  Each edge meets the row
+    ``vertices(feature_id, seq, x, y)`` are in pixel units, ``seq`` counting 0, 1, 2, ...  Each edge meets the row
     centres it spans; sorted crossings of a row pair up by the even-odd rule.
     """
-    ring = Window.partitionBy(*by, "feature_id").orderBy("seq")
-    whole = Window.partitionBy(*by, "feature_id")
-    nxt = F.lead(F.struct("x", "y")).over(ring)
-    first = F.min_by(F.struct("x", "y"), "seq").over(whole)
-    edges = vertices.withColumn("_n", F.coalesce(nxt, first)).select(
-        *by, "feature_id", "x", "y", F.col("_n.x").alias("x1"), F.col("_n.y").alias("y1")
-    )
+    edges = _edges(vertices, [*by, "feature_id"], closed=True)
     low, high = F.least("y", "y1"), F.greatest("y", "y1")
     r0 = F.greatest(F.ceil(low - 0.5), F.lit(0)).cast("int")
     r1 = F.least(F.ceil(high - 0.5) - 1, F.lit(height - 1)).cast("int")
@@ -321,15 +339,13 @@ def waterway_filter(ways: DataFrame, box: Sequence[float] | None = None) -> Data
 def rasterize_lines(
     nodes: DataFrame, height: int, width: int, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Every cell a polyline passes through.  ``nodes(way_id, seq, x, y)`` in pixel units.
+    """Every cell a polyline passes through.  ``nodes(way_id, seq, x, y)`` in pixel units,
+    ``seq`` counting 0, 1, 2, ...
 
     A segment is cut wherever it meets a row or column line; each piece lies in one
     cell, which its midpoint names.
     """
-    path = Window.partitionBy(*by, "way_id").orderBy("seq")
-    seg = nodes.withColumns({
-        "x1": F.lead("x").over(path), "y1": F.lead("y").over(path)
-    }).where(F.col("x1").isNotNull())
+    seg = _edges(nodes, [*by, "way_id"], closed=False)
 
     def cuts(a: str, b: str) -> Column:
         lo, hi = F.floor(F.least(a, b)) + 1, F.ceil(F.greatest(a, b)) - 1

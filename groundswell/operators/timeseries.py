@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from groundswell.frames import attach, small
 from groundswell.operators.geometry import deramp
 
 PIXEL = ["row", "col"]
@@ -22,7 +23,7 @@ def modify_network(stack: DataFrame, min_coherence: float = 0.3) -> DataFrame:
     good = stack.groupBy("pair_id").agg(F.avg("coherence").alias("_c")).where(
         F.col("_c") >= min_coherence
     )
-    return stack.join(good.select("pair_id"), "pair_id", "left_semi")
+    return stack.join(small(good.select("pair_id")), "pair_id", "left_semi")
 
 
 def reference_pixel(stack: DataFrame, min_coherence: float = 0.7) -> DataFrame:
@@ -40,11 +41,11 @@ def reference_phase(
     """Subtract each pair's phase at the reference pixel (given, or the most coherent one)."""
     if at is None:
         ref = reference_pixel(stack, min_coherence).select(*PIXEL)
-        base = stack.join(ref, PIXEL, "left_semi")
+        base = stack.join(F.broadcast(ref), PIXEL, "left_semi")  # one row by its limit
     else:
         base = stack.where((F.col("row") == at[0]) & (F.col("col") == at[1]))
     base = base.groupBy("pair_id").agg(F.first("phase", ignorenulls=True).alias("_ref"))
-    return stack.join(base, "pair_id", "left").withColumn(
+    return attach(stack, base, ["pair_id"]).withColumn(
         "phase", F.col("phase") - F.coalesce("_ref", F.lit(0.0))
     ).drop("_ref")
 
@@ -110,11 +111,16 @@ def invert_network(stack: DataFrame) -> DataFrame:
     return solved.select(*PIXEL, F.inline(F.arrays_zip("idx", "phase")))
 
 
+def _with_years(series: DataFrame, dates: DataFrame) -> DataFrame:
+    years = dates.select("idx", (F.col("day") / 365.25).alias("_yr"))
+    return series.join(small(years, write=False), "idx")
+
+
 def timeseries_velocity(series: DataFrame, dates: DataFrame, to_value: float = 1.0) -> DataFrame:
     """Slope per year of ``phase * to_value`` per pixel, and its standard error."""
     x, y = F.col("_yr"), F.col("phase") * F.lit(float(to_value))
     n = F.count("*")
-    joined = series.join(dates.select("idx", (F.col("day") / 365.25).alias("_yr")), "idx")
+    joined = _with_years(series, dates)
     sxx, sxy, syy = F.regr_sxx(y, x), F.regr_sxy(y, x), F.regr_syy(y, x)
     rss = F.greatest(syy - sxy * sxy / sxx, F.lit(0.0))
     return joined.groupBy(*PIXEL).agg(
@@ -145,7 +151,7 @@ def temporal_coherence(stack: DataFrame, series: DataFrame) -> DataFrame:
 
 def date_residual_rms(series: DataFrame, dates: DataFrame) -> DataFrame:
     """RMS over pixels of each date's departure from the pixel's straight line."""
-    joined = series.join(dates.select("idx", (F.col("day") / 365.25).alias("_yr")), "idx")
+    joined = _with_years(series, dates)
     pixel = Window.partitionBy(*PIXEL)
     fit = joined.withColumns({
         "_b": F.regr_slope("phase", "_yr").over(pixel),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundswell.config import NODATA
-from groundswell.frames import attach, valid
+from groundswell.frames import small, valid
 from groundswell.functions.geodesy import Grid
 from groundswell.functions.naming import epsg_of
 
@@ -41,7 +41,7 @@ def read_raster(
         pixels = pixels.where(
             (F.col("row") >= r0) & (F.col("row") < r1) & (F.col("col") >= c0) & (F.col("col") < c1)
         )
-    out = attach(pixels, meta, ["raster_id"])
+    out = pixels.join(small(meta, write=False), "raster_id", "left")
     v = F.col("value").cast("double")
     bad = F.isnan(v) | (F.abs(v) == float("inf")) | F.coalesce(v == F.col("_nd"), F.lit(False))
     return out.select("raster_id", "row", "col", F.when(~bad, v).alias("value"))

@@ -42,7 +42,9 @@ def acquisition_stack(
 ) -> DataFrame:
     """Search, keep the busiest orbit, thin it to the minimum gap.  Empty in, empty out."""
     found = search_scenes(scenes, start, end, processing_level, bbox)
-    on_orbit = found.join(best_orbit(found).select("path_number"), "path_number", "left_semi")
+    on_orbit = found.join(
+        F.broadcast(best_orbit(found).select("path_number")), "path_number", "left_semi"
+    )
     return min_gap_scenes(on_orbit, min_gap_days, max_scenes)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from groundswell.frames import small
+
 
 def discover_pairs(listing: DataFrame) -> DataFrame:
     """Pairs named ``yyyymmdd_yyyymmdd`` anywhere in object names, with both dates."""
@@ -51,7 +53,10 @@ def load_stack(
     wide = layers.groupBy("pair_id", "row", "col").agg(
         layer("phase"), layer("coherence"), layer("conncomp")
     )
-    return pairs.join(wide, "pair_id", "left")
+    # Layers meet their pair by broadcast, not by a shuffle on a handful of pair ids.
+    pairs = small(pairs)
+    empty = pairs.join(wide.select("pair_id").distinct(), "pair_id", "left_anti")
+    return wide.join(pairs, "pair_id").unionByName(empty, allowMissingColumns=True)
 
 
 def crop_geometry(geometry: DataFrame, height: int, width: int) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from groundswell.frames import materialized, small
+from groundswell.operators.acquisitions import min_gap_times
 from groundswell.operators.catalog import SCENES, conform
 
 
@@ -46,11 +48,48 @@ def register_stream(
     )
 
 
+def min_gap_register(
+    stream: DataFrame, path: str, checkpoint: str, min_gap_days: int, key: str = "path_number"
+) -> DataStreamWriter:
+    """Spacing rule for streams with crowded tracks: each batch is thinned by equi-joins.
+
+    The last kept time of a track is read from the earlier batches' folders, and a replayed
+    batch overwrites its own folder, so a restart gives the same scenes.
+    """
+    schema = ", ".join(
+        f"{n} {stream.schema[n].dataType.simpleString()}" for n in ("scene_id", key, "start_time")
+    )
+    stream.sparkSession.createDataFrame([], schema).write.mode("append").parquet(path)
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        stored = batch.sparkSession.read.schema(schema + ", batch int").parquet(path)
+        last = stored.where(F.col("batch") != batch_id).groupBy(key).agg(
+            F.max("start_time").alias("_last")
+        )
+        fresh = batch.select("scene_id", key, "start_time").join(small(last), key, "left")
+        late = F.coalesce(F.col("start_time") <= F.col("_last"), F.lit(False))
+        fresh = materialized(fresh.where(~late))
+        # The last kept time opens each track's chain, and is not written again.
+        seeds = fresh.where(F.col("_last").isNotNull()).select(key, F.col("_last").alias("start_time"))
+        times = fresh.select(key, "start_time").union(seeds)
+        kept = min_gap_times(times, min_gap_days, [key])
+        fresh.join(kept, [key, "start_time"], "left_semi").groupBy(key, "start_time").agg(
+            F.min("scene_id").alias("scene_id")
+        ).select("scene_id", key, "start_time").write.mode("overwrite").parquet(
+            f"{path}/batch={batch_id}"
+        )
+
+    return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+
+
 def min_gap_stream(
     stream: DataFrame, min_gap_days: int, key: str = "path_number"
 ) -> DataFrame:
     """Scenes kept by the spacing rule, with the last kept time as state per track.
 
+    A track's share of a batch is one task's work; limit the batch (maxFilesPerTrigger), or
+    use ``min_gap_register`` where tracks are crowded.
+
     Within a batch scenes are taken in time order.  A scene earlier than the last kept one
     arrives too late to be kept.
     """

@@ -84,7 +84,10 @@ def test_streams_over_several_batches(spark, tmp_path):
         gap = ST.min_gap_stream(stream(), 4)
         run(gap.writeStream.format("parquet").option("path", kept).option(
             "checkpointLocation", str(tmp_path / "ck2")))
+        run(ST.min_gap_register(stream(), str(tmp_path / "spaced"), str(tmp_path / "ck3"), 4))
     catalog = spark.read.schema(SCENES).parquet(cat)
     assert catalog.count() == 30 == catalog.select("scene_id").distinct().count()
     times = sorted(r["start_time"] for r in spark.read.parquet(kept).collect())
     assert times == [t0 + timedelta(days=4 * i) for i in range(8)]
+    spaced = spark.read.schema(schema).parquet(str(tmp_path / "spaced"))
+    assert sorted(r["start_time"] for r in spaced.collect()) == times
