@@ -72,7 +72,9 @@ def min_gap_times(
     jumps = materialized(_next_at_distance(us, by, gap, _DAY // 24).where(F.col("next").isNotNull()))
     kept = us.groupBy(*by).agg(F.min("us").alias("us"))
     for left in range(rounds, 0, -1):
-        kept = kept.union(kept.join(jumps, [*by, "us"]).select(*by, "next")).distinct()
+        # Each kept time gives itself and the time a jump away: no time comes up twice.
+        both = F.explode(F.array_compact(F.array("us", "next"))).alias("us")
+        kept = kept.join(jumps, [*by, "us"], "left").select(*by, both)
         if left > 1:
             far = jumps.select(*by, F.col("us").alias("next"), F.col("next").alias("_far"))
             jumps = materialized(

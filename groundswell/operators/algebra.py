@@ -11,9 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundswell.config import ClassThresholds
+from groundswell.config import ClassThresholds, RiskSettings
 from groundswell.frames import attach, val
 from groundswell.functions import scalar as S
+from groundswell.functions.geodesy import Grid
 
 
 def aligned(
@@ -92,10 +93,10 @@ def window_clip(df: DataFrame, row0: int, row1: int, col0: int, col1: int) -> Da
     )
 
 
-def aoi_window(grid, bbox: Sequence[float], buffer: float = 0.1, west_buffer: float = 0.02):
+def aoi_window(
+    grid: Grid, bbox: Sequence[float], buffer: float = 0.1, west_buffer: float = 0.02
+) -> tuple[tuple[int, int, int, int], Grid]:
     """Pixel window of a buffered box, and the grid of that window."""
-    from groundswell.functions.geodesy import Grid
-
     west, south, east, north = bbox
     west, south, east, north = west - west_buffer, south - buffer, east + buffer, north + buffer
     col0 = max(0, int((west - grid.c) / grid.a))
@@ -168,12 +169,11 @@ def time_adjusted_risk(
 
 
 def risk_score(
-    velocity: Column, distance: Column, water: Column | None = None, settings=None
+    velocity: Column, distance: Column, water: Column | None = None,
+    settings: RiskSettings = RiskSettings(),
 ) -> Column:
     """Combined risk of smoothed velocity and canal distance; NULL on nodata and water."""
-    from groundswell.config import RiskSettings
-
-    s = settings or RiskSettings()
+    s = settings
     score = S.combined_risk(
         S.proximity_risk(distance, s.max_influence_m),
         S.subsidence_risk(velocity, s.severe_velocity),

@@ -198,10 +198,9 @@ def distance_profile(
 
 
 def cohort_of(lossyear: Column) -> Column:
-    out = F
-    for name, a, b in CLEARING_COHORTS:
-        out = out.when(lossyear.between(a, b), name)
-    return out
+    return F.coalesce(*[
+        F.when(lossyear.between(first, last), name) for name, first, last in CLEARING_COHORTS
+    ])
 
 
 def cohort_stats(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -3,6 +3,7 @@ unless the caller writes it."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -56,7 +57,7 @@ def timeseries_flow(
     net = TS.reference_phase(net, reference, ts.reference_min_coherence)
     net = materialized(TS.deramp_stack(TS.apply_delay(net, delay)))
     series = materialized(TS.invert_network(net))
-    metres = settings.sensor.wavelength_m / (4 * 3.141592653589793)
+    metres = settings.sensor.wavelength_m / (4 * math.pi)
     velocity = TS.timeseries_velocity(series, dates, metres)
     coherence = TS.temporal_coherence(net, series)
     return {"series": series, **export_velocity(velocity, coherence, settings, grid, aoi)}
@@ -175,7 +176,9 @@ def acquisition_flow(
 ) -> dict[str, DataFrame]:
     """Search and space scenes, register them, pair them, find orbits, list what is left."""
     s = settings.sensor
-    stack = acquisition_stack(scenes, start, end, processing_level, min_gap_days=s.min_gap_days)
+    stack = materialized(
+        acquisition_stack(scenes, start, end, processing_level, min_gap_days=s.min_gap_days)
+    )
     rows = stack.select(
         F.col("scene_id").cast("string").alias("scene_id"), F.lit(s.platform).alias("platform"),
         F.to_date("start_time").alias("acquisition_date"), "processing_level",
