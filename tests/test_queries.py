@@ -4,11 +4,12 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare
+from checks.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, name):
     ok, text = compare(spark, FOLDER, name)
     assert ok, text
