@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundswell.llm import bpe, decontaminate, language, tokens
+from groundswell.llm import bpe, decontaminate, language, passages, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,13 @@ def held_out(key: str) -> Column:
 DOCS = {"product_id": "doc_id", "report": "text"}
 
 
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.without_repeats(table(spark, sf_dir, "documents"), **DOCS)
+    return found.select("doc_id", *[f"passages.{c}" for c in (
+        "n_words", "n_removed", "kept_sha256", "n_passages")])
+
+
 @query("op3_decontaminate")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(
@@ -51,6 +58,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN, **DOCS)
 
 
+@query("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), **DOCS)
+    return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 @query("op9_language")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
