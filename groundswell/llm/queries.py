@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundswell.llm import bpe, decontaminate, language, passages, simhash, tokens
+from groundswell.llm import bpe, decontaminate, language, passages, quality, simhash, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,12 +58,76 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN, **DOCS)
 
 
+#: The quality rules in DuckDB: words as rows, windows as a partition, quartiles over bin counts.
+QUALITY_SQL = """
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+                  chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS blanks FROM documents),
+words AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (
+    SELECT doc_id, list_filter(string_split(translate(t, blanks, '     '), ' '), lambda x: x <> '') AS ws FROM d)),
+three AS (SELECT *, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM words
+          WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT doc_id, i, w2 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, w, w1, w2) > 1 AS again FROM three),
+covered AS (SELECT doc_id, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS 2 PRECEDING) AS hit FROM twice),
+per AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (hit) AS n_repeat_words FROM covered GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines FROM (
+    SELECT doc_id, blanks, unnest(string_split(t, chr(10))) AS x FROM d)
+    WHERE translate(x, blanks || ' ', '') <> '' GROUP BY doc_id),
+base AS (SELECT doc_id, lang, source, coalesce(n_words, 0) AS n_words,
+    length(translate(t, blanks || ' ', '')) AS word_chars,
+    length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(n_lines, 0) AS n_lines
+    FROM d LEFT JOIN per USING (doc_id) LEFT JOIN lines USING (doc_id)),
+measured AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    CASE WHEN word_chars > 0 THEN n_symbols * 1000000 // word_chars ELSE 0 END AS symbols,
+    CASE WHEN n_lines > 0 THEN n_dup_lines * 1000000 // n_lines ELSE 0 END AS dup_lines,
+    CASE WHEN n_words > 0 THEN n_repeat_words * 1000000 // n_words ELSE 0 END AS repeats,
+    CASE WHEN n_words > 0 THEN word_chars * 1000000 // n_words ELSE 0 END AS long_words FROM base),
+stacked AS (SELECT lang, source, m.m AS measure, m.v AS v FROM (
+    SELECT lang, source, unnest([{'m': 'symbols', 'v': symbols}, {'m': 'dup_lines', 'v': dup_lines},
+        {'m': 'repeats', 'v': repeats}, {'m': 'long_words', 'v': long_words}]) AS m
+    FROM measured WHERE NOT base_failed)),
+own AS (SELECT lang, source, measure, v - v % (1::BIGINT << greatest(length(bin(v)) - 6, 0)) AS b, count(*) AS n
+        FROM stacked GROUP BY ALL),
+levels AS (SELECT 1 AS level, lang, source, measure, b, n FROM own
+    UNION ALL SELECT 2, lang, NULL, measure, b, sum(n) FROM own GROUP BY ALL
+    UNION ALL SELECT 3, NULL, NULL, measure, b, sum(n) FROM own GROUP BY ALL),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY b) AS below,
+    sum(n) OVER (PARTITION BY level, lang, source, measure) AS whole FROM levels),
+quartiles AS (SELECT level, lang, source, measure, max(whole) AS n_rows, min(b) FILTER (below * 4 >= whole) AS q1,
+    min(b) FILTER (below * 4 >= whole * 3) AS q3 FROM ranked GROUP BY ALL),
+fences AS (SELECT *, greatest(q3 + 6 * (q3 - q1), CASE measure WHEN 'symbols' THEN 50000 WHEN 'dup_lines' THEN 400000
+    WHEN 'repeats' THEN 350000 ELSE 12000000 END) AS fence FROM quartiles),
+chosen AS (SELECT a.lang, a.source, a.measure, CASE WHEN a.n_rows >= 200 THEN a.fence WHEN b.n_rows >= 200
+    THEN b.fence ELSE c.fence END AS fence FROM fences a
+    JOIN fences b ON b.level = 2 AND a.lang IS NOT DISTINCT FROM b.lang AND a.measure = b.measure
+    JOIN fences c ON c.level = 3 AND a.measure = c.measure WHERE a.level = 1),
+wide AS (SELECT lang, source, max(fence) FILTER (measure = 'symbols') AS f1, max(fence) FILTER (measure = 'dup_lines') AS f2,
+    max(fence) FILTER (measure = 'repeats') AS f3, max(fence) FILTER (measure = 'long_words') AS f4 FROM chosen GROUP BY ALL)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND coalesce(symbols <= f1 AND dup_lines <= f2 AND repeats <= f3 AND long_words <= f4, true) AS kept
+FROM measured m LEFT JOIN wide w ON m.lang IS NOT DISTINCT FROM w.lang AND m.source IS NOT DISTINCT FROM w.source
+"""
+
+
+@query("op5_quality_rules", QUALITY_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), language="lang", source="source", **DOCS)
+
+
 @query("op7_simhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), **DOCS)
     return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+@query("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bundles = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(bundles).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op9_language")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
