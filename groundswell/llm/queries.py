@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundswell.llm import bpe, decontaminate, language, passages, quality, simhash, tokens, warc
+from groundswell.llm import bpe, decontaminate, language, passages, quality, simhash, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "n_removed", "kept_sha256", "n_passages")])
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~held_out("doc_id")), "doc_id", "text")
+    found = toxicity.scored(docs, model, **DOCS)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 @query("op3_decontaminate")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(
