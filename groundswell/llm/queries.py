@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundswell.llm import bpe, decontaminate, language, passages, quality, simhash, tokens, toxicity, warc
+from groundswell.llm import bpe, decontaminate, language, main_text, passages, quality, simhash, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,6 +123,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), language="lang", source="source", **DOCS)
 
 
+@query("op6_main_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op7_simhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), **DOCS)
