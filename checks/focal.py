@@ -233,6 +233,36 @@ def _(d):
     return P.risk_map(d.vel, d.d_canal, d.m_water)
 
 
+# Absent pixels count as NULL: the oracle puts them back on the grid of ``vv``.
+SPARSE = {**DIMS, "grid": "SELECT vv.row, vv.col, s.value FROM vv LEFT JOIN vel_s s USING (row, col)",
+          "filled": "SELECT row, col, coalesce(value, (SELECT median(value) FROM vel_s)) AS value FROM grid",
+          "near": around("filled", 4), "smooth": MEDIAN.format(s="vel_s")}
+
+
+@query("median_filter_sparse", sql("vel_s vv", "SELECT row, col, value FROM smooth", "value", **SPARSE))
+def _(d):
+    return FO.median_filter(d.vel_s, 9, dims=_size(d))
+
+
+@query("risk_map_sparse", sql(
+    "vel_s vv d_canal m_water", "SELECT s.row, s.col, CASE WHEN s.value IS NOT NULL AND w.row IS NULL "
+    "THEN (0.45*greatest(least(1-distance/1200,1.0),0.0)+0.55*CASE WHEN s.value<0 THEN "
+    "least(-s.value/40.0,1.0) ELSE 0 END)/(0.45+0.55) END AS value FROM smooth s JOIN d_canal d ON "
+    "d.row=s.row AND d.col=s.col LEFT JOIN m_water w ON w.row=s.row AND w.col=s.col", "value",
+    **SPARSE))
+def _(d):
+    return P.risk_map(d.vel_s, d.d_canal, d.m_water, size=_size(d))
+
+
+@query("distance_map_sparse", sql(
+    "vel_s m_water", "SELECT p.row, p.col, min(sqrt((p.row-m.row)*(p.row-m.row)*144.0+(p.col-m.col)*"
+    "(p.col-m.col)*100.0)) AS distance FROM (SELECT row, col FROM vel_s WHERE row>0) p CROSS JOIN "
+    "m_water m GROUP BY p.row, p.col", "distance"))
+def _(d):
+    """The mask also has pixels where the raster has none, and reaches above it."""
+    return distance_map(d.vel_s.where("row > 0"), d.m_water, 10.0, 12.0)
+
+
 @query("carbon_loss", sql(
     "vel vv coh m_water", "SELECT s.row, s.col, CASE WHEN w.row IS NULL AND s.value<0 THEN "
     "-s.value*0.5 WHEN w.row IS NULL AND s.value IS NOT NULL THEN 0.0 END AS value FROM smooth s "
@@ -246,9 +276,59 @@ def _(d):
     return P.carbon_loss(vel, d.coh, d.m_water)
 
 
-@query("ridge_mask")
+def _kernel(sigma: int) -> str:
+    """Offsets with the sampled Gaussian and its first two derivatives, as the operator defines them."""
+    r, q = 4 * sigma + 1, float(sigma * sigma)
+    return (f"SELECT k, g, -k/{q}*g AS d1, s-sum(s) OVER ()*g AS d2 FROM (SELECT k, g, (k*k/{q * q}-1/{q})*g AS s FROM "
+            f"(SELECT k, e/sum(e) OVER () AS g FROM (SELECT CAST(k AS DOUBLE) AS k, exp(-k*k/(2*{q})) AS e FROM "
+            f"(SELECT unnest(generate_series(-{r},{r})) AS k))))")
+
+
+def _ridge_ctes() -> dict[str, str]:
+    """Strength of dark lines: three separable filters per sigma over reflected edges.
+
+    Rows and columns are extended by the margin once, so each filter is a join on the offset."""
+    pad = 13
+
+    def ext(axis: str, other: str, src: str, n: str, cols: str) -> str:
+        m = f"CASE WHEN p<0 THEN -p-1 WHEN p>={n} THEN 2*{n}-1-p ELSE p END"
+        # Reflected twice where the image is smaller than the margin.
+        m2 = m.replace("p", "q")
+        return (f"SELECT e.p AS {axis}, s.{other}, {cols} FROM (SELECT p, {m2} AS {axis} FROM (SELECT p, {n}, {m} AS q FROM "
+                f"(SELECT unnest(generate_series(-{pad}, {n}-1+{pad})) AS p, {n} FROM dims))) e JOIN {src} s ON s.{axis}=e.{axis}")
+
+    ctes = {**{k: v.replace("max(row)+1 AS h", "CAST(max(row)+1 AS INT) AS h").replace("max(col)+1 AS w", "CAST(max(col)+1 AS INT) AS w")
+               for k, v in DIMS.items()},
+            "base": "SELECT row, col, CASE WHEN value>0 THEN value ELSE (SELECT median(value) FROM vv WHERE value>0) END AS x FROM vv"}
+    for q in (1, 2, 3):
+        ctes |= {
+            f"k{q}": _kernel(q),
+            f"down{q}": ext("row", "col", "base", "h", "s.x"),
+            # Correlation with the reversed kernel: the sample at row + k meets the weight of -k.
+            f"v{q}": f"SELECT CAST(d.row+k.k AS INT) AS row, d.col, sum(g*x) AS g, sum(d1*x) AS d1, sum(d2*x) AS d2 FROM down{q} d, "
+                     f"k{q} k, dims WHERE d.row+k.k>=0 AND d.row+k.k<h GROUP BY ALL",
+            f"side{q}": ext("col", "row", f"v{q}", "w", "s.g, s.d1, s.d2"),
+            f"h{q}": f"SELECT d.row, CAST(d.col+k.k AS INT) AS col, sum(k.g*d.d2) AS rr, sum(k.d2*d.g) AS cc, sum(k.d1*d.d1) AS rc "
+                     f"FROM side{q} d, k{q} k, dims WHERE d.col+k.k>=0 AND d.col+k.k<w GROUP BY ALL",
+            f"e{q}": f"SELECT row, col, {q * q}.0*greatest((rr+cc)/2+sqrt(((rr-cc)/2)*((rr-cc)/2)+rc*rc),0) AS s FROM h{q}",
+        }
+    ctes["ridge"] = ("SELECT row, col, max(s) AS s FROM (SELECT * FROM e1 UNION ALL SELECT * FROM e2 UNION ALL SELECT * FROM e3) "
+                     "GROUP BY row, col")
+    return ctes
+
+
+@query("ridge_map", sql(
+    "vv", "SELECT r.row, r.col, r.s AS ridge, v.value>0 AS is_valid FROM ridge r JOIN vv v ON v.row=r.row AND v.col=r.col",
+    "ridge", **_ridge_ctes()))
+def _(d):
+    return FO.ridge_map(d.vv)
+
+
+@query("ridge_mask", sql(
+    "vv", "SELECT r.row, r.col FROM ridge r JOIN vv v ON v.row=r.row AND v.col=r.col WHERE v.value>0 AND "
+    "r.s>=(SELECT quantile_cont(s, 0.85) FROM ridge WHERE s>0)", **_ridge_ctes()))
 def _(d):
-    """Dark-line strength on halo tiles; checked against a whole-image filter in the tests."""
+    """Dark-line strength on halo tiles."""
     return FO.ridge_mask(d.vv)
 
 

@@ -315,6 +315,14 @@ def _(d):
     return back.select("raster_id", "row", "col", "value")
 
 
+@query("tile_round_trip_shifted", sql(
+    "vel_l", "SELECT 'v' AS raster_id, row, col, value FROM vel_l WHERE (row+col)%5>0", "value"))
+def _(d):
+    """A raster with gaps that starts at (3, 5): nothing moves."""
+    px = d.vel_l.where("(row+col)%5>0").withColumn("raster_id", F.lit("v"))
+    return RS.from_tiles(RS.to_tiles(px, 32), 32).select("raster_id", "row", "col", "value")
+
+
 @query("transform_from_bounds", sql(
     "", "SELECT c_custkey AS raster_id, (e-w)/width AS a, 0.0 AS b, w AS c, 0.0 AS d, -(n-s)/height "
     "AS e, n AS f FROM (SELECT c_custkey, 100.0+c_custkey%50 AS w, 101.5+c_custkey%50 AS e, "

@@ -27,6 +27,8 @@ VIEWS = {
     # The same with no data as NULL.
     "vel": "SELECT row, col, CASE WHEN value<>-9999 THEN value END AS value FROM r_velocity",
     "vel_l": "SELECT row, col, CASE WHEN value<>-9999 THEN value END AS value FROM r_velocity_l",
+    # Three pixels in ten absent, the first and last rows and columns among them.
+    "vel_s": "SELECT row, col, value FROM vel WHERE (row*7+col*3)%10>=3",
     "coh": "SELECT row, col, value FROM r_coherence",
     "coh_l": "SELECT row, col, value FROM r_coherence_l",
     "vv": "SELECT row, col, value FROM r_vv",

@@ -1,9 +1,9 @@
 """Exact Euclidean distance to the nearest mask pixel.
 
-Separable: first the nearest mask pixel above and below in each column (two
-windows over one shuffle), then per image row the lower envelope of parabolas.
-Nothing crosses from row to row in the second pass, so there is no halo and no
-limit on the distance.  A task holds ``strip_rows`` whole image rows.
+Separable: first the nearest mask pixel above and below in each column, then per
+image row the lower envelope of parabolas.  A strip of ``strip_rows`` whole image rows is
+one group: it gets its own pixels, and of each column the mask rows inside it, the last
+one above and the first one below.  There is no limit on the distance.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from groundswell.frames import attach
+
 
 def lower_envelope(f: np.ndarray, step: float) -> np.ndarray:
     """min over j of (step*(i-j))**2 + f[:, j], for every i, all rows of ``f`` at once."""
@@ -49,43 +51,61 @@ def lower_envelope(f: np.ndarray, step: float) -> np.ndarray:
     return out
 
 
+def _seeds(mask: DataFrame, by: list[str], strip_rows: int) -> DataFrame:
+    """(strip, col, seed row): what a strip of image rows must know of each column's mask.
+
+    Its own mask rows, and for each column the last one above and the first one below it.  A mask row
+    is told to the strips up to the next mask row of its column, so the rows made are at
+    most the mask's and two for each strip and column.
+    """
+    column = Window.partitionBy(*by, "col").orderBy("row")
+    strip = F.floor(F.col("row") / strip_rows).cast("int")
+    at = mask.distinct().withColumns({
+        "_at": strip, "_up": F.lag(strip).over(column), "_down": F.lead(strip).over(column)})
+    # From the strip of the mask row before it to the strip of the one behind it; the first and the last
+    # of a column are seen from all strips above and below.
+    first = F.coalesce("_up", F.lit(0))
+    last = F.coalesce("_down", F.col("_strips") - 1)
+    return at.withColumns({"_first": F.least(first, F.col("_at")), "_last": F.greatest(last, F.col("_at"))})
+
+
 def distance_map(
     pixels: DataFrame, mask: DataFrame, size_x: float = 1.0, size_y: float | None = None,
-    by: Sequence[str] = (), strip_rows: int = 16,
+    by: Sequence[str] = (), strip_rows: int = 32,
 ) -> DataFrame:
     """Distance per pixel of ``pixels`` to the sparse ``mask``; NULL when the mask is empty.
 
-    ``size_x`` and ``size_y`` are the pixel sizes; they differ on geographic grids.
+    ``size_x`` and ``size_y`` are the pixel sizes; they differ on geographic grids.  The mask counts
+    whole, also where ``pixels`` has no row; absent pixels don't hide it.
     """
     by = list(by)
     keys = [*by, "row", "col"]
     size_y = size_x if size_y is None else size_y
-    hit = mask.select(*keys).distinct().withColumn("_hit", F.col("row"))
-    column = Window.partitionBy(*by, "col")
-    above = F.last("_hit", ignorenulls=True).over(
-        column.orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    below = F.last("_hit", ignorenulls=True).over(
-        column.orderBy(F.desc("row")).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    gap = F.least(F.col("row") - F.col("_above"), F.col("_below") - F.col("row"))
-    vertical = (
-        pixels.select(*keys).join(hit, keys, "left")
-        .withColumn("_above", above).withColumn("_below", below)
-        .select(*keys, gap.cast("double").alias("_gap"),
-                F.floor(F.col("row") / strip_rows).cast("int").alias("_strip"))
-    )
+    strips = pixels.groupBy(*by).agg(
+        (F.floor(F.max("row") / strip_rows) + 1).cast("int").alias("_strips"))
+    seeds = _seeds(attach(mask.select(*keys), strips, by).where("_strips IS NOT NULL"), by, strip_rows)
+    seeds = seeds.where("_first < _strips").select(
+        *keys, F.explode(F.sequence("_first", F.least("_last", F.col("_strips") - 1))).alias("_strip"),
+        F.lit(True).alias("_seed"))
+    both = pixels.select(
+        *keys, F.floor(F.col("row") / strip_rows).cast("int").alias("_strip"), F.lit(False).alias("_seed")
+    ).unionByName(seeds.select(*keys, "_strip", "_seed"))
     schema = T.StructType([
-        *[vertical.schema[k] for k in keys], T.StructField("distance", T.DoubleType())
+        *[pixels.schema[k] for k in keys], T.StructField("distance", T.DoubleType())
     ])
 
     def strip(pdf: pd.DataFrame) -> pd.DataFrame:
-        r0 = int(pdf["row"].min())
-        r, c = pdf["row"].to_numpy() - r0, pdf["col"].to_numpy()
-        f = np.full((int(r.max()) + 1, int(c.max()) + 1), np.inf)
-        f[r, c] = np.nan_to_num(pdf["_gap"].to_numpy(float) * size_y, nan=np.inf) ** 2
-        out = pdf[keys].copy()
-        out["distance"] = np.sqrt(lower_envelope(f, size_x)[r, c])
+        seed = pdf["_seed"].to_numpy()
+        row, col = pdf["row"].to_numpy(), pdf["col"].to_numpy()
+        out = pdf.loc[~seed, keys].reset_index(drop=True)
+        if not len(out):
+            return out.assign(distance=np.zeros(0))
+        r, c, m, mc = row[~seed], col[~seed], row[seed], col[seed]
+        r0, c0 = int(r.min()), int(col.min())
+        f = np.full((int(r.max()) - r0 + 1, int(col.max()) - c0 + 1), np.inf)
+        for k in range(f.shape[0]):
+            np.minimum.at(f[k], mc - c0, ((r0 + k - m) * size_y) ** 2)
+        out["distance"] = np.sqrt(lower_envelope(f, size_x)[r - r0, c - c0])
         return out
 
-    return vertical.groupBy(*by, "_strip").applyInPandas(strip, schema)
+    return both.groupBy(*by, "_strip").applyInPandas(strip, schema)

@@ -4,6 +4,9 @@ Separable means run as two windows per image row and column.  Operators that
 need whole neighbourhoods run on halo tiles: a pixel goes to its own tile and to
 every tile whose margin it lies in, about (B+2r)^2/B^2 copies, and each tile is
 worked on alone with numpy.  A task holds one tile whatever the raster's size.
+
+A pixel that is absent counts as one whose value is NULL; it only gets no row in the
+result.  The image reaches from (0, 0) to the given size, or to the last present row and column.
 """
 
 from __future__ import annotations
@@ -21,15 +24,18 @@ from groundswell.operators.quantiles import exact_median, exact_percentiles
 
 
 def mirrored(position: Column, length: Column, radius: int) -> Column:
-    """Positions a sample takes when the edge is reflected half a sample out
-    (-1 shows 0, n shows n-1): its own, and its mirror images in the margin."""
-    own = F.array(position)
-    low = F.when(position < radius, F.array(-position - 1)).otherwise(F.array().cast("array<int>"))
-    high = F.when(position >= length - radius, F.array(length * 2 - 1 - position)).otherwise(
-        F.array().cast("array<int>")
-    )
+    """Positions a sample takes when the edges are reflected half a sample out
+    (-1 shows 0, n shows n-1): its own, and its mirror images in the margin, again and again
+    where the margin is wider than the image."""
+
+    def images(start: Column) -> Column:
+        first = F.ceil((-radius - start) / (length * 2)).cast("int")
+        last = F.floor((length - 1 + radius - start) / (length * 2)).cast("int")
+        found = F.transform(F.sequence(first, last), lambda k: start + k * length * 2)
+        return F.when(first <= last, found).otherwise(F.array().cast("array<int>"))
+
     edge = (position < radius) | (position >= length - radius)
-    return F.when(edge, F.concat(own, low, high)).otherwise(own)
+    return F.when(edge, F.concat(images(position), images(-position - 1))).otherwise(F.array(position))
 
 
 def _sliding(df: DataFrame, axis: str, length: str, radius: int, cols: Sequence[str], keys):
@@ -102,12 +108,15 @@ TileFunction = Callable[[dict[str, np.ndarray], int, int], dict[str, np.ndarray]
 def halo_tiles(
     df: DataFrame, cols: Sequence[str], out: Sequence[str], radius: int, fn: TileFunction,
     by: Sequence[str] = (), tile: int = 256, reflect: bool = True, dims=None,
+    absent: dict[str, str] | None = None,
 ) -> DataFrame:
     """Run ``fn`` on every tile with a margin of ``radius`` and keep the cores.
 
-    ``fn`` gets the bands as arrays (NaN where no pixel) and the image position of
-    their first cell, and returns arrays of the same shape.
+    ``fn`` gets the bands as arrays and the image position of their first cell, and returns arrays
+    of the same shape.  The arrays span the tile and its margin, whichever pixels are present; an
+    absent pixel holds NaN, or what the column named in ``absent`` says for its raster.
     """
+    absent = absent or {}
     by = list(by)
     sized = with_size(df, by, dims)
 
@@ -125,13 +134,15 @@ def halo_tiles(
 
     routed = (
         sized.select(
-            *by, "row", "col", *cols, F.explode(places(F.col("row"), F.col("_h"))).alias("_r"), "_w"
+            *by, "row", "col", *cols, *absent.values(), "_h", "_w",
+            F.explode(places(F.col("row"), F.col("_h"))).alias("_r"),
         )
         .select(
-            *by, *cols, "row", "col", "_r", F.explode(places(F.col("col"), F.col("_w"))).alias("_c")
+            *by, *cols, *absent.values(), "row", "col", "_h", "_w", "_r",
+            F.explode(places(F.col("col"), F.col("_w"))).alias("_c"),
         )
         .select(
-            *by, *cols, F.col("_r.p").alias("_row"), F.col("_r.t").alias("_tr"),
+            *by, *cols, *absent.values(), "_h", "_w", F.col("_r.p").alias("_row"), F.col("_r.t").alias("_tr"),
             F.col("_c.p").alias("_col"), F.col("_c.t").alias("_tc"),
             ((F.col("_r.p") == F.col("row")) & (F.col("_c.p") == F.col("col"))).alias("_own"),
         )
@@ -142,14 +153,20 @@ def halo_tiles(
         *[T.StructField(c, T.DoubleType()) for c in out],
     ])
 
+    def span(t: int, n: int) -> tuple[int, int]:
+        """First and last position of a tile with its margin, along one axis of the image."""
+        if reflect:
+            return t * tile - radius, min((t + 1) * tile, n) + radius
+        return max(t * tile - radius, 0), min((t + 1) * tile + radius, n)
+
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         tr, tc = int(pdf["_tr"].iat[0]), int(pdf["_tc"].iat[0])
-        r0, c0 = int(pdf["_row"].min()), int(pdf["_col"].min())
+        (r0, r1), (c0, c1) = (
+            span(t, int(pdf[n].iat[0])) for t, n in ((tr, "_h"), (tc, "_w")))
         r, c = pdf["_row"].to_numpy() - r0, pdf["_col"].to_numpy() - c0
-        shape = (int(r.max()) + 1, int(c.max()) + 1)
         bands = {}
         for name in cols:
-            a = np.full(shape, np.nan)
+            a = np.full((r1 - r0, c1 - c0), float(pdf[absent[name]].iat[0]) if name in absent else np.nan)
             a[r, c] = pdf[name].to_numpy(float)
             bands[name] = a
         result = fn(bands, r0, c0)
@@ -167,31 +184,31 @@ def median_filter(
     df: DataFrame, size: int = 9, by: Sequence[str] = (), tile: int = 256, dims=None,
     fill: DataFrame | None = None,
 ) -> DataFrame:
-    """k x k median with reflected edges.  NULLs take the raster's median while filtering
-    and come back as NULL."""
+    """k x k median with reflected edges.  NULLs and absent pixels take the raster's median
+    while filtering; NULLs come back as NULL."""
     if size % 2 == 0:
         raise ValueError(f"window size must be odd, got {size}")
     radius = size // 2
     fill = exact_median(df, val(), by, "_fill") if fill is None else fill
-    filled = attach(df, fill, by).select(
-        *by, "row", "col", F.coalesce(val(), F.col("_fill"), F.lit(0.0)).alias("_x"),
+    filled = attach(df, fill, by).withColumn("_fill", F.coalesce("_fill", F.lit(0.0))).select(
+        *by, "row", "col", "_fill", F.coalesce(val(), F.col("_fill")).alias("_x"),
         val().isNull().cast("double").alias("_gap"),
     )
 
     def fn(bands, r0, c0):
         x = bands["_x"]
         out = np.full(x.shape, np.nan)
-        if min(x.shape) >= size:
-            views = np.lib.stride_tricks.sliding_window_view(x, (size, size))
-            middle = size * size // 2
-            for i in range(views.shape[0]):
-                flat = views[i].reshape(views.shape[1], -1)
-                row = np.partition(flat, middle, axis=1)[:, middle]
-                out[i + radius, radius : radius + views.shape[1]] = row
+        views = np.lib.stride_tricks.sliding_window_view(x, (size, size))
+        middle = size * size // 2
+        for i in range(views.shape[0]):
+            flat = views[i].reshape(views.shape[1], -1)
+            row = np.partition(flat, middle, axis=1)[:, middle]
+            out[i + radius, radius : radius + views.shape[1]] = row
         out[bands["_gap"] == 1.0] = np.nan
         return {"value": out}
 
-    return halo_tiles(filled, ["_x", "_gap"], ["value"], radius, fn, by, tile, True, dims)
+    return halo_tiles(
+        filled, ["_x", "_gap"], ["value"], radius, fn, by, tile, True, dims, {"_x": "_fill"})
 
 
 def _derivative_kernels(sigma: float, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -237,7 +254,8 @@ def ridge_map(
     good = F.when(val() > 0, val())
     fill = exact_median(df, good, by, "_fill")
     filled = attach(df, fill, by).select(
-        *by, "row", "col", F.coalesce(good, F.col("_fill")).alias("_x"),
+        *by, "row", "col", F.coalesce("_fill", F.lit(0.0)).alias("_fill"),
+        F.coalesce(good, F.col("_fill"), F.lit(0.0)).alias("_x"),
         (val() > 0).cast("double").alias("_ok"),
     )
 
@@ -247,7 +265,8 @@ def ridge_map(
         return {"ridge": ridge_strength(x, sigmas), "_ok": bands["_ok"]}
 
     return halo_tiles(
-        filled, ["_x", "_ok"], ["ridge", "_ok"], 4 * max(sigmas) + 2, fn, by, tile, True, dims
+        filled, ["_x", "_ok"], ["ridge", "_ok"], 4 * max(sigmas) + 2, fn, by, tile, True, dims,
+        {"_x": "_fill"},
     ).select(*by, "row", "col", "ridge", (F.coalesce("_ok", F.lit(0.0)) == 1).alias("is_valid"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundswell.config import NODATA
-from groundswell.frames import small, valid
+from groundswell.frames import valid
 from groundswell.functions.geodesy import Grid
 from groundswell.functions.naming import epsg_of
 
@@ -25,15 +25,15 @@ def canonical(df: DataFrame, nodata: float = NODATA, value: str = "value") -> Da
 
 def read_raster(
     spark: SparkSession, path: str, raster_ids: Sequence[str] | None = None,
-    window: tuple[int, int, int, int] | None = None,
+    window: tuple[int, int, int, int] | None = None, nodata: float | None = None,
 ) -> DataFrame:
     """Pixels of stored rasters, nodata as NULL.
 
     ``raster_ids`` prunes partitions; ``window`` (row0, row1, col0, col1) prunes tiles
-    and row groups through pushed-down ranges.
+    and row groups through pushed-down ranges.  Nodata is NULL in the files already; ``nodata`` names
+    a sentinel of pixels that another writer stored as they were.
     """
     pixels = spark.read.parquet(f"{path}/pixels")
-    meta = spark.read.parquet(f"{path}/rasters").select("raster_id", F.col("nodata").alias("_nd"))
     if raster_ids is not None:
         pixels = pixels.where(F.col("raster_id").isin(*raster_ids))
     if window is not None:
@@ -41,10 +41,11 @@ def read_raster(
         pixels = pixels.where(
             (F.col("row") >= r0) & (F.col("row") < r1) & (F.col("col") >= c0) & (F.col("col") < c1)
         )
-    out = pixels.join(small(meta, write=False), "raster_id", "left")
     v = F.col("value").cast("double")
-    bad = F.isnan(v) | (F.abs(v) == float("inf")) | F.coalesce(v == F.col("_nd"), F.lit(False))
-    return out.select("raster_id", "row", "col", F.when(~bad, v).alias("value"))
+    bad = F.isnan(v) | (F.abs(v) == float("inf"))
+    if nodata is not None:
+        bad = bad | (v == float(nodata))
+    return pixels.select("raster_id", "row", "col", F.when(~bad, v).alias("value"))
 
 
 def tiled(df: DataFrame, by: Sequence[str] = ("raster_id",), tile: int = 512) -> DataFrame:
@@ -63,13 +64,24 @@ def write_raster(
     df: DataFrame, path: str, grid: Grid, nodata: float = NODATA, dtype: str = "float",
     band: str = "", tile: int = 512, mode: str = "append",
 ) -> None:
-    """Write ``(raster_id, row, col, value)`` as tiled Parquet, NULL as the nodata value."""
-    value = F.coalesce(F.col("value"), F.lit(nodata)).cast(dtype)
+    """Write ``(raster_id, row, col, value)`` as tiled Parquet; nodata stays NULL.
+
+    ``nodata`` is what an export puts in place of NULL; it is kept in the metadata.  ``df`` is evaluated
+    once: the rasters that have no metadata yet are found in what was written.
+    """
+    spark = df.sparkSession
+    value = valid(F.col("value").cast("double"), nodata).cast(dtype)
     pixels = tiled(df.select("raster_id", "row", "col", value.alias("value")), tile=tile)
     pixels.write.mode(mode).partitionBy("raster_id").parquet(f"{path}/pixels")
-    raster_metadata(df.select("raster_id").distinct(), grid, nodata, dtype, band).write.mode(
-        mode
-    ).parquet(f"{path}/rasters")
+    ids = spark.read.parquet(f"{path}/pixels").select(F.col("raster_id").cast("string")).distinct()
+    if mode == "append" and _stored(spark, f"{path}/rasters"):
+        ids = ids.join(spark.read.schema(RASTERS).parquet(f"{path}/rasters"), "raster_id", "left_anti")
+    raster_metadata(ids, grid, nodata, dtype, band).write.mode(mode).parquet(f"{path}/rasters")
+
+
+def _stored(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def save_bucketed(
@@ -113,20 +125,24 @@ def transform_from_bounds(rasters: DataFrame) -> DataFrame:
 
 
 def to_tiles(df: DataFrame, tile: int = 512, by: Sequence[str] = ("raster_id",)) -> DataFrame:
-    """Pixels as row-major arrays per tile (NULL for nodata); a tile bounds each group."""
+    """Pixels as arrays per tile: ``at`` (place in the tile, row by row) and ``data`` (NULL for
+    nodata), both in row-major order, and the height and width the tile reaches.
+
+    Absent pixels have no entry, so any raster comes back as it was.  A tile bounds each group.
+    """
     tr, tc = (F.floor(F.col(n) / tile).cast("int") for n in ("row", "col"))
+    r, c = F.pmod("row", F.lit(tile)), F.pmod("col", F.lit(tile))
     g = df.groupBy(*by, tr.alias("trow"), tc.alias("tcol")).agg(
-        F.min("row").alias("_r"), F.min("col").alias("_c"),
-        (F.max("row") - F.min("row") + 1).alias("h"), (F.max("col") - F.min("col") + 1).alias("w"),
-        F.array_sort(F.collect_list(F.struct("row", "col", "value"))).alias("_p"),
+        (F.max(r) + 1).cast("int").alias("h"), (F.max(c) + 1).cast("int").alias("w"),
+        F.array_sort(F.collect_list(F.struct((r * tile + c).cast("int").alias("at"), "value"))).alias("_p"),
     )
-    return g.select(*by, "trow", "tcol", "h", "w", F.col("_p.value").alias("data"))
+    return g.select(*by, "trow", "tcol", "h", "w", F.col("_p.at").alias("at"), F.col("_p.value").alias("data"))
 
 
 def from_tiles(tiles: DataFrame, tile: int = 512, by: Sequence[str] = ("raster_id",)) -> DataFrame:
-    return tiles.select(*by, "trow", "tcol", "w", F.posexplode("data").alias("_i", "value")).select(
-        *by, (F.col("trow") * tile + F.floor(F.col("_i") / F.col("w"))).cast("int").alias("row"),
-        (F.col("tcol") * tile + F.col("_i") % F.col("w")).cast("int").alias("col"), "value",
+    return tiles.select(*by, "trow", "tcol", F.inline(F.arrays_zip("at", "data"))).select(
+        *by, (F.col("trow") * tile + F.floor(F.col("at") / tile)).cast("int").alias("row"),
+        (F.col("tcol") * tile + F.col("at") % tile).cast("int").alias("col"), F.col("data").alias("value"),
     )
 
 

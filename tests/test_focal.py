@@ -223,3 +223,71 @@ def test_ridge_seams_and_lines(spark, rng):
     assert mask[:, 30:32].all() and mask[:, :20].sum() == 0
     flat = FO.ridge_map(to_pixels(spark, np.ones((30, 30))))
     assert flat.agg(F.max("ridge")).first()[0] == pytest.approx(0.0, abs=1e-9)
+
+
+def brute_median(a, size):
+    """Median of reflected windows; gaps take the median of the image."""
+    fill = np.nanmedian(a)
+    x = np.pad(np.where(np.isnan(a), fill, a), size // 2, "symmetric")
+    out = np.median(np.lib.stride_tricks.sliding_window_view(x, (size, size)), (2, 3))
+    return np.where(np.isnan(a), np.nan, out)
+
+
+@pytest.mark.parametrize("shape", [(3, 40), (1, 1), (2, 3), (24, 24), (20, 4)])
+@pytest.mark.parametrize("sparse", [False, True])
+def test_median_of_any_shape_with_gaps(spark, rng, shape, sparse):
+    a = rng.normal(size=shape)
+    a[rng.random(shape) < 0.3] = np.nan
+    a[-1, -1] = 0.5
+    px = to_pixels(spark, a)
+    got = FO.median_filter(px.where("value is not null") if sparse else px, 9, tile=8)
+    np.testing.assert_allclose(to_array(got, shape), brute_median(a, 9))
+
+
+@pytest.mark.parametrize("name", ["box", "lee", "ridge", "goldstein"])
+def test_absent_pixels_count_as_null(spark, rng, name):
+    a = rng.random((30, 26)) + 0.1
+    a[rng.random(a.shape) < 0.3] = np.nan
+    px = to_pixels(spark, a)
+
+    def run(df):
+        if name == "box":
+            return FO.box_mean(df, 5, dims=a.shape), "value"
+        if name == "lee":
+            return FO.lee_sigma(df, 5, dims=a.shape), "value"
+        if name == "ridge":
+            return FO.ridge_map(df, tile=12, dims=a.shape), "ridge"
+        waves = df.select("row", "col", F.cos("value").alias("re"), F.sin("value").alias("im"))
+        return FO.goldstein(waves, patch=8, overlap=4, dims=a.shape), "re"
+
+    whole, sparse = (to_array(df.select("row", "col", v), a.shape, v) for df, v in
+                     (run(px), run(px.where("value is not null"))))
+    there = ~np.isnan(a)
+    np.testing.assert_allclose(sparse[there], whole[there])
+    assert np.isnan(sparse[~there]).all()
+
+
+@pytest.mark.parametrize("strip", [1, 3, 32])
+def test_distance_with_absent_pixels_and_a_mask_beyond_them(spark, rng, strip):
+    shape = (23, 31)
+    m = rng.random(shape) < 0.03
+    m[0, 3] = m[22, 30] = True
+    px = to_pixels(spark, np.zeros(shape))
+    some = px.where("(row * 7 + col * 3) % 10 > 6 and row > 2")
+    got = to_array(distance_map(some, to_mask(spark, m), 10.0, 12.0, strip_rows=strip), shape, "distance")
+    rr, cc = np.nonzero(m)
+    r, c = np.indices(shape)
+    want = np.sqrt(((r[..., None] - rr) * 12.0) ** 2 + ((c[..., None] - cc) * 10.0) ** 2).min(-1)
+    there = ((r * 7 + c * 3) % 10 > 6) & (r > 2)
+    np.testing.assert_allclose(got[there], want[there])
+    assert np.isnan(got[~there]).all()
+
+
+def test_tiles_keep_origin_and_gaps(spark, rng):
+    from groundswell.sources import raster as RS
+
+    a = rng.normal(size=(40, 50))
+    px = to_pixels(spark, a).where("row >= 3 and col >= 5 and (row + col) % 4 > 0").withColumn("raster_id", F.lit("r"))
+    back = RS.from_tiles(RS.to_tiles(px, 16), 16)
+    assert sorted(map(tuple, back.select("row", "col", "value").collect())) == sorted(
+        map(tuple, px.select("row", "col", "value").collect()))
