@@ -202,7 +202,7 @@ def _(d):
 
 
 @query("stack_dates", sql(
-    "v_dates", "SELECT d AS acq_date, CAST(date_diff('day', (SELECT min(ref_date) FROM pairs), d) "
+    "v_dates", "SELECT CAST(row_number() OVER (ORDER BY d)-1 AS INT) AS idx, d AS acq_date, CAST(date_diff('day', (SELECT min(ref_date) FROM pairs), d) "
     "AS INT) AS day FROM (SELECT ref_date AS d FROM pairs UNION SELECT sec_date FROM pairs)",
     pairs=PAIRS))
 def _(d):

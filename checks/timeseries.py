@@ -84,10 +84,53 @@ def _(d):
     return TS.invert_network(d.ifg)
 
 
-@query("invert_network_with_gaps")
+# Pixels of four kinds: by (row*3+col)%4, which pairs they lack.
+GAPS = {0: (), 1: (4, 5), 2: (2, 6), 3: (3,)}
+SPLIT = {0: (), 1: (1, 5), 2: (3, 6, 7), 3: (4, 7)}
+
+
+def gaps_sql(lacking: dict[int, tuple[int, ...]]) -> str:
+    """Series of pixels that lack pairs: one pseudo-inverse a kind over the dates tied to date 0, and
+    NULL for the other dates of its pairs."""
+    rows = []
+    for kind, gone in lacking.items():
+        pairs = [p for p in LINKS if p[0] not in gone]
+        tied = {0}
+        for _ in LINKS:
+            tied |= {x for _, a, b in pairs if tied & {a, b} for x in (a, b)}
+        days = sorted({x for _, a, b in pairs for x in (a, b)})
+        free = [x for x in days if x in tied and x]
+        if 0 not in days:
+            free = []
+        design = np.array([[(b == x) - (a == x) for x in free] for _, a, b in pairs], float).reshape(len(pairs), len(free))
+        inverse = np.linalg.pinv(design)
+        for x in days:
+            for j, (pair, _, _) in enumerate(pairs):
+                k = repr(float(inverse[free.index(x), j])) if x in free else "0.0" if x == 0 else "NULL"
+                rows.append(f"({kind},{x},{pair},{k})")
+    return (f"SELECT row, col, idx, sum(k*phase) AS phase FROM ifg JOIN (SELECT kind, idx, pair_id, CAST(k AS DOUBLE) AS k FROM "
+            f"(VALUES {','.join(rows)}) AS t(kind,idx,pair_id,k)) USING (pair_id) WHERE (row*3+col)%4=kind GROUP BY row, col, idx")
+
+
+def _lacking(d, lacking: dict[int, tuple[int, ...]]):
+    kind = (F.col("row") * 3 + F.col("col")) % 4
+    gone = F.lit(False)
+    for k, pairs in lacking.items():
+        if pairs:
+            gone = gone | ((kind == k) & F.col("pair_id").isin(*pairs))
+    return d.ifg.where(~gone)
+
+
+@query("invert_network_with_gaps", sql("ifg", gaps_sql(GAPS), "phase"))
 def _(d):
-    """Strong phases are dropped, so pixels lack some pairs; the tests solve pixel by pixel."""
-    return TS.invert_network(d.ifg.where("abs(phase) < 0.6"))
+    """Some pixels lack pairs, but all their dates hang together."""
+    return TS.invert_network(_lacking(d, GAPS))
+
+
+@query("invert_split_network", sql("ifg", gaps_sql(SPLIT), "phase"))
+def _(d):
+    """Pairs of some pixels fall into groups; dates that nothing ties to the first have no datum."""
+    return TS.invert_network(_lacking(d, SPLIT))
 
 
 VEL = ("SELECT row, col, regr_slope(phase, day/365.25) AS velocity, sqrt(greatest(regr_syy(phase, "
@@ -231,10 +274,57 @@ def _(d):
     return FL.backscatter_flow(dn, lut)["vv_db"]
 
 
-@query("timeseries_flow")
+PLANE = ("SELECT i.pair_id, i.row, i.col, i.phase-m+c1*r+c2*c-c1*i.row-c2*i.col AS phase FROM {s} i JOIN (SELECT pair_id, "
+         "r, c, m, (cc*rv-rc*cv)/(rr*cc-rc*rc) AS c1, (rr*cv-rc*rv)/(rr*cc-rc*rc) AS c2 FROM (SELECT pair_id, avg(row) AS r, "
+         "avg(col) AS c, avg(phase) AS m, var_pop(row) AS rr, var_pop(col) AS cc, covar_pop(row,col) AS rc, covar_pop(row,phase) "
+         "AS rv, covar_pop(col,phase) AS cv FROM {s} GROUP BY pair_id)) USING (pair_id)")
+
+
+def flow_sql(ref: str, delay: str = "0.0") -> dict[str, str]:
+    """CTEs from pairs to vertical velocity: delay, plane, reference pixel, series, slope, mask."""
+    seconds = "day/365.25"
+    return {
+        "ref": ref, "late": f"SELECT pair_id, row, col, phase-({delay}) AS phase FROM ifg",
+        "flat": PLANE.format(s="late"),
+        "tied": "SELECT i.pair_id, i.row, i.col, i.phase-r.phase AS phase FROM flat i JOIN (SELECT pair_id, phase FROM flat "
+                "JOIN ref USING (row, col)) r USING (pair_id)",
+        "inv": inverse_sql(), "series": SERIES.format(s="tied"),
+        "slope": f"SELECT row, col, regr_slope(phase*(0.056/(4*pi())), {seconds}) AS velocity FROM series JOIN v_days USING "
+                 "(idx) GROUP BY row, col",
+        "resid": "SELECT i.row, i.col, i.phase-(b.phase-a.phase) AS residual FROM tied i JOIN v_pairs p USING (pair_id) JOIN "
+                 "series a ON a.row=i.row AND a.col=i.col AND a.idx=p.ref_idx JOIN series b ON b.row=i.row AND b.col=i.col AND "
+                 "b.idx=p.sec_idx",
+        "tcoh": "SELECT row, col, sqrt(pow(avg(cos(residual)),2)+pow(avg(sin(residual)),2)) AS c FROM resid GROUP BY row, col",
+        "moved": "SELECT s.row, s.col, CASE WHEN c<0.5 THEN NULL ELSE greatest(least(velocity/cos(radians(37))*1000,200.0),"
+                 "-200.0) END AS value FROM slope s JOIN tcoh USING (row, col)",
+    }
+
+
+LATE = "((row+sec_idx*col)%13-(row+ref_idx*col)%13)*0.01"
+
+
+@query("timeseries_flow", sql("ifg v_days v_pairs", "SELECT row, col, value FROM moved", "value", **flow_sql(REF, LATE)))
+def _(d):
+    """Network to exported velocity; the most coherent pixel stays at zero through delay and ramp."""
+    idx = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("idx")
+    delay = d.vel.select("row", "col", idx).select(
+        "idx", "row", "col", ((F.col("row") + F.col("idx") * F.col("col")) % 13 * 0.01).alias("delay"))
+    return FL.timeseries_flow(d.ifg, d.v_days, delay=delay)["subsidence_velocity"]
+
+
+@query("timeseries_from_listing", sql(
+    "ifg v_days v_pairs", "SELECT row, col, value FROM moved", "value", **flow_sql("SELECT 4 AS row, 6 AS col")))
 def _(d):
-    """Network to exported velocity; steps are checked one by one elsewhere."""
-    return FL.timeseries_flow(d.ifg, d.v_days)["subsidence_velocity"]
+    """Object names and layers to velocity, against a reference given in degrees."""
+    day = [20200101, 20200113, 20200125, 20200218, 20200301]
+    names = [f"merged/{day[a]}_{day[b]}/filt_fine.unw" for _, a, b in LINKS]
+    pair = F.element_at(F.create_map(*[F.lit(x) for p, a, b in LINKS for x in (p, f"{day[a]}_{day[b]}")]), F.col("pair_id"))
+    layer = lambda c: d.ifg.select(pair.alias("pair_id"), "row", "col", F.col(c).alias("value"))
+    listing = d.ifg.select("pair_id").distinct().select(
+        F.element_at(F.create_map(*[F.lit(x) for (p, _, _), n in zip(LINKS, names) for x in (p, n)]), F.col("pair_id")).alias("name"))
+    grid = Grid(2000, 125, 0.001, 0.0, 114.0, 0.0, -0.001, -2.0)
+    return FL.timeseries_from_listing(
+        listing, layer("phase"), layer("coherence"), grid=grid, reference_lonlat=(114.0065, -2.0045))["subsidence_velocity"]
 
 
 @query("fuse_flow", sql(

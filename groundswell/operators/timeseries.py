@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundswell.frames import attach, small
+from groundswell.frames import attach, materialized, small
 from groundswell.operators.geometry import deramp
 
 PIXEL = ["row", "col"]
@@ -36,41 +36,69 @@ def reference_pixel(stack: DataFrame, min_coherence: float = 0.7) -> DataFrame:
 
 
 def reference_phase(
-    stack: DataFrame, at: tuple[int, int] | None = None, min_coherence: float = 0.7
+    stack: DataFrame, at: tuple[int, int] | DataFrame | None = None, min_coherence: float = 0.7
 ) -> DataFrame:
-    """Subtract each pair's phase at the reference pixel (given, or the most coherent one)."""
-    if at is None:
-        ref = reference_pixel(stack, min_coherence).select(*PIXEL)
-        base = stack.join(F.broadcast(ref), PIXEL, "left_semi")  # one row by its limit
-    else:
+    """Subtract each pair's phase at the reference pixel.
+
+    The pixel is given as numbers, as a one-row table chosen before, or is the most coherent one.
+    A pair without a phase there can't be referenced and is dropped; without any pixel that
+    reaches the limit the stack comes back as it is.
+    """
+    if isinstance(at, tuple):
         base = stack.where((F.col("row") == at[0]) & (F.col("col") == at[1]))
-    base = base.groupBy("pair_id").agg(F.first("phase", ignorenulls=True).alias("_ref"))
-    return attach(stack, base, ["pair_id"]).withColumn(
-        "phase", F.col("phase") - F.coalesce("_ref", F.lit(0.0))
-    ).drop("_ref")
+    else:
+        ref = reference_pixel(stack, min_coherence) if at is None else at
+        ref = materialized(ref.select(*PIXEL).limit(1))
+        if ref.isEmpty():
+            return stack
+        base = stack.join(F.broadcast(ref), PIXEL, "left_semi")  # one row by its limit
+    base = base.where(F.col("phase").isNotNull()).groupBy("pair_id").agg(F.first("phase").alias("_ref"))
+    # One short row per pair, folded into a map: no shuffle of the stack by pair.
+    refs = base.agg(F.map_from_entries(F.collect_list(F.struct("pair_id", "_ref"))).alias("_refs"))
+    return attach(stack, refs).withColumn("_ref", F.col("_refs")[F.col("pair_id")]).where(
+        F.col("_ref").isNotNull()
+    ).withColumn("phase", F.col("phase") - F.col("_ref")).drop("_ref", "_refs")
 
 
 def apply_delay(stack: DataFrame, delay: DataFrame | None = None) -> DataFrame:
-    """Remove the delay difference of the two dates: ``delay(idx, row, col, delay)``."""
+    """Remove the delay difference of the two dates: ``delay(idx, row, col, delay)``.
+
+    A pixel's dates become one small map, so that the stack, the largest table, is joined once.
+    """
     if delay is None:
         return stack
-    ref = delay.select(F.col("idx").alias("ref_idx"), *PIXEL, F.col("delay").alias("_dr"))
-    sec = delay.select(F.col("idx").alias("sec_idx"), *PIXEL, F.col("delay").alias("_ds"))
-    return (
-        stack.join(ref, ["ref_idx", *PIXEL], "left").join(sec, ["sec_idx", *PIXEL], "left")
-        .withColumn("phase", F.col("phase") - (
-            F.coalesce("_ds", F.lit(0.0)) - F.coalesce("_dr", F.lit(0.0))))
-        .drop("_dr", "_ds")
+    by_pixel = delay.where(F.col("delay").isNotNull()).groupBy(*PIXEL).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("idx").cast("int"), "delay"))).alias("_d")
     )
 
+    def at(idx: str):
+        return F.coalesce(F.element_at("_d", F.col(idx).cast("int")), F.lit(0.0))
+
+    return stack.join(by_pixel, PIXEL, "left").withColumn(
+        "phase", F.col("phase") - (at("sec_idx") - at("ref_idx"))).drop("_d")
+
 
 def deramp_stack(stack: DataFrame) -> DataFrame:
     return deramp(stack, ["pair_id"], "phase")
 
 
+def _tied(a: np.ndarray, b: np.ndarray, days: np.ndarray, first: int) -> np.ndarray:
+    """Flags of the dates that the pairs (a, b) tie to the first date of the network."""
+    seen = days == first
+    for _ in days:
+        linked = seen[a] | seen[b]
+        grown = seen.copy()
+        grown[a[linked]] = grown[b[linked]] = True
+        if (grown == seen).all():
+            break
+        seen = grown
+    return seen
+
+
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _solve(refs: pd.Series, secs: pd.Series, phases: pd.Series) -> pd.Series:
-    """Least-squares phase per date of each pixel, first date 0, dates in ascending order.
+def _solve(refs: pd.Series, secs: pd.Series, phases: pd.Series, first: pd.Series) -> pd.Series:
+    """Least-squares phase per date of each pixel, the network's first date 0, dates in ascending
+    order; NaN for dates that no chain of pairs ties to the first.
 
     Pixels of a batch with the same pairs share one pseudo-inverse and one product.
     """
@@ -85,8 +113,12 @@ def _solve(refs: pd.Series, secs: pd.Series, phases: pd.Series) -> pd.Series:
         rows = np.arange(len(a))
         np.add.at(design, (rows, place[len(a) :]), 1.0)
         np.add.at(design, (rows, place[: len(a)]), -1.0)
-        solved = np.stack(phases.iloc[members].to_numpy()) @ np.linalg.pinv(design[:, 1:]).T
-        full = np.hstack([np.zeros((len(members), 1)), solved])
+        tied = _tied(place[: len(a)], place[len(a) :], days, int(first.iloc[0]))
+        full = np.full((len(members), len(days)), np.nan)
+        if tied.any():
+            free = tied & (days != int(first.iloc[0]))
+            full[:, tied] = 0.0
+            full[:, free] = np.stack(phases.iloc[members].to_numpy()) @ np.linalg.pinv(design[:, free]).T
         for i, x in zip(members, full):
             out[i] = x
     return pd.Series(out)
@@ -95,11 +127,13 @@ def _solve(refs: pd.Series, secs: pd.Series, phases: pd.Series) -> pd.Series:
 def invert_network(stack: DataFrame) -> DataFrame:
     """Least-squares phase per date and pixel: one shuffle by pixel, then local algebra.
 
-    A pixel's group holds its pairs, at most one row per pair of the network.  Pixels
-    missing some pairs are solved on the pairs they have.
+    A pixel's group holds its pairs, at most one row per pair of the network.  Pixels missing some
+    pairs are solved on the pairs they have.  The network's first date has phase 0; dates of a
+    pixel that its pairs don't tie to it have no datum, and NULL.
     """
     pair = F.struct("pair_id", F.col("ref_idx").cast("int").alias("ref_idx"),
                     F.col("sec_idx").cast("int").alias("sec_idx"), "phase")
+    first = stack.agg(F.least(F.min("ref_idx"), F.min("sec_idx")).cast("int").alias("_first"))
     pixels = (
         stack.where(F.col("phase").isNotNull())
         .groupBy(*PIXEL).agg(F.array_sort(F.collect_list(pair)).alias("_p"))
@@ -107,8 +141,10 @@ def invert_network(stack: DataFrame) -> DataFrame:
                 F.col("_p.phase").alias("_f"))
     )
     days = F.array_sort(F.array_distinct(F.concat("_r", "_s")))
-    solved = pixels.select(*PIXEL, days.alias("idx"), _solve("_r", "_s", "_f").alias("phase"))
-    return solved.select(*PIXEL, F.inline(F.arrays_zip("idx", "phase")))
+    solved = attach(pixels, first).select(
+        *PIXEL, days.alias("idx"), _solve("_r", "_s", "_f", "_first").alias("phase"))
+    return solved.select(*PIXEL, F.inline(F.arrays_zip("idx", "phase"))).withColumn(
+        "phase", F.nanvl("phase", F.lit(None).cast("double")))
 
 
 def _with_years(series: DataFrame, dates: DataFrame) -> DataFrame:
@@ -119,7 +155,7 @@ def _with_years(series: DataFrame, dates: DataFrame) -> DataFrame:
 def timeseries_velocity(series: DataFrame, dates: DataFrame, to_value: float = 1.0) -> DataFrame:
     """Slope per year of ``phase * to_value`` per pixel, and its standard error."""
     x, y = F.col("_yr"), F.col("phase") * F.lit(float(to_value))
-    n = F.count("*")
+    n = F.count(y)
     joined = _with_years(series, dates)
     sxx, sxy, syy = F.regr_sxx(y, x), F.regr_sxy(y, x), F.regr_syy(y, x)
     rss = F.greatest(syy - sxy * sxy / sxx, F.lit(0.0))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from groundswell.config import Settings
 from groundswell.frames import materialized, val
 from groundswell.functions import scalar as S
-from groundswell.functions.geodesy import Grid
+from groundswell.functions.geodesy import Grid, to_crs
 from groundswell.operators import acquisitions as Q
 from groundswell.operators import algebra as A
 from groundswell.operators import catalog as C
@@ -25,6 +25,7 @@ from groundswell.operators.focal import lee_sigma
 from groundswell.plans import products as P
 from groundswell.plans import reports as R
 from groundswell.sources import objects
+from groundswell.sources import stack as SK
 from groundswell.sources.scenes import acquisition_stack
 
 
@@ -50,12 +51,28 @@ def timeseries_flow(
     stack: DataFrame, dates: DataFrame, settings: Settings = Settings(),
     delay: DataFrame | None = None, grid: Grid | None = None,
     aoi: Sequence[float] | None = None, reference: tuple[int, int] | None = None,
+    reference_lonlat: tuple[float, float] | None = None,
 ) -> dict[str, DataFrame]:
-    """Network, reference, delay, deramp, inversion, velocity and export."""
+    """Network, delay, deramp, reference, inversion, velocity and export.
+
+    The reference pixel (row and column, longitude and latitude on ``grid``, or the most coherent
+    one) is chosen first, on the phases as observed.  Delay and ramp are taken off next, and the phase
+    there last: it stays zero in every pair, so the pixel does not move.
+    """
     ts = settings.timeseries
-    net = TS.modify_network(stack, ts.min_pair_coherence)
-    net = TS.reference_phase(net, reference, ts.reference_min_coherence)
-    net = materialized(TS.deramp_stack(TS.apply_delay(net, delay)))
+    net = materialized(TS.modify_network(stack, ts.min_pair_coherence))
+    at: tuple[int, int] | DataFrame | None = reference
+    if reference is None and reference_lonlat is not None:
+        if grid is None:
+            raise ValueError("a reference in degrees needs the grid")
+        x, y = to_crs(*map(F.lit, map(float, reference_lonlat)), 4326, grid.epsg)
+        row, col = grid.rowcol(x, y)
+        at = stack.sparkSession.range(1).select(
+            F.floor(row).cast("int").alias("row"), F.floor(col).cast("int").alias("col"))
+    elif reference is None:
+        at = materialized(TS.reference_pixel(net, ts.reference_min_coherence))
+    net = TS.deramp_stack(TS.apply_delay(net, delay))
+    net = materialized(TS.reference_phase(net, at))
     series = materialized(TS.invert_network(net))
     metres = settings.sensor.wavelength_m / (4 * math.pi)
     velocity = TS.timeseries_velocity(series, dates, metres)
@@ -63,6 +80,16 @@ def timeseries_flow(
     return {"series": series, **export_velocity(velocity, coherence, settings, grid, aoi)}
 
 
+def timeseries_from_listing(
+    listing: DataFrame, phase: DataFrame, coherence: DataFrame, **options
+) -> dict[str, DataFrame]:
+    """From object names and layers ``(pair_id, row, col, value)`` to velocity, in one chain."""
+    pairs = SK.discover_pairs(listing)
+    dates = SK.stack_dates(pairs)
+    stack = SK.load_stack(SK.indexed_pairs(pairs, dates), phase, coherence)
+    return timeseries_flow(stack.where("row IS NOT NULL"), dates, **options)
+
+
 def export_velocity(
     velocity: DataFrame, coherence: DataFrame, settings: Settings = Settings(),
     grid: Grid | None = None, aoi: Sequence[float] | None = None,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundswell.frames import small
+from groundswell.frames import attach, small
 
 
 def discover_pairs(listing: DataFrame) -> DataFrame:
@@ -24,10 +24,24 @@ def discover_pairs(listing: DataFrame) -> DataFrame:
 
 
 def stack_dates(pairs: DataFrame) -> DataFrame:
-    """Acquisition dates of the network with a running index and the day number."""
-    d = pairs.select(F.explode(F.array("ref_date", "sec_date")).alias("acq_date")).distinct()
-    first = d.agg(F.min("acq_date")).scalar()
-    return d.withColumn("day", F.datediff("acq_date", first))
+    """Acquisition dates of the network with a running index ``idx`` and the day number.
+
+    A network has at most one date per calendar day, so the index is made on one short array.
+    """
+    days = F.array_sort(F.collect_set("acq_date"))
+    listed = pairs.select(F.explode(F.array("ref_date", "sec_date")).alias("acq_date")).agg(days.alias("_d"))
+    return listed.select(F.posexplode("_d").alias("idx", "acq_date"), F.col("_d")[0].alias("_first")).select(
+        "idx", "acq_date", F.datediff("acq_date", "_first").alias("day"))
+
+
+def indexed_pairs(pairs: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Pairs with the indexes of their dates and the days between: what the time series needs."""
+    dates = stack_dates(pairs) if dates is None else dates
+    at = dates.agg(F.map_from_entries(F.collect_list(F.struct("acq_date", "idx"))).alias("_at"))
+    return attach(pairs, at).select(
+        *pairs.columns, F.col("_at")[F.col("ref_date")].alias("ref_idx"),
+        F.col("_at")[F.col("sec_date")].alias("sec_idx"),
+        F.datediff("sec_date", "ref_date").alias("dt_days"))
 
 
 def load_stack(

@@ -12,7 +12,8 @@ def test_inversion_with_missing_pairs(spark, rng):
     rows, want = [], {}
     for col in range(40):
         kept = [p for p in LINKS if rng.random() > 0.3] if col % 2 else LINKS
-        kept = kept or LINKS[:1]
+        if not any(0 in p[1:] for p in kept):
+            kept = [LINKS[0], *kept]
         phases = rng.normal(size=len(kept))
         rows += [(p, a, b, 0, col, float(x)) for (p, a, b), x in zip(kept, phases)]
         days = sorted({d for _, a, b in kept for d in (a, b)})
@@ -20,8 +21,12 @@ def test_inversion_with_missing_pairs(spark, rng):
         for i, (_, a, b) in enumerate(kept):
             design[i, days.index(b)] += 1
             design[i, days.index(a)] -= 1
-        x = np.linalg.lstsq(design[:, 1:], phases, rcond=None)[0]
-        want[col] = dict(zip(days, [0.0, *x]))
+        tied = {0}
+        for _ in LINKS:
+            tied |= {d for _, a, b in kept if tied & {a, b} for d in (a, b)}
+        free = [k for k, d in enumerate(days) if d in tied and d]
+        x = np.linalg.lstsq(design[:, free], phases, rcond=None)[0]
+        want[col] = {d: None for d in days} | {0: 0.0} | {days[k]: v for k, v in zip(free, x)}
     df = spark.createDataFrame(
         rows, "pair_id int, ref_idx int, sec_idx int, row int, col int, phase double")
     got: dict = {}
@@ -53,5 +58,30 @@ def test_no_reference_pixel_leaves_phases(spark):
         [(1, 0, 1, 0, 0, 0.3, 0.2)],
         "pair_id int, ref_idx int, sec_idx int, row int, col int, phase double, coherence double")
     assert TS.reference_phase(stack).first()["phase"] == 0.3
+    assert TS.reference_phase(stack, (5, 5)).count() == 0
     assert TS.modify_network(stack).count() == 0
     assert TS.apply_delay(stack) is stack
+
+
+def test_reference_pixel_does_not_move(spark, rng):
+    from groundswell.plans.flows import timeseries_flow
+
+    rows = [(p, a, b, r, c, float(rng.normal()), 0.9) for p, a, b in LINKS for r in range(6) for c in range(5)]
+    stack = spark.createDataFrame(
+        rows, "pair_id int, ref_idx int, sec_idx int, row int, col int, phase double, coherence double")
+    dates = spark.createDataFrame(list(enumerate(DAYS)), "idx int, day int")
+    found = []
+    for at in ((0, 0), (5, 3)):
+        out = timeseries_flow(stack, dates, reference=at)["series"]
+        at_ref = out.where(f"row = {at[0]} and col = {at[1]}").collect()
+        assert [r["phase"] for r in at_ref] == pytest.approx([0.0] * 5, abs=1e-9)
+        found.append({(r["row"], r["col"], r["idx"]): r["phase"] for r in out.collect()})
+    assert any(abs(found[0][k] - found[1][k]) > 1e-3 for k in found[0])
+
+
+def test_pair_without_phase_at_the_reference_is_dropped(spark):
+    stack = spark.createDataFrame(
+        [(1, 0, 1, 0, 0, 1.0, 0.9), (1, 0, 1, 0, 1, 3.0, 0.8), (2, 1, 2, 0, 0, None, 0.9), (2, 1, 2, 0, 1, 5.0, 0.8)],
+        "pair_id int, ref_idx int, sec_idx int, row int, col int, phase double, coherence double")
+    got = TS.reference_phase(stack, (0, 0)).collect()
+    assert sorted((r["pair_id"], r["col"], r["phase"]) for r in got) == [(1, 0, 0.0), (1, 1, 2.0)]
