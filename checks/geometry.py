@@ -34,6 +34,42 @@ def _(d):
     return G.calibrate(d.vv.withColumn("value", val() * 1e5), d.v_lut)
 
 
+# Eight scenes, each with a table of its own nodes; scene 8 has a single line of them.
+SCENES_SQL = "(SELECT unnest(generate_series(1,8)) AS scene_id)"
+LUTS = (f"SELECT s.scene_id, l.line+3*s.scene_id AS line, l.pixel+2*s.scene_id AS pixel, l.value+10*s.scene_id AS value FROM v_lut l "
+        f"CROSS JOIN {SCENES_SQL} s WHERE s.scene_id<8 OR l.line=40")
+#: Nodes around a place on one axis: the last one at or before it (but not the last of all) and the next.
+AXIS = ("SELECT scene_id, x AS {k}, a AS {k}0, coalesce(nxt, a) AS {k}1, CASE WHEN nxt IS NULL THEN 0 ELSE "
+        "least(greatest((x-a)/(nxt-a),0),1) END AS f{k} FROM (SELECT n.scene_id, p.x, max(n.{k}) AS a, max_by(n.nxt, n.{k}) AS nxt "
+        "FROM (SELECT DISTINCT {c} AS x FROM vv) p JOIN (SELECT scene_id, {k}, lead({k}) OVER w AS nxt, row_number() OVER w AS r, "
+        "count(*) OVER (PARTITION BY scene_id) AS m FROM (SELECT DISTINCT scene_id, {k} FROM luts) WINDOW w AS (PARTITION BY scene_id "
+        "ORDER BY {k})) n ON (n.{k}<=p.x OR r=1) AND (r<m OR m=1) GROUP BY n.scene_id, p.x)")
+BY_SCENE = {"luts": LUTS, "lines": AXIS.format(k="line", c="row"),
+            "pixels": AXIS.format(k="pixel", c="col"),
+            "sigma0": "SELECT y.scene_id, vv.row, vv.col, pow(vv.value*1e5*(1+y.scene_id*0.1),2)/pow((a.value*(1-fline)+b.value*fline)*"
+                      "(1-fpixel)+(c.value*(1-fline)+e.value*fline)*fpixel,2) AS value FROM vv JOIN lines y ON y.line=vv.row JOIN pixels "
+                      "x ON x.pixel=vv.col AND x.scene_id=y.scene_id JOIN luts a ON a.scene_id=y.scene_id AND a.line=line0 AND "
+                      "a.pixel=pixel0 JOIN luts b ON b.scene_id=y.scene_id AND b.line=line1 AND b.pixel=pixel0 JOIN luts c ON "
+                      "c.scene_id=y.scene_id AND c.line=line0 AND c.pixel=pixel1 JOIN luts e ON e.scene_id=y.scene_id AND e.line=line1 "
+                      "AND e.pixel=pixel1"}
+
+
+def scenes(d):
+    """Digital numbers and calibration tables of eight scenes."""
+    each = F.explode(F.sequence(F.lit(1), F.lit(8))).alias("scene_id")
+    dn = d.vv.select("row", "col", "value", each).withColumn("value", val() * 1e5 * (F.col("scene_id") * 0.1 + 1))
+    k = F.col("scene_id")
+    lut = d.v_lut.select("line", "pixel", "value", each).where("scene_id < 8 OR line = 40").select(
+        "scene_id", (F.col("line") + k * 3).alias("line"), (F.col("pixel") + k * 2).alias("pixel"), (val() + k * 10).alias("value"))
+    return dn, lut
+
+
+@query("calibrate_by_scene", sql("vv v_lut", "SELECT scene_id, row, col, value FROM sigma0", "value", **BY_SCENE))
+def _(d):
+    return G.calibrate(*scenes(d), ["scene_id"])
+
+
+
 def utm_sql(lon: str, lat: str, epsg: int) -> tuple[str, str]:
     """Krueger series as SQL text (x, y)."""
     lon0, north0 = GD._zone(epsg)

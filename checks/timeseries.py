@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from checks.acquisitions import gap_sql
+from checks.focal import DIMS, around
+from checks.geometry import BY_SCENE, scenes
 from checks.projections import FUSED
 from checks.registry import query
 from checks.views import sql
@@ -264,14 +266,20 @@ def _(d):
     return R.validation_summary(R.correlations(d.vel, d.vv, d.coh))
 
 
-@query("backscatter_flow")
+LEE_BY_SCENE = (
+    "SELECT scene_id, row, col, CASE WHEN x < m-0.9*sqrt(v) OR x > m+0.9*sqrt(v) THEN m ELSE m + CASE WHEN greatest(v-m*m,0)+m*m>0 "
+    "THEN greatest(v-m*m,0)/(greatest(v-m*m,0)+m*m) ELSE 0 END*(x-m) END AS value FROM (SELECT n.scene_id, n.row, n.col, "
+    "any_value(s.value) AS x, avg(n.value) AS m, greatest(avg(n.value*n.value)-avg(n.value)*avg(n.value),0) AS v FROM near n JOIN "
+    "sigma0 s ON s.scene_id=n.scene_id AND s.row=n.row AND s.col=n.col GROUP BY n.scene_id, n.row, n.col)")
+NEAR = around("vv", 3).replace("SELECT q.row, q.col, t.value", "SELECT t.scene_id, q.row, q.col, t.value").replace("JOIN vv t", "JOIN sigma0 t")
+
+
+@query("backscatter_flow", sql(
+    "vv v_lut", "SELECT row, col, 10*log10(greatest(median(value), 1e-5)) AS value FROM clean GROUP BY row, col", "value", **BY_SCENE,
+    **DIMS, near=NEAR, clean=LEE_BY_SCENE))
 def _(d):
-    """Calibrated, despeckled scenes composited over time; steps are checked one by one elsewhere."""
-    scene = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("scene_id")
-    dn = d.vv.select("row", "col", (val() * 1e4).alias("value"), scene).withColumn(
-        "value", val() * (F.col("scene_id") * 0.1 + 1))
-    lut = d.v_lut.select("line", "pixel", "value", scene)
-    return FL.backscatter_flow(dn, lut)["vv_db"]
+    """Eight scenes, each with its own table: calibrated, despeckled, composited over time, in decibels."""
+    return FL.backscatter_flow(*scenes(d))["vv_db"]
 
 
 PLANE = ("SELECT i.pair_id, i.row, i.col, i.phase-m+c1*r+c2*c-c1*i.row-c2*i.col AS phase FROM {s} i JOIN (SELECT pair_id, "

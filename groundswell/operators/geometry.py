@@ -14,64 +14,91 @@ from groundswell.functions.geodesy import Grid, project_utm, to_crs
 # --- Calibration ----------------------------------------------------------------------
 
 
-def lut_cells(lut: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Rectangles between neighbouring table nodes with their four corner values."""
-    by = list(by)
-    along_pixel = Window.partitionBy(*by, "line").orderBy("pixel")
-    along_line = Window.partitionBy(*by, "pixel").orderBy("line")
-    down = lut.withColumns({
-        "line1": F.lead("line").over(along_line), "v10": F.lead("value").over(along_line),
-    })
-    return (
-        down.withColumns({
-            "pixel1": F.lead("pixel").over(along_pixel), "v01": F.lead("value").over(along_pixel),
-            "v11": F.lead("v10").over(along_pixel),
-        })
-        .where(F.col("line1").isNotNull() & F.col("pixel1").isNotNull())
-        .select(*by, F.col("line").alias("line0"), "line1", F.col("pixel").alias("pixel0"),
-                "pixel1", F.col("value").alias("v00"), "v01", "v10", "v11")
-    )
+#: Table nodes (with their lines and pixels spread to indexes) of the scenes that one broadcast holds.
+BLOCK_NODES = 4_000_000
 
 
-def calibrate(dn: DataFrame, lut: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """sigma0 = DN^2 / LUT^2, the table bilinear in line and pixel, held past its ends.
+def lut_tables(lut: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per table: sorted lines and pixels, the values row by row, and for each integer line
+    and pixel inside the table the number of the node before it.
 
-    Every integer line and pixel inside the table knows its cell, so the bracket
-    search is two equi-joins on short tables (image height and width), not a range join.
+    A table must be a full grid of its lines and pixels; a hole is an error, not a lost pixel.
     """
-    by = list(by)
-    cells = materialized(lut_cells(lut, by))
-    ends = lut.groupBy(*by).agg(
-        F.min("line").alias("_l0"), (F.max("line") - 1).alias("_l1"),
-        F.min("pixel").alias("_p0"), (F.max("pixel") - 1).alias("_p1"),
-    )
+    nodes = lut.groupBy(*by).agg(
+        F.array_sort(F.collect_set("line")).alias("_lines"), F.array_sort(F.collect_set("pixel")).alias("_pixels"),
+        F.array_sort(F.collect_list(F.struct("line", "pixel", F.col("value").cast("double").alias("value")))).alias("_nodes"))
+    full = F.size("_nodes") == F.size("_lines") * F.size("_pixels")
+
+    def before(name: str) -> Column:
+        spots = F.col(name)
+        gaps = F.transform(F.slice(spots, 2, F.greatest(F.size(spots) - 1, F.lit(0))),
+                           lambda end, i: F.array_repeat(i, (end - spots[i]).cast("int")))
+        return F.flatten(gaps)
+
+    return nodes.select(
+        *by, "_lines", "_pixels", F.when(full, F.col("_nodes.value")).otherwise(
+            F.raise_error(F.lit("a calibration table is not a full grid")).cast("array<double>")).alias("_values"),
+        before("_lines").alias("_line_at"), before("_pixels").alias("_pixel_at"))
+
+
+def _calibrated(located: DataFrame, by: Sequence[str]) -> DataFrame:
+    """sigma0 of pixels that stand beside their table: lookups by place, no search."""
+
+    def axis(x: str, nodes: str, at: str) -> tuple[Column, Column, Column]:
+        spots = F.col(nodes)
+        held = F.least(F.greatest(F.col(x), spots[0]), F.element_at(spots, -1))
+        i = F.coalesce(F.get(at, F.least(held, F.element_at(spots, -1) - 1) - spots[0]), F.lit(0))
+        j = F.least(i + 1, F.size(spots) - 1)
+        wide = (F.get(spots, j) - F.get(spots, i)).cast("double")
+        return i, j, F.when(wide > 0, (held - F.get(spots, i)) / wide).otherwise(F.lit(0.0))
+
+    i0, i1, fy = axis("row", "_lines", "_line_at")
+    j0, j1, fx = axis("col", "_pixels", "_pixel_at")
+    places = located.withColumns({"_i0": i0, "_i1": i1, "_fy": fy, "_j0": j0, "_j1": j1, "_fx": fx})
+    width = F.size("_pixels")
+
+    def node(i: str, j: str) -> Column:
+        return F.get("_values", F.col(i) * width + F.col(j))
+
+    left = node("_i0", "_j0") * (1 - F.col("_fy")) + node("_i1", "_j0") * F.col("_fy")
+    right = node("_i0", "_j1") * (1 - F.col("_fy")) + node("_i1", "_j1") * F.col("_fy")
+    raw = left * (1 - F.col("_fx")) + right * F.col("_fx")
+    gain = F.when(F.col("_gain") == 0, F.lit(1.0)).otherwise(F.col("_gain"))
+    return places.select(*by, "row", "col", "value", raw.alias("_gain")).select(
+        *by, "row", "col", (val() * val() / (gain * gain)).alias("value"))
 
-    def index(a: str, b: str, name: str) -> DataFrame:
-        spans = cells.select(*by, a, b).distinct()
-        return small(
-            spans.select(*by, a, F.explode(F.sequence(F.col(a), F.col(b) - 1)).alias(name)),
-            write=False,
-        )
 
-    def share(x: Column, a: str, b: str) -> Column:
-        f = (x - F.col(a)) / (F.col(b) - F.col(a))
-        return F.least(F.greatest(f, F.lit(0.0)), F.lit(1.0))
-
-    located = (
-        attach(dn, ends, by)
-        .withColumn("_line", F.least(F.greatest("row", "_l0"), "_l1"))
-        .withColumn("_pixel", F.least(F.greatest("col", "_p0"), "_p1"))
-        .join(index("line0", "line1", "_line"), [*by, "_line"])
-        .join(index("pixel0", "pixel1", "_pixel"), [*by, "_pixel"])
-        .join(small(cells, write=False), [*by, "line0", "pixel0"])
-    )
-    fy = share(F.col("row"), "line0", "line1")
-    fx = share(F.col("col"), "pixel0", "pixel1")
-    left = F.col("v00") * (1 - fy) + F.col("v10") * fy
-    right = F.col("v01") * (1 - fy) + F.col("v11") * fy
-    raw = left * (1 - fx) + right * fx
-    gain = F.when(raw == 0, F.lit(1.0)).otherwise(raw)
-    return located.select(*by, "row", "col", (val() * val() / (gain * gain)).alias("value"))
+def calibrate(dn: DataFrame, lut: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """sigma0 = DN^2 / LUT^2, the table bilinear in line and pixel, held past its ends and across
+    an axis with a single node.
+
+    A table is one row of arrays.  Scenes are taken in blocks of at most ``BLOCK_NODES`` array entries
+    (some 30 MB), whose tables are broadcast: pixels are never shuffled, and a reader prunes the
+    pixels of a block by its keys.  A scene without a table drops out.
+    """
+    by = list(by)
+    if not by:
+        return _calibrated(attach(dn, lut_tables(lut)), by)
+    tables = materialized(lut_tables(lut, by))
+    size = F.size("_values") + F.size("_line_at") + F.size("_pixel_at")
+    blocks: list[list] = [[]]
+    held = 0
+    for row in tables.select(*by, size.alias("_n")).orderBy(*by).collect():  # one short row per scene
+        if blocks[-1] and held + row["_n"] > BLOCK_NODES:
+            blocks.append([])
+            held = 0
+        blocks[-1].append(tuple(row)[:-1])
+        held += row["_n"]
+    parts = []
+    for block in blocks:
+        keys = F.struct(*by).isin([F.struct(*[F.lit(v) for v in key]) for key in block]) if len(by) > 1 else (
+            F.col(by[0]).isin([key[0] for key in block]))
+        side = F.broadcast(tables.where(keys))  # bounded by BLOCK_NODES
+        parts.append(_calibrated(dn.where(keys).join(side, by), by))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 # --- Grids and resampling -------------------------------------------------------------

@@ -121,3 +121,28 @@ def test_composite_rejects_unknown_method(spark):
     df = to_pixels(spark, np.ones((2, 2)))
     with pytest.raises(ValueError):
         C.temporal_composite(df, "mode")
+
+
+def test_calibration_never_shuffles_pixels(spark, rng, monkeypatch):
+    """Several blocks of scenes, single-node axes, and no exchange below the pixels."""
+    monkeypatch.setattr(G, "BLOCK_NODES", 60)
+    dn = np.round(rng.uniform(10, 500, (12, 10)))
+    px = to_pixels(spark, dn).withColumn("scene_id", F.explode(F.sequence(F.lit(1), F.lit(5))))
+    nodes = [(s, line, pixel, 2.0 + s + line + 3 * pixel) for s in range(1, 5)
+             for line in ((2,) if s == 3 else (1, 5, 20)) for pixel in ((4,) if s == 4 else (0, 3, 8))]
+    lut = spark.createDataFrame(nodes, "scene_id int, line int, pixel int, value double")
+    out = G.calibrate(px, lut, ["scene_id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") > 1
+    got = {(r["scene_id"], r["row"], r["col"]): r["value"] for r in out.collect()}
+    assert len(got) == 4 * dn.size
+    for (s, r, c), v in got.items():
+        line = 2 if s == 3 else min(max(r, 1), 20)
+        pixel = 4 if s == 4 else min(max(c, 0), 8)
+        assert v == pytest.approx(dn[r, c] ** 2 / (2.0 + s + line + 3 * pixel) ** 2)
+
+
+def test_calibration_table_with_a_hole_fails(spark):
+    lut = spark.createDataFrame([(0, 0, 1.0), (0, 5, 1.0), (5, 0, 1.0)], "line int, pixel int, value double")
+    with pytest.raises(Exception, match="full grid"):
+        G.calibrate(to_pixels(spark, np.ones((3, 3))), lut).collect()
