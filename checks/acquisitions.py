@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.views import sql
+from groundswell.frames import ensure_checkpoint_dir
 from groundswell.operators import acquisitions as Q
 from groundswell.operators import catalog as C
 from groundswell.sources import objects as O
@@ -192,6 +195,20 @@ def _(d):
     return sums.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "md5")
 
 
+@query("publish_products", sql(
+    "", "SELECT o_orderkey AS name, CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date, CASE WHEN month(o_orderdate)%2=0 THEN 2 ELSE 1 END AS version "
+    "FROM orders"), digits=None)
+def _(d):
+    """Two runs of the sink: the second replaces the runs of even months and leaves the others."""
+    ensure_checkpoint_dir(d.spark)
+    base = f"{d.spark.sparkContext.getCheckpointDir()}/published-{uuid.uuid4().hex}"
+    all_ = d.table("orders").select(
+        F.col("o_orderkey").alias("name"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("run_date"), F.lit(1).alias("version"))
+    O.publish_products(all_, base, 2)
+    O.publish_products(all_.where("month(run_date) % 2 = 0").withColumn("version", F.lit(2)), base, 2)
+    return d.spark.read.parquet(f"{base}/products").select("name", F.col("run_date").cast("date").alias("run_date"), "version")
+
+
 @query("stack_pairs", sql(
     "v_remote", "SELECT DISTINCT split_part(name,'/',2) AS pair_id, try_strptime(left(split_part("
     "name,'/',2),8),'%Y%m%d') AS ref_date, try_strptime(right(split_part(name,'/',2),8),'%Y%m%d') "

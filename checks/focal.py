@@ -233,6 +233,25 @@ def _(d):
     return P.risk_map(d.vel, d.d_canal, d.m_water)
 
 
+@query("peat_depth_geographic", sql(
+    "vel vv m_peat", "SELECT row, col, CASE WHEN d IS NULL THEN 0 WHEN d=0 THEN 0 WHEN d<=500 THEN 1 WHEN d<=1500 THEN 2 ELSE 3 END AS depth_class "
+    "FROM (SELECT p.row, p.col, min(sqrt(pow((p.row-m.row)*0.004*111320,2)+pow((p.col-m.col)*0.004*111320*cos(radians(2+0.004*h/2)),2))) "
+    "AS d FROM vv p CROSS JOIN (SELECT row, col FROM vv WHERE NOT (row>=2 AND row<h-1 AND col>=1 AND col<=100)) m GROUP BY p.row, "
+    "p.col, h)".replace("FROM vv p CROSS", "FROM vv p CROSS JOIN dims CROSS").replace("FROM vv WHERE NOT", "FROM vv, dims WHERE NOT"),
+    **DIMS))
+def _(d):
+    """A grid in degrees: depth classes by metres at its latitude; polygons in degrees as well."""
+    from groundswell.functions.geodesy import Grid
+
+    h = d.vv.agg(F.max("row")).first()[0] + 1
+    grid = Grid(h, 125, 0.004, 0.0, 114.0, 0.0, -0.004, -2.0)
+    corners = [(1.0, 2.0), (101.0, 2.0), (101.0, h - 1.0), (1.0, h - 1.0)]
+    box = d.spark.range(1).select(F.inline(F.array(*[F.struct(
+        F.lit(1).alias("feature_id"), F.lit(k).alias("seq"), F.lit(114.0 + x * 0.004).alias("x"), F.lit(-2.0 - y * 0.004).alias("y"))
+        for k, (x, y) in enumerate(corners)])))
+    return P.peat_products(d.vel, box, grid, epsg=4326)["peat_extent"].select("row", "col", "depth_class")
+
+
 # Absent pixels count as NULL: the oracle puts them back on the grid of ``vv``.
 SPARSE = {**DIMS, "grid": "SELECT vv.row, vv.col, s.value FROM vv LEFT JOIN vel_s s USING (row, col)",
           "filled": "SELECT row, col, coalesce(value, (SELECT median(value) FROM vel_s)) AS value FROM grid",

@@ -178,6 +178,31 @@ def _(d):
     return G.resample(d.vel, source, G.target_grid(d.spark, source, 32649, 10.0), "nearest")
 
 
+#: Each feature with a second part to its right and a hole in the first: even-odd over all rings.
+RINGS = ("SELECT feature_id, ring_id, seq, CASE ring_id WHEN 0 THEN x WHEN 1 THEN x+23.11 ELSE cx+(x-cx)*0.37 END AS x, CASE ring_id "
+         "WHEN 2 THEN cy+(y-cy)*0.37 ELSE y END AS y FROM (SELECT *, avg(x) OVER (PARTITION BY feature_id) AS cx, avg(y) OVER "
+         "(PARTITION BY feature_id) AS cy FROM v_rings) CROSS JOIN (SELECT unnest([0,1,2]) AS ring_id)")
+
+
+@query("rasterize_polygons_with_holes", sql(
+    "vv v_rings", "SELECT DISTINCT row, col FROM (SELECT p.row, p.col, e.feature_id, count(*) AS n "
+    "FROM vv p JOIN edges e ON (e.y<=p.row+0.5)<>(e.y1<=p.row+0.5) AND p.col+0.5 < e.x+(p.row+0.5-"
+    "e.y)/(e.y1-e.y)*(e.x1-e.x) GROUP BY p.row, p.col, e.feature_id) WHERE n%2=1", rings=RINGS,
+    edges="SELECT feature_id, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x1, coalesce(lead(y) OVER w, first_value(y) "
+          "OVER w) AS y1 FROM rings WINDOW w AS (PARTITION BY feature_id, ring_id ORDER BY seq)"))
+def _(d):
+    """Vertices arrive in degrees and go through the grid to pixel units."""
+    middle = d.v_rings.groupBy("feature_id").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    k = F.col("ring_id")
+    rings = d.v_rings.join(middle, "feature_id").withColumn("ring_id", F.explode(F.array(*map(F.lit, (0, 1, 2))))).select(
+        "feature_id", "ring_id", "seq",
+        F.when(k == 0, F.col("x")).when(k == 1, F.col("x") + 23.11).otherwise(F.col("cx") + (F.col("x") - F.col("cx")) * 0.37).alias("x"),
+        F.when(k == 2, F.col("cy") + (F.col("y") - F.col("cy")) * 0.37).otherwise(F.col("y")).alias("y"))
+    grid = Grid(_height(d), 125, 0.001, 0.0, 114.0, 0.0, -0.001, -2.0)
+    degrees = rings.withColumns({"x": F.col("x") * 0.001 + 114.0, "y": F.col("y") * -0.001 - 2.0})
+    return G.rasterize_polygons(G.to_pixel_units(degrees, grid, 4326), _height(d), 125)
+
+
 @query("rasterize_polygons", sql(
     "vv v_rings", "SELECT DISTINCT row, col FROM (SELECT p.row, p.col, e.feature_id, count(*) AS n "
     "FROM vv p JOIN edges e ON (e.y<=p.row+0.5)<>(e.y1<=p.row+0.5) AND p.col+0.5 < e.x+(p.row+0.5-"

@@ -65,6 +65,14 @@ def metres_per_degree(lat: Column) -> tuple[Column, Column]:
     )
 
 
+def pixel_size_m(grid: Grid) -> tuple[float, float]:
+    """Pixel width and height in metres; degrees are scaled at the grid's middle latitude."""
+    if grid.epsg != 4326:
+        return abs(grid.a), abs(grid.e)
+    middle = math.radians(abs(grid.f + grid.e * grid.height / 2))
+    return abs(grid.a) * METRES_PER_DEGREE * math.cos(middle), abs(grid.e) * METRES_PER_DEGREE
+
+
 def pixel_area_m2(grid: Grid) -> float:
     """Pixel area; UTM grids (both hemispheres) are metric, others use the flat degree size."""
     area = abs(grid.a) * abs(grid.e)

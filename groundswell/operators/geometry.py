@@ -282,9 +282,11 @@ def polygon_runs(
     """Row runs inside polygons by the pixel-centre rule.
 
     ``vertices(feature_id, seq, x, y)`` are in pixel units, ``seq`` counting 0, 1, 2, ...  Each edge meets the row
-    centres it spans; sorted crossings of a row pair up by the even-odd rule.
+    centres it spans; sorted crossings of a row pair up by the even-odd rule, over all rings of a
+    feature: with a ``ring_id`` column a feature has several parts and holes.
     """
-    edges = _edges(vertices, [*by, "feature_id"], closed=True)
+    ring = ["ring_id"] if "ring_id" in vertices.columns else []
+    edges = _edges(vertices, [*by, "feature_id", *ring], closed=True)
     low, high = F.least("y", "y1"), F.greatest("y", "y1")
     r0 = F.greatest(F.ceil(low - 0.5), F.lit(0)).cast("int")
     r1 = F.least(F.ceil(high - 0.5) - 1, F.lit(height - 1)).cast("int")
@@ -308,14 +310,26 @@ def polygon_runs(
     )
 
 
+def to_pixel_units(vertices: DataFrame, grid: Grid, epsg: int | None = None) -> DataFrame:
+    """Vertices from map coordinates (``epsg``, the grid's own if not given) to pixel units."""
+    x, y = to_crs(F.col("x"), F.col("y"), grid.epsg if epsg is None else epsg, grid.epsg)
+    return vertices.withColumns({"_x": x, "_y": y}).withColumns(
+        dict(zip(("y", "x"), grid.rowcol(F.col("_x"), F.col("_y"))))
+    ).drop("_x", "_y")
+
+
 def rasterize_polygons(
     vertices: DataFrame, height: int, width: int, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Sparse mask of the union of polygons."""
+    """Sparse mask of the union of polygons.
+
+    Runs of a row are merged before they are spread to pixels, so no pixel is made twice.
+    """
     runs = polygon_runs(vertices, height, width, by)
-    return runs.select(
-        *by, "row", F.explode(F.sequence("c0", "c1")).alias("col")
-    ).distinct()
+    so_far = Window.partitionBy(*by, "row").orderBy("c0", "c1").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max("c1").over(so_far), F.lit(-1))
+    fresh = runs.select(*by, "row", F.greatest("c0", reach + 1).alias("c0"), "c1")
+    return fresh.where("c0 <= c1").select(*by, "row", F.explode(F.sequence("c0", "c1")).alias("col"))
 
 
 def polygons_or_box(
@@ -333,10 +347,11 @@ def polygons_or_box(
         ]))
     )
     any_row = vertices.agg(F.count("*").alias("n")).scalar()
-    spare = spare.where(any_row == 0).select(
-        *[F.col(c).cast(vertices.schema[c].dataType) for c in ("feature_id", "seq", "x", "y")]
-    )
-    return vertices.select("feature_id", "seq", "x", "y").unionByName(spare)
+    names = ["feature_id", "seq", "x", "y"]
+    if "ring_id" in vertices.columns:
+        names, spare = [*names, "ring_id"], spare.withColumn("ring_id", F.lit(0))
+    spare = spare.where(any_row == 0).select(*[F.col(c).cast(vertices.schema[c].dataType) for c in names])
+    return vertices.select(*names).unionByName(spare)
 
 
 def features_in_box(vertices: DataFrame, box: Sequence[float]) -> DataFrame:

@@ -207,7 +207,8 @@ def acquisition_flow(
         acquisition_stack(scenes, start, end, processing_level, min_gap_days=s.min_gap_days)
     )
     rows = stack.select(
-        F.col("scene_id").cast("string").alias("scene_id"), F.lit(s.platform).alias("platform"),
+        F.col("scene_id").cast("string").alias("scene_id"), (
+            F.coalesce("platform", F.lit(s.platform)) if "platform" in stack.columns else F.lit(s.platform)).alias("platform"),
         F.to_date("start_time").alias("acquisition_date"), "processing_level",
         F.col("path_number").cast("int").alias("relative_orbit"),
     )
@@ -234,7 +235,7 @@ def acquisition_flow(
     )
     return {
         "stack": stack, "scenes": catalog, "pairs": pair_catalog,
-        "orbits": Q.orbit_cover(stack, orbits),
+        "orbits": Q.orbit_cover(stack, orbits, [k for k in ("platform",) if k in orbits.columns and k in stack.columns]),
         "todo": objects.remaining_pairs(todo, done),
     }
 

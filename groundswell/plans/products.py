@@ -12,7 +12,7 @@ from groundswell.config import (
 )
 from groundswell.frames import attach, extent, val
 from groundswell.functions import scalar as S
-from groundswell.functions.geodesy import Grid
+from groundswell.functions.geodesy import Grid, pixel_size_m
 from groundswell.operators import algebra as A
 from groundswell.operators import geometry as G
 from groundswell.operators import morphology as M
@@ -134,11 +134,17 @@ def peat_depth(
 def peat_products(
     velocity: DataFrame, vertices: DataFrame, grid: Grid,
     settings: PeatSettings = PeatSettings(), pixel_m: tuple[float, float] | None = None,
+    epsg: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Peat extent from polygons (the whole area when there are none), depth and masked velocity."""
+    """Peat extent from polygons (the whole area when there are none), depth and masked velocity.
+
+    Vertices are in pixel units, or in the coordinates ``epsg`` names.
+    """
+    if epsg is not None:
+        vertices = G.to_pixel_units(vertices, grid, epsg)
     shapes = G.polygons_or_box(vertices, (0.0, 0.0, grid.width, grid.height))
     extent = G.rasterize_polygons(shapes, grid.height, grid.width)
-    sx, sy = pixel_m or (abs(grid.a), abs(grid.e))
+    sx, sy = pixel_m or pixel_size_m(grid)
     return {
         "peat_extent_binary": extent,
         "peat_extent": peat_depth(velocity, extent, sx, sy, settings),

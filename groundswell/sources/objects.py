@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +22,29 @@ def sync_plan(remote: DataFrame, local: DataFrame, suffix: str | None = None) ->
     return todo.select("name", F.col("_rs").alias("size"))
 
 
-def file_checksums(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """MD5 per file, computed where the file is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select("path", "length", F.md5("content").alias("md5"))
+def file_checksums(
+    spark: SparkSession, path: str, glob: str = "*", chunk: int = 8 << 20
+) -> DataFrame:
+    """MD5 per file, computed where the file is read, ``chunk`` bytes at a time: files of any size.
+
+    The listing takes names only; files are dealt out evenly and opened by their own URI.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for name, length in zip(*(c.to_pylist() for c in batch.columns)):
+                system, at = fs.FileSystem.from_uri(quote(name, safe=":/%"))
+                digest = hashlib.md5()
+                with system.open_input_stream(at) as f:
+                    while part := f.read(chunk):
+                        digest.update(part)
+                yield pa.RecordBatch.from_pydict({"path": [name], "length": [length], "md5": [digest.hexdigest()]})
+
+    spread = files.repartition(spark.sparkContext.defaultParallelism)
+    return spread.mapInArrow(run, "path string, length long, md5 string")
 
 
 def completed_pairs(listing: DataFrame, product: str = "filt_topophase.unw") -> DataFrame:
@@ -54,9 +78,13 @@ def product_inventory(products: DataFrame) -> DataFrame:
     return found.select("name", "path").withColumn("product_count", n).orderBy("name")
 
 
-def publish_products(df: DataFrame, path: str) -> None:
-    """Write products under ``run_date=...`` and replace only the runs written."""
-    df.repartition("run_date").write.mode("overwrite").option(
+def publish_products(df: DataFrame, path: str, files_per_run: int = 8) -> None:
+    """Write products under ``run_date=...`` and replace only the runs written.
+
+    A run's rows are spread over several tasks and files, so one large run is not one task's work.
+    """
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_run))
+    df.repartition("run_date", part).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("run_date").parquet(f"{path}/products")
 
