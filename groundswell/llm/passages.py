@@ -29,7 +29,7 @@ WINDOW = 13
 #: two windows needs 2^56 / (suffixes of a group) tries: one in 10^10 suffixes.
 DIGEST = 7
 #: Suffixes of one group, and bytes of text of one bucket.
-GROUP_SUFFIXES, BUCKET_BYTES, CHUNK_BYTES = 2_000_000, 8 << 20, 8 << 20
+GROUP_SUFFIXES, BUCKET_BYTES, CHUNK_BYTES = 2_000_000, 32 << 20, 8 << 20
 _STEP = np.uint64(0xA0761D6478BD642F)
 
 
@@ -177,7 +177,7 @@ def without_repeats(
     if result in names:
         raise ValueError(f"column {result} is the result; give another name")
     rows = reports.select(F.col(product_id).cast("long").alias("i"), F.col(report).alias("t"))
-    share = 1 / (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    share = 1 / (2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,21 +219,45 @@ def without_repeats(
                           for b, k in _by(_bucket(own[there], buckets))]
                 yield _rows(found, _SUFFIXES)
 
-    def nodes(group: pa.Table) -> pa.Table:
-        payload, bucket = group.column("payload").to_pylist(), group.column("bucket").to_pylist()
-        found = [(b, p) for b, p in zip(bucket, payload) if b is not None]
-        mine = [_unpacked(p, True) for b, p in zip(bucket, payload) if b is None]
-        if mine:
-            ids, pos, digest = (np.concatenate(x) for x in zip(*mine))
-            again = repeats(ids, digest)
-            ids, pos = ids[again], pos[again]
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by group; one group at a time is unpacked.  Repeats leave in one parcel a
+        bucket, however many groups the task has had."""
+        part, held, again = None, [], []
+
+        def settle() -> None:
+            if held:
+                ids, pos, digest = (np.concatenate(x) for x in zip(*[_unpacked(p, True) for p in held]))
+                found = repeats(ids, digest)
+                again.append((ids[found], pos[found]))
+                held.clear()
+
+        def parcels() -> pa.RecordBatch:
+            ids, pos = (np.concatenate(x) for x in zip(*again))
+            again.clear()
             order = np.lexsort((pos, ids))
             ids, pos = ids[order], pos[order]
-            found += [(b, _packed(ids[k], pos[k])) for b, k in _by(_bucket(ids, buckets))]
-        return pa.Table.from_batches([_rows(found, _HITS)])
+            return _rows([(b, _packed(ids[k], pos[k])) for b, k in _by(_bucket(ids, buckets))], _HITS)
 
-    hits = rows.mapInArrow(spread, "part long, bucket long, payload binary").groupBy("part").applyInArrow(
-        nodes, "bucket long, payload binary")
+        for batch in batches:
+            settled = []
+            for g, b, payload in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if b is not None:
+                    settled.append((b, payload))
+                    continue
+                if g != part:
+                    settle()
+                    part = g
+                    if sum(len(i) for i, _ in again) > 2 * GROUP_SUFFIXES:
+                        yield parcels()
+                held.append(payload)
+            if settled:
+                yield _rows(settled, _HITS)
+        settle()
+        if again:
+            yield parcels()
+
+    hits = rows.mapInArrow(spread, "part long, bucket long, payload binary").repartition(
+        "part").sortWithinPartitions("part").mapInArrow(nodes, "bucket long, payload binary")
 
     given = reports.select(*names, F.col(report).alias("_text"))
     fields = T.StructType.fromDDL(
