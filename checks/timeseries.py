@@ -237,6 +237,57 @@ def _(d):
                             ["canal_mask", "canal_risk"])
 
 
+#: Every number of the report: its place in the JSON and the SQL over v (velocity), c (coherence), k (risk).
+_IN = "count(CASE WHEN {} THEN 1 END)"
+REPORT_FIELDS = {
+    "velocity_stats": ("vel", {
+        "mean": "round(avg(value),2)", "std": "round(stddev_pop(value),2)", "min": "round(min(value),2)", "max": "round(max(value),2)",
+        "median": "round(median(value),2)", "valid_pixel_count": "count(value)", "total_pixels": "count(*)"}),
+    "coherence_stats": ("coh", {
+        "mean": "round(avg(value),4)", "median": "round(median(value),4)", "pixels_above_05": _IN.format("value>0.5"),
+        "fraction_above_05": f"round({_IN.format('value>0.5')}/count(value),4)", "pixels_above_07": _IN.format("value>0.7"),
+        "fraction_above_07": f"round({_IN.format('value>0.7')}/count(value),4)", "valid_pixel_count": "count(value)"}),
+    "canal_stats": ("vel", {
+        "mask_pixels": _IN.format("col%40<3"), "total_pixels": "count(*)",
+        "coverage_pct": f"round(100.0*{_IN.format('col%40<3')}/count(*),3)"}),
+    "risk_distribution": ("risk", {
+        "mean_risk": "round(avg(value),4)", "valid_pixel_count": "count(value)", **{
+            f"{n}_fraction": f"round({_IN.format(c)}/count(value),4)" for n, c in (
+                ("low", "value<0.2"), ("moderate", "value>=0.2 AND value<0.4"), ("elevated", "value>=0.4 AND value<0.6"),
+                ("high", "value>=0.6 AND value<0.8"), ("critical", "value>=0.8"))}}),
+    "data_quality": ("vel", {
+        "valid_pixel_fraction": "round(count(value)/count(*),4)", "mean_coherence": "max((SELECT round(avg(value),4) FROM coh))",
+        "high_coherence_fraction": f"max((SELECT round({_IN.format('value>0.7')}/count(value),4) FROM coh))"}),
+    "parameters": ("vel", {"coherence_threshold": "max(0.5)", "max_influence_m": "max(1200.0)", "severe_velocity_mm_yr": "max(-40.0)"}),
+}
+_CODES = ("SELECT row, col, CASE WHEN w.row IS NOT NULL THEN 6 WHEN v.value IS NULL THEN 0 WHEN v.value<-50 THEN 1 WHEN v.value<-20 THEN 2 "
+          "WHEN v.value<-5 THEN 3 WHEN v.value<5 THEN 4 ELSE 5 END AS class FROM vel v LEFT JOIN m_water w USING (row, col)")
+
+
+@query("quality_report_fields", sql(
+    "vel coh risk m_water", " UNION ALL ".join(
+        f"SELECT '{part}.{name}' AS field, CAST({text} AS DOUBLE) AS value FROM {src}"
+        for part, (src, fields) in REPORT_FIELDS.items() for name, text in fields.items())
+    + " UNION ALL SELECT 'class_' || class || '.pixels', CAST(count(*) AS DOUBLE) FROM codes GROUP BY class UNION ALL SELECT 'class_' || "
+      "class || '.percent', 100.0*count(*)/(SELECT count(*) FROM codes) FROM codes GROUP BY class UNION ALL SELECT 'product_count', 2.0",
+    "value", codes=_CODES))
+def _(d):
+    from groundswell.operators import algebra as A
+
+    report = R.quality_report(d.spark, d.vel, d.coh, d.m_canal, A.classify(d.vel, d.m_water), d.risk,
+                              ["canal_mask", "canal_risk"])
+    place = lambda p: F.get_json_object("report", f"$.{p}").cast("double")
+    flat = [F.struct(F.lit(f"{part}.{name}").alias("field"), place(f"{part}.{name}").alias("value"))
+            for part, (_, fields) in REPORT_FIELDS.items() for name in fields]
+    flat.append(F.struct(F.lit("product_count").alias("field"), place("product_count").alias("value")))
+    classes = F.from_json(F.get_json_object("report", "$.classification_distribution"),
+                          "array<struct<class:int,pixels:bigint,percent:double>>")
+    more = F.flatten(F.transform(classes, lambda c: F.array(*[
+        F.struct(F.concat(F.lit("class_"), c["class"].cast("string"), F.lit(f".{n}")).alias("field"), c[n].cast("double").alias("value"))
+        for n in ("pixels", "percent")])))
+    return report.select(F.inline(F.concat(F.array(*flat), more)))
+
+
 @query("quality_report_numbers", sql(
     "vel coh risk vv", "SELECT round(avg(value),2) AS mean, count(value) AS valid, (SELECT "
     "round(avg(value),4) FROM coh) AS mean_coherence, (SELECT round(avg(value),4) FROM risk) AS "
