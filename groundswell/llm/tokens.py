@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import io
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -23,39 +25,77 @@ _FRAME = np.dtype([("offset", "<u8"), ("size", "<u4"), ("crc", "<u4"), ("docs",
 _TAIL = "<QIQ8s"
 
 
+#: A word of Latin letters and the punctuation behind it: the tokenizer splits them, and nothing
+#: else, and takes the word in lower case.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
 class Vocabulary:
     """Ids of texts by a tokenizer file.
 
     The tokenizer drops white space and never joins across it, so a text's ids are the ids of its
     blank-separated chunks in a row.  Each distinct chunk goes through the library once; the memo
-    is emptied when it grows beyond ``memo`` chunks.
+    keeps only what is in use when it grows beyond ``memo`` chunks.  Plain words go in runs of ``run``, cut again
+    where an id ends a word; any other chunk goes alone, special tokens being ordinary text.
     """
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 600_000, run: int = 64):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        vocab = self.library.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[k for t, k in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
-        self.memo = memo
+        self.memo, self.run = memo, run
+
+    def _learn(self, chunks: set[str]) -> None:
+        known, plain, cut_off, words, alone = self.known, _PLAIN.fullmatch, [], {}, {}
+        for c in chunks:
+            m = plain(c)
+            if m is None:
+                alone[c] = None
+                continue
+            w, t = m.groups()
+            w = w.lower()
+            if w not in known:
+                words[w] = None
+            if t and t not in known:
+                alone[t] = None
+            if t or w != c:
+                cut_off.append((c, w, t))
+        words, alone = list(words), list(alone)
+        runs = [words[i:i + self.run] for i in range(0, len(words), self.run)]
+        for i in range(0, len(runs), 64):
+            some = runs[i:i + 64]
+            for run, e in zip(some, self.library.encode_batch_fast([" ".join(r) for r in some], add_special_tokens=False)):
+                ids = np.asarray(e.ids, "<u4")
+                cut = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+                raw = ids.tobytes()
+                self.known.update(zip(run, [raw[a:b] for a, b in zip([0, *cut], cut)], strict=True))
+        for i in range(0, len(alone), 4096):
+            some = alone[i:i + 4096]
+            for c, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[c] = np.asarray(e.ids, "<u4").tobytes()
+        for c, w, t in cut_off:
+            known[c] = known[w] + known[t] if t else known[w]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({c for chunks in split for c in chunks if c not in self.known})
-        if len(self.known) + len(new) > self.memo:
-            self.known.clear()
-            new = list({c for chunks in split for c in chunks})
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for c, e in zip(part, self.library.encode_batch(part, add_special_tokens=False)):
-                self.known[c] = np.asarray(e.ids, "<u4").tobytes()
+        new = {c for chunks in split for c in chunks if c not in self.known}
         known = self.known
+        if len(known) + len(new) > self.memo:
+            known = self.known = {c: known[c] for chunks in split for c in chunks if c in known}
+        self._learn(new)
         return [b"".join([known[c] for c in chunks]) for chunks in split]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def vocabulary(path: str) -> Vocabulary:
+    # A task has one core; the library's own threads would only get in each other's way.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Vocabulary(path)
 
 
@@ -159,8 +199,8 @@ def write_tokens(
 
         def documents():
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
+                for at in range(0, batch.num_rows, 1024):
+                    part = batch.slice(at, 1024)
                     texts = [t or "" for t in part.column(1).to_pylist()]
                     for key, raw in zip(part.column(0).to_pylist(), words.encode(texts)):
                         key = -(1 << 63) if key is None else key
