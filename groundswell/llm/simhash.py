@@ -101,30 +101,63 @@ def links(distinct: DataFrame, far: int = 3) -> DataFrame:
     return probes.join(table, ["segment", "key"]).where(near & (F.col("a") != F.col("b"))).select("a", "b")
 
 
-def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(fingerprint, component): the smallest ``first`` reachable by edges.
+def _tasks(spark, rows: int) -> int:
+    """A task for every 20,000 rows: narrow tables are not worth one for each shuffle partition."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 20_000))
 
-    Every round passes the smallest label to neighbours and then follows each label to the label
-    of the fingerprint that has it (pointer jumping), so long chains take few rounds.  Each
-    round is a stored table.
+
+def _stored(df: DataFrame, rows: int) -> DataFrame:
+    return materialized(df.coalesce(_tasks(df.sparkSession, rows)))
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each batch of edges those that join two trees: what hangs together stays together, and a
+    group in which everything is linked with everything shrinks to about its number of nodes."""
+    for batch in batches:
+        up: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (y := up.setdefault(x, x)) != x:
+                up[x] = up[y]
+                x = y
+            return x
+
+        kept = []
+        for a, b in zip(*(c.to_pylist() for c in batch.columns)):
+            ra, rb = find(a), find(b)
+            if ra != rb:
+                up[ra] = rb
+                kept.append((a, b))
+        ends = list(zip(*kept)) or [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(e), pa.int64()) for e in ends], names=["a", "b"])
+
+
+def _hop(both: DataFrame, labels: DataFrame) -> DataFrame:
+    """Each node takes the smallest label of its neighbours and itself, and then the smallest label
+    that a node whose own id this label is has found (pointer jumping)."""
+    own = F.col("a") == F.col("b")
+    near = both.join(labels.withColumnRenamed("fingerprint", "b"), "b").groupBy("a").agg(
+        F.min("label").alias("label"), *[F.max(F.when(own, F.col(c))).alias(c) for c in ("first", "old")])
+    up = near.groupBy(F.col("first").alias("label")).agg(F.min("label").alias("up"))
+    return near.join(up, "label").select(
+        F.col("a").alias("fingerprint"), "first", F.least("label", "up").alias("label"), "old")
+
+
+def _components(nodes: DataFrame, edges: DataFrame, rows: int = 0) -> DataFrame:
+    """(fingerprint, label): the smallest ``first`` reachable by edges, for nodes that have edges.
+
+    A round is two hops and one stored table; as labels jump, long chains take few rounds.  It ends
+    when no label changes.  ``rows`` is about how many nodes there are.
     """
-    both = materialized(edges.union(edges.select("b", "a")).distinct())
-    labels = materialized(
-        both.select(F.col("a").alias("fingerprint")).distinct().join(nodes, "fingerprint")
-        .select("fingerprint", F.col("first").alias("label")))
-    start = labels.select(F.col("label").alias("id"), "fingerprint")
+    ends = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")])
+    edges = edges.coalesce(_tasks(nodes.sparkSession, rows)).mapInArrow(_forest, "a long, b long")
+    both = _stored(edges.select(F.inline(ends)).distinct(), rows)
+    labels = nodes.select("fingerprint", "first", F.col("first").alias("label"), F.col("first").alias("old"))
     while True:
-        near = both.join(labels, both.b == labels.fingerprint).groupBy("a").agg(F.min("label").alias("near"))
-        seen = labels.join(near, labels.fingerprint == near.a).select(
-            "fingerprint", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        # The label names a fingerprint by its smallest id: take over what that one has found.
-        owner = start.join(seen.select("fingerprint", F.col("label").alias("up")), "fingerprint").groupBy(
-            F.col("id").alias("label")).agg(F.min("up").alias("up"))
-        step = materialized(seen.join(owner, "label").select(
-            "fingerprint", "old", F.least("label", "up").alias("label")))
-        labels = step.select("fingerprint", "label")
-        if step.where("label != old").isEmpty():
-            return labels
+        labels = _stored(_hop(both, _hop(both, labels)), rows)
+        if labels.where("label != old").isEmpty():
+            return labels.select("fingerprint", "label")
+        labels = labels.withColumn("old", F.col("label"))
 
 
 def near_duplicates(
@@ -145,9 +178,10 @@ def near_duplicates(
     component of its fingerprint, and null where no row with an id has that fingerprint.
     """
     marks = materialized(fingerprints(reports, product_id, report, shingle, seed))
-    nodes = materialized(marks.groupBy("fingerprint").agg(F.min(product_id).alias("first")))
+    rows = marks.count()
+    nodes = _stored(marks.groupBy("fingerprint").agg(F.min(product_id).alias("first")), rows)
     known = nodes.where("first is not null")
-    found = _components(known, materialized(links(known, far)))
+    found = _components(known, links(known, far), rows)
     groups = nodes.join(found, "fingerprint", "left").select(
         "fingerprint", F.coalesce("label", "first").alias("component_id"))
     return marks.join(groups, "fingerprint").select(product_id, "fingerprint", "component_id")
