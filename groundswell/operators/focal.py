@@ -1,9 +1,7 @@
 """Neighbourhood operators.
 
-Separable means run as two windows per image row and column.  Operators that
-need whole neighbourhoods run on halo tiles: a pixel goes to its own tile and to
-every tile whose margin it lies in, about (B+2r)^2/B^2 copies, and each tile is
-worked on alone with numpy.  A task holds one tile whatever the raster's size.
+They run on halo tiles: a pixel goes to its own tile and to every tile whose margin it
+lies in, about (B+2r)^2/B^2 copies in one shuffle, and each tile is worked on alone with numpy.  A task holds one tile whatever the raster's size.
 
 A pixel that is absent counts as one whose value is NULL; it only gets no row in the
 result.  The image reaches from (0, 0) to the given size, or to the last present row and column.
@@ -15,7 +13,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,35 +36,34 @@ def mirrored(position: Column, length: Column, radius: int) -> Column:
     return F.when(edge, F.concat(images(position), images(-position - 1))).otherwise(F.array(position))
 
 
-def _sliding(df: DataFrame, axis: str, length: str, radius: int, cols: Sequence[str], keys):
-    """Sums over [i-r, i+r] along one axis with reflected edges."""
-    other = "col" if axis == "row" else "row"
-    group = [k for k in keys if k != axis]
-    padded = df.withColumn("_pos", F.explode(mirrored(F.col(axis), F.col(length), radius)))
-    frame = Window.partitionBy(*group).orderBy("_pos").rangeBetween(-radius, radius)
-    return (
-        padded.withColumns({c: F.sum(c).over(frame) for c in cols})
-        .where(F.col("_pos") == F.col(axis)).drop("_pos")
-    )
+def _window_sum(a: np.ndarray, size: int) -> np.ndarray:
+    """k x k sums around each cell that is at least k // 2 from the edge of the array."""
+    r = size // 2
+    along, out = np.zeros_like(a), np.zeros_like(a)
+    for i in range(size):
+        along[:, r : a.shape[1] - r] += a[:, i : a.shape[1] - size + 1 + i]
+    for i in range(size):
+        out[r : a.shape[0] - r] += along[i : a.shape[0] - size + 1 + i]
+    return out
 
 
-def box_sums(
-    df: DataFrame, size: int, cols: Sequence[str], by: Sequence[str] = (), dims=None
-) -> DataFrame:
-    """k x k sums of several columns at once: two shuffles whatever their number."""
+def _moments(df: DataFrame, size: int, by, dims, square: bool) -> DataFrame:
+    """The value and the window's count ``_n``, sum ``_s`` and sum of squares ``_q`` of values
+    that are there; absent pixels and NULLs add nothing."""
     if size % 2 == 0:
         raise ValueError(f"window size must be odd, got {size}")
-    keys, r = [*by, "row", "col"], size // 2
-    sized = with_size(df, by, dims)
-    rows = _sliding(sized, "col", "_w", r, cols, keys)
-    return _sliding(rows, "row", "_h", r, cols, keys)
-
 
-def _moments(df: DataFrame, size: int, by, dims, square: bool) -> DataFrame:
-    cols = {"_n": val().isNotNull().cast("int"), "_s": val()}
-    if square:
-        cols["_q"] = val() * val()
-    return box_sums(df.withColumns(cols), size, list(cols), by, dims)
+    def fn(bands, r0, c0):
+        x = bands["value"]
+        there = ~np.isnan(x)
+        x = np.where(there, x, 0.0)
+        out = {"_n": _window_sum(there.astype(float), size), "_s": _window_sum(x, size)}
+        if square:
+            out["_q"] = _window_sum(x * x, size)
+        return {**out, "value": bands["value"]}
+
+    out = ["value", "_n", "_s", *(["_q"] if square else [])]
+    return halo_tiles(df.select(*by, "row", "col", "value"), ["value"], out, size // 2, fn, by, 256, True, dims)
 
 
 def box_mean(df: DataFrame, size: int, by: Sequence[str] = (), dims=None) -> DataFrame:
