@@ -18,7 +18,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_BLOCK = 1 << 21
+_BLOCK = 1 << 20
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -73,14 +73,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each word, by prefix sums of a polynomial over the bytes.
 
-    Words are hashed in blocks of about 2 MB, so that a very long text needs no more memory.
+    Words are hashed in blocks of about 1 MB, so that a very long text needs no more memory.
     """
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + _BLOCK, "right")))
         base, top = starts[i], ends[j - 1]
-        size = 1 << max(21, int(top - base).bit_length())
+        size = 1 << max(20, int(top - base).bit_length())
         up, down = _powers(size)
         sums = np.zeros(top - base + 1, np.uint64)
         np.cumsum((data[base:top].astype(np.uint64) + np.uint64(1)) * up[:top - base], out=sums[1:])

@@ -29,7 +29,7 @@ WINDOW = 13
 #: two windows needs 2^56 / (suffixes of a group) tries: one in 10^10 suffixes.
 DIGEST = 7
 #: Suffixes of one group, and bytes of text of one bucket.
-GROUP_SUFFIXES, BUCKET_BYTES, CHUNK_BYTES = 2_000_000, 32 << 20, 8 << 20
+GROUP_SUFFIXES, BUCKET_BYTES, CHUNK_BYTES = 2_000_000, 16 << 20, 4 << 20
 _STEP = np.uint64(0xA0761D6478BD642F)
 
 
@@ -169,7 +169,7 @@ def without_repeats(
     Steps: (1) count prefixes, giving the heavy ones, at most 12 per group; (2) send each suffix,
     as a packed digest and place, to the group of its prefix; (3) find the nodes of each group
     and send the repeats to the bucket of their report; (4) meet there with the texts and cut.
-    Of equal windows in one chunk of 8 MB only the smallest id's is sent and the others are settled at
+    Of equal windows in one chunk of 4 MB only the smallest id's is sent and the others are settled at
     once, so a passage that a third of all reports share brings one suffix per chunk to its group.
     """
     spark = reports.sparkSession
@@ -291,7 +291,8 @@ def without_repeats(
                 for r, i in enumerate(own):
                     a, b = (0, 0) if i is None else np.searchsorted(ids, [i, i + 1])
                     made.append(_cleaned(data[offsets[r]:offsets[r + 1]].tobytes(), pos[a:b], window))
-                struct = pa.array([dict(zip(fields.names, m)) for m in made], arrow)
+                struct = pa.StructArray.from_arrays(
+                    [pa.array(list(c), f.type) for c, f in zip(zip(*made), arrow)], fields=list(arrow))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], struct], names=out.names)
 
     def meet(texts: pa.Table, found: pa.Table) -> pa.Table:
