@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -83,7 +84,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         sc.setCheckpointDir(named)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[.*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="groundswell-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

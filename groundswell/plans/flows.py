@@ -124,10 +124,12 @@ def analysis_flow(
     vv_db: DataFrame | None = None, forest: DataFrame | None = None,
     peat_polygons: DataFrame | None = None, waterways: DataFrame | None = None,
     ndvi: DataFrame | None = None, grid: Grid | None = None, settings: Settings = Settings(),
-    size: tuple[int, int] | None = None,
+    size: tuple[int, int] | None = None, second: tuple[DataFrame, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """All analysis products of one area on one grid.
 
+    ``second`` is velocity and coherence of another sensor on the same grid, for the fused products.
+
     Inputs left out skip the products that need them; velocity is calibrated and
     classified in every case.  Layers that several products read are materialized, so
     each is computed once.
@@ -167,6 +169,11 @@ def analysis_flow(
         if forest is not None:
             out["time_adjusted_risk"] = A.time_adjusted_risk(risk, out["clearing_risk_factor"])
     out["carbon_loss"] = P.carbon_loss(velocity, coherence, water, size=size)
+    if grid is not None:
+        out["carbon_total"] = stats.carbon_total(out["carbon_loss"], grid)
+    if second is not None and coherence is not None:
+        out.update(P.fusion_products(
+            velocity, coherence, *second, distance=distance, water=water, size=size))
 
     dist_value = None if distance is None else distance.withColumnRenamed("distance", "value")
     if any(x is not None for x in (vv, coherence, distance, ndvi)):
@@ -185,6 +192,7 @@ def analysis_flow(
     if forest is not None:
         joined = A.aligned(velocity, forest, "lossyear", value="lossyear")
         out["validation_clearing"] = stats.cohort_stats(joined)
+        out["clearing_assessment"] = stats.cohort_verdict(out["validation_clearing"])
     out["pipeline_report"] = R.quality_report(
         spark, velocity, coherence, canals, out["subsidence_class"], risk, sorted(out), settings
     )

@@ -28,7 +28,12 @@ def test_analysis_flow(spark, rng):
         [(1, 0, 5.0, 5.0), (1, 1, 55.0, 5.0), (1, 2, 55.0, 45.0), (1, 3, 5.0, 45.0)],
         "feature_id int, seq int, x double, y double")
     grid = Grid(50, 60, 10.0, 0, 0, 0, -10.0, 0, 32649)
-    out = FL.analysis_flow(vel, coh, vv, forest=forest, peat_polygons=rings, grid=grid, size=(50, 60))
+    out = FL.analysis_flow(vel, coh, vv, forest=forest, peat_polygons=rings, grid=grid, size=(50, 60),
+                           second=(vel.withColumn("value", F.col("value") * 0.8), coh))
+    assert {"carbon_total", "clearing_assessment", "fused_velocity", "sensor_coverage", "fused_class", "fused_risk"} <= set(out)
+    total, carbon = out["carbon_total"].first(), to_array(out["carbon_loss"], (50, 60))
+    assert np.isclose(total["total_emission"], np.nansum(carbon) * 0.01)
+    assert out["clearing_assessment"].first()["assessment"] in ("consistent", "inconsistent")
     assert {"canal_mask", "canal_distance", "water_mask", "calibrated_velocity", "subsidence_class",
             "peat_extent", "peat_velocity", "degraded_peatland", "canal_risk", "peat_risk",
             "time_adjusted_risk", "carbon_loss", "validation_report", "validation_clearing",
