@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundswell.llm.columns import slices, text_buffers
+from groundswell.llm.columns import slices, text_buffers, tidy
 
 BITS = 15
 #: Bytes of an n-gram: letters as they are, every other ASCII byte a blank.
@@ -38,7 +38,7 @@ def ngrams(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
     """(first row, last row, row, n-gram, count) for slices of a text column, sorted by row."""
     data, offsets = text_buffers(pc.utf8_lower(column.cast(pa.large_string())))
     letters = _LETTER[data]
-    for i, j in slices(offsets, 1 << 22):
+    for i, j in slices(offsets, 1 << 20):
         a, b = offsets[i], offsets[j]
         x = letters[a:b].astype(np.uint32)
         if len(x) < 3:
@@ -115,7 +115,7 @@ def fit(
                 [batch.column(1), pa.array([], pa.binary()), pa.array([], pa.binary())],
                 names=["g", "grams", "counts"])
 
-    rows = sample.mapInArrow(vectors, "g string, grams binary, counts binary").collect()
+    rows = sample.mapInArrow(tidy(vectors), "g string, grams binary, counts binary").collect()
     rows.sort(key=lambda r: (r["g"], bytes(r["grams"]), bytes(r["counts"])))
     parsed = [(r["g"], np.frombuffer(r["grams"], "<u2").astype(np.int64),
                np.frombuffer(r["counts"], "<u4")) for r in rows if len(r["grams"])]
@@ -185,7 +185,7 @@ def identified(
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], made], names=out.names)
 
     text = F.col(report)
-    return reports.select(*names, text.alias("_text"), _lettered(text).alias("_known")).mapInArrow(run, out)
+    return reports.select(*names, text.alias("_text"), _lettered(text).alias("_known")).mapInArrow(tidy(run), out)
 
 
 def _lettered(text: Column) -> Column:

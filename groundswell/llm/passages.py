@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from groundswell.frames import materialized
-from groundswell.llm.columns import mix, slices, text_buffers, word_hashes, word_spans
+from groundswell.llm.columns import mix, release, slices, text_buffers, tidy, word_hashes, word_spans
 
 WINDOW = 13
 #: Bytes of a window's digest.  Digests meet only inside a group, so that an accidental match of
@@ -189,7 +189,7 @@ def without_repeats(
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found)],
                                                  names=["level", "prefix", "n"])
 
-    counted = rows.mapInArrow(count, "level long, prefix long, n long").groupBy("level", "prefix").agg(
+    counted = rows.mapInArrow(tidy(count), "level long, prefix long, n long").groupBy("level", "prefix").agg(
         F.sum("n").alias("n"))
     counted = materialized(counted)
     # At most window / share prefixes reach the share.  A prefix below it in a chunk isn't counted
@@ -240,7 +240,9 @@ def without_repeats(
 
         for batch in batches:
             settled = []
-            for g, b, payload in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            parts, places = (batch.column(k).to_pylist() for k in range(2))
+            for g, b, cell in zip(parts, places, batch.column(2)):
+                payload = cell.as_py()
                 if b is not None:
                     settled.append((b, payload))
                     continue
@@ -256,8 +258,8 @@ def without_repeats(
         if again:
             yield parcels()
 
-    hits = rows.mapInArrow(spread, "part long, bucket long, payload binary").repartition(
-        "part").sortWithinPartitions("part").mapInArrow(nodes, "bucket long, payload binary")
+    hits = rows.mapInArrow(tidy(spread), "part long, bucket long, payload binary").repartition(
+        "part").sortWithinPartitions("part").mapInArrow(tidy(nodes), "bucket long, payload binary")
 
     given = reports.select(*names, F.col(report).alias("_text"))
     fields = T.StructType.fromDDL(
@@ -297,10 +299,11 @@ def without_repeats(
 
     def meet(texts: pa.Table, found: pa.Table) -> pa.Table:
         done = list(cut(texts, found))
+        release()
         return pa.Table.from_batches(done) if done else pa.table(
             {f.name: pa.array([], f.type) for f in _arrow_schema(out)})
 
-    packed = given.mapInArrow(bundle, "bucket long, payload binary")
+    packed = given.mapInArrow(tidy(bundle), "bucket long, payload binary")
     return packed.groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInArrow(meet, out)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundswell.frames import materialized
-from groundswell.llm.columns import SPACE, slices, text_buffers, word_spans
+from groundswell.llm.columns import SPACE, slices, text_buffers, tidy, word_spans
 
 _BLOCK = 1 << 16
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -69,7 +69,7 @@ def fingerprints(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(made.view(np.int64))], names=out.names)
 
-    return reports.select(product_id, F.col(report).alias("_text")).mapInArrow(run, out)
+    return reports.select(product_id, F.col(report).alias("_text")).mapInArrow(tidy(run), out)
 
 
 def _segments(fp: str, far: int) -> tuple[Column, Column]:
