@@ -15,17 +15,23 @@ from pyspark.sql import types as T
 from groundswell.llm.columns import slices, text_buffers, tidy
 
 BITS = 15
+#: Numbers of n-grams for which the bound of rejection is learnt; between them it is interpolated.
+SIZES = np.array([0, *(5 << k for k in range(11))])
 #: Bytes of an n-gram: letters as they are, every other ASCII byte a blank.
 _LETTER = np.full(256, 0x20, np.uint8)
 _LETTER[0x80:] = np.arange(0x80, 0x100)
 _LETTER[0x61:0x7B] = np.arange(0x61, 0x7B)
+#: The share of a language's own texts that may lie below its bound.
+BEYOND = 0.002
+#: Words of real short texts hang together, so their cosines vary more than those of drawn n-grams.
+SLACK = 0.8
 _HAS_LETTER = r"\p{L}"
 
 
 @dataclass(frozen=True)
 class Centroids:
     """Unit centroids (rows) with the language of each, weights of the n-grams, and the cosine
-    below which each language rejects a text."""
+    below which each language (row) rejects a text with as many n-grams as SIZES says (column)."""
 
     languages: list[str]
     owner: np.ndarray
@@ -80,6 +86,37 @@ def _clusters(rows: list[tuple[np.ndarray, np.ndarray]], k: int, rounds: int = 8
     return m[np.unique(of)].astype(np.float32)
 
 
+def _bounds(
+    texts: list[tuple[np.ndarray, np.ndarray]], own: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray,
+    clusters: int,
+) -> np.ndarray:
+    """SLACK of the cosine that all but BEYOND of a language's texts reach, for each of SIZES.
+
+    Each half of the texts is held against the centroids of the other half, whole and cut to fewer
+    n-grams drawn from it.  A bound for fewer n-grams is never higher than one for more.
+    """
+    if len(own) < 2:
+        return np.zeros(len(SIZES))
+    draw = np.random.default_rng(42)
+    found: list[list[float]] = [[] for _ in SIZES]
+    for half in (0, 1):
+        m = _clusters(own[1 - half::2], clusters)
+        for gram, count in texts[half::2]:
+            total = int(count.sum())
+            for k, size in enumerate(SIZES[1:], 1):
+                if total < size:
+                    break
+                part = draw.multivariate_hypergeometric(count.astype(np.int64), size)
+                g, c = gram[part > 0], part[part > 0]
+                w = _weights(np.zeros(len(g), int), g, c, idf, 1)
+                found[k].append(max(float((w * x[g]).sum()) for x in m))
+    bounds = [SLACK * float(np.quantile(x, BEYOND)) if x else np.inf for x in found]
+    bounds[0] = 0.0
+    # Where no text is so long, the bound of the longest that are.
+    bounds = np.minimum.accumulate(np.array(bounds)[::-1])[::-1]
+    return np.where(np.isfinite(bounds), bounds, bounds[np.isfinite(bounds)][-1])
+
+
 def fit(
     examples: DataFrame, text: str, language: str, per_language: int = 1500, clusters: int = 4,
     max_languages: int = 64,
@@ -128,12 +165,10 @@ def fit(
         own = [(gram, _weights(np.zeros(len(gram), int), gram, count, idf, 1))
                for g, gram, count in parsed if g == name]
         m = _clusters(own, clusters)
-        near = np.array([max(float((w * c[gram]).sum()) for c in m) for gram, w in own])
         owner += [len(languages)] * len(m)
         languages.append(name)
         blocks.append(m)
-        # Far below what the language's own texts show; short texts lie far from any centroid.
-        least.append(float(np.quantile(near, 0.001)) / 3)
+        least.append(_bounds([(gram, count) for g, gram, count in parsed if g == name], own, idf, clusters))
     return Centroids(languages, np.array(owner), idf, np.concatenate(blocks), np.array(least))
 
 
@@ -162,8 +197,7 @@ def identified(
     a text works.  Adds to ``product_id`` and the ``keep`` columns one struct named ``result``:
     lang_pred, score (cosine to the nearest centroid, 0 to 1) and rejected.  A null text or one
     without a letter is ``und``, score 0, rejected.  A text is also rejected when its cosine lies
-    below the bound its language learned and it has at least 20 n-grams; a shorter one is too short
-    to tell.  Ties go to the first language by name.  One scan, no shuffle.
+    below the bound its language learned for as many n-grams; a text without one is too short to tell.  Ties go to the first language by name.  One scan, no shuffle.
     """
     names = [product_id, *keep]
     if result in names:
@@ -177,7 +211,10 @@ def identified(
             best, score, size = _scores(batch.column(len(names)), model)
             known = pc.fill_null(batch.column(len(names) + 1), False).to_numpy(zero_copy_only=False)
             score = np.where(known, np.clip(score, 0, 1), 0.0)
-            rejected = ~known | ((score < model.least[best]) & (size >= 20))
+            least = np.zeros(len(score))
+            for k, bounds in enumerate(model.least):
+                least = np.where(best == k, np.interp(size, SIZES, bounds), least)
+            rejected = ~known | (score < least)
             pred = np.where(known, np.array(model.languages, object)[best], "und")
             made = pa.StructArray.from_arrays(
                 [pa.array(pred, pa.string()), pa.array(score), pa.array(rejected)],
