@@ -119,24 +119,25 @@ def _bounds(
 
 def fit(
     examples: DataFrame, text: str, language: str, per_language: int = 1500, clusters: int = 4,
-    max_languages: int = 64,
 ) -> Centroids:
     """Centroids from labelled texts; rows without a text or a language teach nothing.
 
-    The fit uses a bounded sample: about ``per_language`` rows of each language, chosen by a hash
-    of the text, for the ``max_languages`` most frequent languages.  Only sparse vectors come to the
-    driver, never texts: at most per_language x max_languages rows of 2^15 counts.
+    The fit uses a bounded sample of every language: about ``per_language`` different texts, chosen by
+    a hash of the text; copies count once.  Only sparse vectors come to the driver, never texts: about
+    per_language rows of 2^15 counts for each language.
     """
-    usable = examples.select(F.col(text).alias("t"), F.col(language).alias("g")).where(
+    usable = examples.select(
+        F.col(text).alias("t"), F.col(language).alias("g"), F.xxhash64(text).alias("h")).where(
         F.col("t").rlike(_HAS_LETTER) & F.col("g").isNotNull())
-    counts = usable.groupBy("g").count().orderBy(F.desc("count"), "g").limit(max_languages).collect()
+    counts = usable.select("g", "h").distinct().groupBy("g").count().orderBy("g").collect()
     if not counts:
         raise ValueError("no labelled text to learn from")
     share = F.create_map(*[
         F.lit(x) for r in counts for x in (r["g"], min(1.0, per_language / r["count"]))])
     # A hash as a number in [0, 1): the same rows in every run.
-    spot = F.pmod(F.xxhash64("t"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = usable.where(spot < share[F.col("g")])
+    spot = F.pmod(F.col("h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    picked = usable.where(spot < share[F.col("g")])
+    sample = picked.groupBy("g", "h").agg(F.first("t").alias("t")).select("t", "g")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
