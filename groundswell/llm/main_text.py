@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
     r"<(?P<close>/)?(?P<tag>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _NAME = re.compile(r"[a-z]+")
 _END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in (
-    "script", "style", "noscript", "template", "textarea", "title", "iframe", "select", "svg", "object", "button", "math")}
+    "script", "style", "noscript", "template", "textarea", "title", "iframe", "select", "svg", "object", "button")}
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr input".split())
+                   "samp small span strike strong sub sup time tt u var wbr input "
+                   "math mfrac mi mn mo mover mrow msqrt mroot mspace mstyle msub msubsup msup mtext munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening block ends an open one of these.
 CLOSES = {"p": frozenset(("p",)), "li": frozenset(("li",)), "td": frozenset(("td", "th")), "th": frozenset(("td", "th")),
@@ -46,10 +47,11 @@ def _names(rest: str) -> set[str]:
     """Features of an element's attributes: words of class, id and role."""
     out: set[str] = set()
     for m in _ATTR.finditer(rest):
-        key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+        key, value = (m[1] or "").lower(), (m[2] or "").strip("\"'").lower()
         if key in ("class", "id", "role"):
             out.update(f".{w}" for w in _NAME.findall(value))
-        elif key == "hidden" or (key == "aria-hidden" and value == "true") or "display:none" in value.replace(" ", ""):
+        elif key == "hidden" or (key == "aria-hidden" and value == "true") or (
+                key == "style" and "display:none" in value.replace(" ", "")):
             out.add("hidden")
     return out
 
