@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundswell.llm import bpe, decontaminate, language, main_text, passages, quality, simhash, tokens, toxicity, warc
+from groundswell.llm import (
+    bpe, decontaminate, jaccard_join, language, main_text, passages, quality, simhash, tokens, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +157,27 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tokens.write_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), **DOCS)
     return tokens.read_tokens(files, "doc_id")
+
+
+#: Links by counting common shingles of every two documents, components by spreading the least id.
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13),
+        'abcdefghijklmnopqrstuvwxyz     '), ' '), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+rare AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+t AS (SELECT doc_id, g FROM s JOIN rare USING (g)),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.g = b.g AND a.doc_id <> b.doc_id
+    JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id
+    HAVING 100 * count(*) >= 85 * (any_value(x.n_shingles) + any_value(y.n_shingles) - count(*))),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, coalesce(n_shingles, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
+"""
+
+
+@query("op11_ngram_jaccard_join", JACCARD_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_reports(table(spark, sf_dir, "documents"), **DOCS)
