@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundswell.llm import (
-    bpe, decontaminate, jaccard_join, language, main_text, passages, quality, simhash, tokens, toxicity, warc,
+    bpe, decontaminate, history_trie, jaccard_join, language, main_text, passages, quality, simhash, spelling, tokens, toxicity,
+    warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +182,72 @@ FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b)
 @query("op11_ngram_jaccard_join", JACCARD_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_reports(table(spark, sf_dir, "documents"), **DOCS)
+
+
+#: Bits of a text, least first in each byte (ASCII), and their CRC-32.
+_CRC = """xor(list_reduce(list_concat([4294967295::UBIGINT], flatten(list_transform(string_split({0}, ''),
+    lambda c: list_transform(range(8), lambda k: ((ascii(c) >> k) & 1)::UBIGINT)))),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295::UBIGINT)"""
+
+#: Every prefix of every rebuilt conversation as a list; subtrees by listing each node's own prefixes.
+TRIE_SQL = f"""
+WITH own AS (SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT *, ({_CRC.format("conv_id::VARCHAR")} % 9)::BIGINT AS h FROM own),
+built AS (SELECT a.conv_id, list_concat(list_slice(b.s, 1, h), list_slice(a.s, h + 1, len(a.s))) AS s
+    FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+prefixes AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM built),
+nodes AS (SELECT list_slice(s, 1, d) AS p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = d) AS ids FROM prefixes GROUP BY ALL),
+kids AS (SELECT list_slice(p, 1, d - 1) AS p, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+all_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (p, d)),
+up AS (SELECT unnest(range(0, d + 1)) AS a, * FROM all_nodes),
+sums AS (SELECT list_slice(p, 1, a) AS p, a AS d, count(*) FILTER (n_children = 0) AS n_leaves,
+    sum(CASE WHEN d > 0 THEN (n_convs - 1) * strlen(p[d].t) ELSE 0 END)::BIGINT AS saved_tokens FROM up GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, q.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens,
+    sha256(coalesce(n.ids, '')) AS ends_sha256
+FROM all_nodes n JOIN sums USING (p, d) LEFT JOIN nodes q ON q.d = n.d - 1 AND q.p = list_slice(n.p, 1, n.d - 1)
+"""
+
+
+@query("op12_conversation_trie", TRIE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = history_trie.history_trie(
+        table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text",
+        base=F.expr("pair - pair % 5"), head=F.crc32(F.col("pair").cast("string").cast("binary")) % 9)
+    return nodes.select(
+        F.col("pair_id").alias("conv_id"), "depth", F.col("parent_pair_id").alias("parent_conv_id"),
+        F.col("n_pairs").alias("n_convs"), "n_children", "n_leaves", F.col("saved_bytes").alias("saved_tokens"), "ends_sha256")
+
+
+#: CRC-32 over the UTF-8 bytes of each different run; near words by common deletions and wildcards.
+SPELLING_SQL = r"""
+WITH RECURSIVE runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+once AS (SELECT doc_id, w, count(*) AS n FROM runs WHERE length(w) >= 6 GROUP BY ALL),
+bytes AS (SELECT *, hex(encode(doc_id::VARCHAR || ':' || w)) AS x FROM once),
+marked AS (SELECT w, n, xor(list_reduce(list_concat([4294967295::UBIGINT], flatten(list_transform(
+        range(0, length(x) // 2), lambda i: list_transform(range(8), lambda k:
+        ((('0x' || x[2 * i + 1:2 * i + 2])::UBIGINT >> k::UBIGINT) & 1))))),
+        lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295::UBIGINT) AS h FROM bytes),
+words AS (SELECT CASE WHEN h % 199 = 0 THEN w[1:(h % length(w))::BIGINT] || w[(h % length(w))::BIGINT + 2:] ELSE w END AS word,
+        sum(n)::BIGINT AS n FROM marked GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+cut AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS less, word[1:i - 1] || '*' || word[i + 1:] AS wild
+    FROM words, unnest(range(1, length(word) + 1)) AS t(i)),
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.wild = b.wild AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.less = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.less = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min({'w': near, 'n': near_n}, {'a': -near_n, 'b': near}) AS b FROM near GROUP BY word),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 5 * n THEN b.w END AS form,
+    CASE WHEN b.n >= 5 * n THEN b.n END AS form_n FROM words LEFT JOIN best USING (word)),
+way(word, stop) AS (SELECT word, word FROM words UNION SELECT way.word, form FROM way JOIN forms ON way.stop = forms.word
+    WHERE form IS NOT NULL)
+SELECT f.word, f.form, way.stop AS root, f.n, f.n_near, f.form_n FROM forms f JOIN way ON way.word = f.word
+JOIN forms e ON e.word = way.stop AND e.form IS NULL
+"""
+
+
+@query("op13_spelling_variants", SPELLING_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), **DOCS, every=199)
