@@ -1,7 +1,7 @@
 import json
 
 import numpy as np
-from conftest import to_array, to_pixels
+from pixels import to_array, to_pixels
 from pyspark.sql import functions as F
 
 from groundswell.config import PRESETS, Settings

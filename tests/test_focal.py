@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import mask_array, to_array, to_mask, to_pixels
+from pixels import mask_array, to_array, to_mask, to_pixels
 from pyspark.sql import functions as F
 
 from groundswell.operators import focal as FO

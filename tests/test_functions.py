@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import to_pixels
+from pixels import to_pixels
 from pyspark.sql import functions as F
 
 from groundswell.functions import geodesy, naming

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import mask_array, to_array, to_pixels
+from pixels import mask_array, to_array, to_pixels
 from pyspark.sql import functions as F
 
 from groundswell.functions.geodesy import Grid

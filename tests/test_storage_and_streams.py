@@ -2,7 +2,7 @@ import json
 from datetime import datetime, timedelta
 
 import numpy as np
-from conftest import to_array, to_pixels
+from pixels import to_array, to_pixels
 from pyspark.sql import functions as F
 
 from groundswell.functions.geodesy import Grid
