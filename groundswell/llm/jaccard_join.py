@@ -33,6 +33,8 @@ LEVELS = 4
 HEAVY = 1e-6
 #: Members and bytes of sets of one block of a family.
 BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20
+#: So many nodes (40 bytes each) are broadcast to the scan that fetches their texts; more are joined by shuffle.
+_BROADCAST = 500_000
 #: Columns of a block's membership matrix that are multiplied at once.
 _COLUMNS = 2048
 
@@ -138,23 +140,39 @@ def postings(nodes: DataFrame, least: int) -> DataFrame:
     return materialized(held.join(chosen, "node").select("token", "node", "n", "pos", "level", "need", "weight"))
 
 
-def families(entries: DataFrame) -> DataFrame:
+def _meets(x: dict[str, Column], y: dict[str, Column], least: int) -> tuple[Column, Column]:
+    """Whether an entry of each of two nodes counts for the pair, and how many must.
+
+    The larger set says how many; a common token at places i and j leaves min(i, j) tokens before
+    it and the lesser rest after it, and a pair that could not reach the similarity with these is left out.
+    """
+    larger = F.struct(x["n"], x["node"]) > F.struct(y["n"], y["node"])
+    need = F.when(larger, x["need"]).otherwise(y["need"])
+    most = F.least(x["pos"], y["pos"]) + F.least(x["n"] - x["pos"], y["n"] - y["pos"])
+    fits = (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * least) & _alike(most, x["n"], y["n"], least)
+    return fits & (x["level"] <= need) & (y["level"] <= need), need
+
+
+def families(entries: DataFrame, least: int) -> DataFrame:
     """(node, family) of nodes in a family with others.
 
     Of every token the heaviest node leads.  A node follows the leader that it meets in most tokens,
-    if those are half of its own or more, and so on up to a node that follows nobody.  Families
-    decide only where pairs are compared, not whether.
+    if the two are candidates and these are half of its own tokens or more, and so on up to a node that
+    follows nobody.  Families decide only where pairs are compared, not whether.
     """
-    me = F.struct("weight", "node")
-    leaders = entries.groupBy("token").agg(F.max(me).alias("lead"))
-    met = entries.join(leaders, "token").where(me < F.col("lead")).groupBy("node", "lead").agg(F.count("*").alias("met"))
+    names = ("node", "n", "pos", "level", "need")
+    leaders = entries.groupBy("token").agg(F.max(F.struct("weight", *names)).alias("lead"))
+    meets, need = _meets({c: F.col(c) for c in names}, {c: F.col(f"lead.{c}") for c in names}, least)
+    below = F.struct("weight", "node") < F.struct("lead.weight", "lead.node")
+    met = entries.join(leaders, "token").where(below & meets).groupBy(
+        "node", F.struct("lead.weight", "lead.node").alias("lead")).agg(F.count("*").alias("met"), F.first(need).alias("need"))
     own = entries.groupBy("node").agg(F.count("*").alias("own"))
-    best = met.groupBy("node").agg(F.max(F.struct("met", "lead")).alias("b")).join(own, "node").where(
+    best = met.where("met >= need").groupBy("node").agg(F.max(F.struct("met", "lead")).alias("b")).join(own, "node").where(
         F.col("b.met") * 2 >= F.col("own"))
     up = materialized(best.select("node", F.col("b.lead.node").alias("family")))
     while True:
         over = up.select(F.col("node").alias("family"), F.col("family").alias("over"))
-        up = materialized(up.drop("moved").join(over, "family", "left").select(
+        up = materialized(up.select("node", "family").join(over, "family", "left").select(
             "node", F.coalesce("over", "family").alias("family"), F.col("over").isNotNull().alias("moved")))
         if up.where("moved").isEmpty():
             followers = up.select("node", "family")
@@ -260,46 +278,42 @@ def _edges(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def candidates(entries: DataFrame, member_of: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different families, the larger first, whose prefixes share as many
-    tokens as the larger one needs.
-
-    A common token at places i and j of two sets leaves min(i, j) tokens before it and the
-    lesser rest after it: a pair that could not reach the similarity with these is left out.
-    """
+    """Pairs (a, b) of nodes of different families whose prefixes share as many tokens as the larger needs."""
     placed = entries.join(member_of, "node", "left").withColumn("family", F.coalesce("family", "node"))
     live = placed.groupBy("token").agg(F.min("family").alias("u"), F.max("family").alias("v")).where("u < v").select("token")
     placed = materialized(placed.join(live, "token"))
-    x, y = placed.alias("x"), placed.alias("y")
-
-    def of(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
-
-    most = (F.least(of("x", "pos"), of("y", "pos")) + 1
-            + F.least(of("x", "n") - of("x", "pos"), of("y", "n") - of("y", "pos")) - 1)
-    fits = ((F.struct("x.n", "x.node") > F.struct("y.n", "y.node")) & (of("y", "n") * 100 >= of("x", "n") * least)
-            & (of("x", "family") != of("y", "family"))
-            & (of("x", "level") <= of("x", "need")) & (of("y", "level") <= of("x", "need"))
-            & _alike(most, of("x", "n"), of("y", "n"), least))
-    met = x.join(y, (of("x", "token") == of("y", "token")) & fits).select(
-        of("x", "node").alias("a"), of("y", "node").alias("b"), of("x", "need").alias("need"))
+    names = ("node", "n", "pos", "level", "need", "family")
+    x, y = ({c: F.col(f"{side}.{c}") for c in names} for side in "xy")
+    meets, need = _meets(x, y, least)
+    apart = (x["family"] != y["family"]) & (x["node"] < y["node"])
+    met = placed.alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & meets).select(
+        x["node"].alias("a"), y["node"].alias("b"), need.alias("need"))
     return met.groupBy("a", "b").agg(F.count("*").alias("met"), F.first("need").alias("need")).where(
         "met >= need").select("a", "b")
 
 
-def whole_sets(reports: DataFrame, report: str, shingle: int, wanted: DataFrame) -> DataFrame:
-    """(node, set) of the nodes in ``wanted`` (node, text, key), whose texts are read once more."""
+def whole_sets(reports: DataFrame, product_id: str, report: str, shingle: int, wanted: DataFrame) -> DataFrame:
+    """(node, set) of the nodes in ``wanted`` (node, first, text, key), whose texts are read once more.
+
+    Of rows that repeat id and text a task returns one; a node may come more than once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
+            fresh = [k for k, i in enumerate(batch.column(0).to_pylist()) if i not in seen and not seen.add(i)]
+            batch = batch.take(pa.array(fresh, pa.int64()))
             made = [s.tobytes() for s in shingle_sets(batch.column(2), shingle)]
             same = [hashlib.blake2b(s, digest_size=16).digest() == k.as_py() for s, k in zip(made, batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["node", "set"]).filter(
                 pa.array(same, pa.bool_()))
 
     text = F.coalesce(F.col(report), F.lit(""))
-    texts = reports.select(F.xxhash64(text).alias("text"), text.alias("_text")).join(wanted, "text")
-    made = texts.select("node", "key", "_text").mapInArrow(tidy(run), "node long, set binary")
-    return made.groupBy("node").agg(F.first("set").alias("set"))
+    few = wanted.limit(_BROADCAST + 1).count() <= _BROADCAST
+    own = F.col(product_id).eqNullSafe(F.col("first"))
+    texts = reports.select(product_id, F.xxhash64(text).alias("text"), text.alias("_text")).join(
+        F.broadcast(wanted) if few else wanted, "text").where(own)
+    return texts.select("node", "key", "_text").mapInArrow(tidy(run), "node long, set binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
@@ -338,26 +352,30 @@ def linked_reports(
     and each node's own number of shared tokens; (4) families and their links, in blocks; (5) pairs
     of different families, verified; (6) components.
     """
+    given, reports = product_id, reports.select(F.col(product_id).cast("long").alias("_id"), F.col(report).alias("_report"))
+    product_id, report = "_id", "_report"
     heavy, rank = heavy_tokens(reports, report, shingle)
     marked = materialized(marks(reports, product_id, report, shingle, least, heavy, rank))
     grouped = marked.where("n_shingles > 0").groupBy("key").agg(
-        F.min(product_id).alias("first"), F.min("text").alias("text"), F.first("n_shingles").alias("n"),
-        F.first("prefix").alias("prefix"))
+        F.min(F.struct(F.col(product_id).isNull(), product_id, "text")).alias("one"), F.first("n_shingles").alias("n"),
+        F.first("prefix").alias("prefix")).select(
+        "key", F.col(f"one.{product_id}").alias("first"), F.col("one.text").alias("text"), "n", "prefix")
     nodes = materialized(grouped.withColumn("node", F.monotonically_increasing_id()))
     entries = postings(nodes.select("node", "n", "prefix"), least)
-    member_of = materialized(families(entries))
+    member_of = materialized(families(entries, least))
     pairs = materialized(candidates(entries, member_of, least))
     used = member_of.select("node").union(pairs.select(F.explode(F.array("a", "b")))).distinct()
-    sets = materialized(whole_sets(reports, report, shingle, nodes.join(used, "node").select("node", "text", "key")))
+    wanted = materialized(nodes.join(used, "node").select("node", "first", "text", "key"))
+    sets = materialized(whole_sets(reports, product_id, report, shingle, wanted))
     members = member_of.join(nodes.select("node", "n"), "node")
     rows = nodes.count()
     edges = _stored(family_links(members, sets, least).union(verified(pairs, sets, least)), rows)
     # Labels are a node's own, so that repeated ids join nothing; nodes without an id come last.
-    label = F.struct(F.col("first").isNull().alias("unknown"), F.col("first").cast("long").alias("id"), "node")
+    label = F.struct(F.col("first").isNull().alias("unknown"), F.col("first").alias("id"), "node")
     known = nodes.select(F.col("node").alias("fingerprint"), label.alias("first"))
     found = _components(known, edges, rows)
     groups = nodes.join(found.withColumnRenamed("fingerprint", "node"), "node", "left").select(
-        "key", F.when(F.col("label").isNull(), F.col("first")).otherwise(F.col("label.id")).cast("long").alias("component_id"))
+        "key", F.when(F.col("label").isNull(), F.col("first")).otherwise(F.col("label.id")).alias("component_id"))
     some = marked.where("n_shingles > 0").join(groups, "key").select(product_id, "n_shingles", "component_id")
-    none = marked.where("n_shingles = 0").select(product_id, "n_shingles", F.col(product_id).cast("long").alias("component_id"))
-    return some.union(none)
+    none = marked.where("n_shingles = 0").select(product_id, "n_shingles", F.col(product_id).alias("component_id"))
+    return some.union(none).withColumnRenamed(product_id, given)
