@@ -36,14 +36,15 @@ class Vocabulary:
     The tokenizer drops white space and never joins across it, so a text's ids are the ids of its
     blank-separated chunks in a row.  Each distinct chunk goes through the library once; the memo
     keeps only what is in use when it grows beyond ``memo`` chunks.  Plain words go in runs of ``run``, cut again
-    where an id ends a word; any other chunk goes alone, special tokens being ordinary text.
+    where an id ends a word; any other chunk goes alone.  A special token's literal in a text is that token, as in
+    the library's plain call, or ordinary text with ``literal``.
     """
 
-    def __init__(self, path: str, memo: int = 600_000, run: int = 64):
+    def __init__(self, path: str, memo: int = 600_000, run: int = 64, literal: bool = False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = literal
         vocab = self.library.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[k for t, k in vocab.items() if t.endswith("</w>")]] = True

@@ -14,9 +14,7 @@ PATH = P.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def some_text(seed, n=300):
@@ -33,6 +31,17 @@ def test_chunks_give_the_ids_of_the_whole(library, seed):
         library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_special_tokens_and_their_literals(library):
+    texts = ["a<|endoftext|>b", "<|startoftext|> x <|endoftext|><|endoftext|>", "<|endoftext|", "A.<|ENDOFTEXT|>", "é<|endoftext|>é x"]
+    plain = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert plain[0] != plain[3] and 49407 in plain[0]
+    assert [np.frombuffer(g, "<u4").tolist() for g in tokens.Vocabulary(PATH).encode(texts)] == plain
+    ordinary = Tokenizer.from_file(PATH)
+    ordinary.encode_special_tokens = True
+    assert [np.frombuffer(g, "<u4").tolist() for g in tokens.Vocabulary(PATH, literal=True).encode(texts)] == [
+        ordinary.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_file_reads_single_documents():
     docs = [(k * 2, np.arange(k, k + n, dtype="<u4").tobytes()) for k, n in enumerate((3, 0, 70_000, 1, 5))]
     raw = b"".join(tokens.pack(iter(docs), frame_bytes=64))
