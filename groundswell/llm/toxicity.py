@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from groundswell.frames import materialized
 from groundswell.llm.columns import mix, slices, text_buffers, word_hashes, word_spans
 
 #: Terms that name groups; a swap puts the next term of its line in a term's place.
@@ -129,18 +130,16 @@ def fit(
     identity terms of a text are swapped.  Only counts and sparse rows come to the driver.
     """
     sample, weight = _sample(documents, labels, key, text, label, max_rows)
-    sample = sample.coalesce(4)
+    sample = materialized(sample).coalesce(4)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         totals = np.zeros(2, np.int64)
 
-        def merge(least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        def merge() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             f, a, b = (np.concatenate(x) for x in zip(*seen))
             u, back = np.unique(f, return_inverse=True)
-            a, b = (np.bincount(back, x, len(u)).astype(np.int64) for x in (a, b))
-            use = a + b >= least
-            return u[use], a[use], b[use]
+            return u, *(np.bincount(back, x, len(u)).astype(np.int64) for x in (a, b))
 
         for batch in batches:
             y = batch.column(0).to_numpy()
@@ -152,13 +151,13 @@ def fit(
                 u, back = np.unique(f, return_inverse=True)
                 seen.append((u, np.bincount(back, of == 0, len(u)), np.bincount(back, of == 1, len(u))))
                 if len(seen) == 6:
-                    seen[:] = [merge(1)]
-        f, a, b = merge(3) if seen else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
+                    seen[:] = [merge()]
+        f, a, b = merge() if seen else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
         yield pa.RecordBatch.from_pydict({
             "f": f.view(np.int64), "a": a, "b": b, "t0": np.full(len(f), totals[0]), "t1": np.full(len(f), totals[1])})
 
     counted = sample.mapInArrow(tally, "f long, a long, b long, t0 long, t1 long")
-    table = counted.groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    table = counted.groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a + b >= 3")
     n0, n1 = (float(x) for x in sample.agg(F.sum(1 - F.col("y")), F.sum("y")).first())
     a, b = F.col("a") / F.lit(n0), F.col("b") / F.lit(n1)
     both = (F.col("a") + F.col("b")) / F.lit(n0 + n1)
