@@ -28,6 +28,8 @@ WINDOW = 13
 #: Bytes of a window's digest.  Digests meet only inside a group, so that an accidental match of
 #: two windows needs 2^56 / (suffixes of a group) tries: one in 10^10 suffixes.
 DIGEST = 7
+#: Bytes of it that go with a repeat, to tell the texts of one id apart.
+CHECK = 4
 #: Suffixes of one group, and bytes of text of one bucket.
 GROUP_SUFFIXES, BUCKET_BYTES, CHUNK_BYTES = 2_000_000, 16 << 20, 4 << 20
 _STEP = np.uint64(0xA0761D6478BD642F)
@@ -99,23 +101,20 @@ def _zstd():
     return zstandard.ZstdCompressor(1), zstandard.ZstdDecompressor()
 
 
-def _packed(ids: np.ndarray, pos: np.ndarray, digest: np.ndarray | None = None) -> bytes:
-    """Places (and digests) as bytes; ids in runs cost little."""
+def _packed(ids: np.ndarray, pos: np.ndarray, digest: np.ndarray, width: int = DIGEST) -> bytes:
+    """Places and the lower ``width`` bytes of the digests; ids in runs cost little."""
     n = np.array([len(ids)], "<u4").tobytes()
-    raw = b"" if digest is None else np.ascontiguousarray(digest.view(np.uint8).reshape(-1, 8)[:, :DIGEST]).tobytes()
+    raw = np.ascontiguousarray(digest.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
     return n + raw + _zstd()[0].compress(_planes(np.diff(ids, prepend=0)) + _planes(pos.astype("<u4")))
 
 
-def _unpacked(raw: bytes, digests: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+def _unpacked(raw: bytes, width: int = DIGEST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = int(np.frombuffer(raw, "<u4", 1)[0])
-    digest, at = None, 4
-    if digests:
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, :DIGEST] = np.frombuffer(raw, np.uint8, n * DIGEST, 4).reshape(n, DIGEST)
-        digest, at = wide.view("<u8").ravel(), 4 + n * DIGEST
-    rest = np.frombuffer(_zstd()[1].decompress(raw[at:]), np.uint8)
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(raw, np.uint8, n * width, 4).reshape(n, width)
+    rest = np.frombuffer(_zstd()[1].decompress(raw[4 + n * width:]), np.uint8)
     ids = np.ascontiguousarray(rest[:8 * n].reshape(8, n).T).view("<i8").ravel().cumsum()
-    return ids, np.ascontiguousarray(rest[8 * n:].reshape(4, n).T).view("<u4").ravel(), digest
+    return ids, np.ascontiguousarray(rest[8 * n:].reshape(4, n).T).view("<u4").ravel(), wide.view("<u8").ravel()
 
 
 def _by(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -162,9 +161,8 @@ def without_repeats(
     n_passages (runs of removed words), kept_sha256 and kept, the words that stay joined by one
     blank.
 
-    A null text has no words.  A row without an id is neither cleaned nor a source.  An id names one
-    text: rows repeated under it carry the same text and get the same result, and do not
-    clean each other.
+    A null text has no words.  A row without an id is neither cleaned nor a source.  Rows repeated
+    under an id are judged each by its own text, and do not clean each other.
 
     Steps: (1) count prefixes, giving the heavy ones, at most 12 per group; (2) send each suffix,
     as a packed digest and place, to the group of its prefix; (3) find the nodes of each group
@@ -215,7 +213,7 @@ def without_repeats(
                 found = [(g, None, _packed(own[left[k]], pos[left[k]], digest[left[k]]))
                          for g, k in _by(part[left])]
                 there = np.flatnonzero(settled)
-                found += [(b % groups, b, _packed(own[there[k]], pos[there[k]]))
+                found += [(b % groups, b, _packed(own[there[k]], pos[there[k]], digest[there[k]], CHECK))
                           for b, k in _by(_bucket(own[there], buckets))]
                 yield _rows(found, _SUFFIXES)
 
@@ -226,17 +224,17 @@ def without_repeats(
 
         def settle() -> None:
             if held:
-                ids, pos, digest = (np.concatenate(x) for x in zip(*[_unpacked(p, True) for p in held]))
+                ids, pos, digest = (np.concatenate(x) for x in zip(*[_unpacked(p) for p in held]))
                 found = repeats(ids, digest)
-                again.append((ids[found], pos[found]))
+                again.append((ids[found], pos[found], digest[found]))
                 held.clear()
 
         def parcels() -> pa.RecordBatch:
-            ids, pos = (np.concatenate(x) for x in zip(*again))
+            ids, pos, digest = (np.concatenate(x) for x in zip(*again))
             again.clear()
             order = np.lexsort((pos, ids))
-            ids, pos = ids[order], pos[order]
-            return _rows([(b, _packed(ids[k], pos[k])) for b, k in _by(_bucket(ids, buckets))], _HITS)
+            ids, pos, digest = ids[order], pos[order], digest[order]
+            return _rows([(b, _packed(ids[k], pos[k], digest[k], CHECK)) for b, k in _by(_bucket(ids, buckets))], _HITS)
 
         for batch in batches:
             settled = []
@@ -249,7 +247,7 @@ def without_repeats(
                 if g != part:
                     settle()
                     part = g
-                    if sum(len(i) for i, _ in again) > 2 * GROUP_SUFFIXES:
+                    if sum(len(i) for i, *_ in again) > 2 * GROUP_SUFFIXES:
                         yield parcels()
                 held.append(payload)
             if settled:
@@ -281,10 +279,13 @@ def without_repeats(
                        ("kept_sha256", pa.string()), ("kept", pa.string())])
 
     def cut(texts: pa.Table, found: pa.Table) -> Iterator[pa.RecordBatch]:
-        places = [_unpacked(p.as_py(), False)[:2] for p in found.column("payload")]
-        ids, pos = (np.concatenate(x) for x in zip(*places)) if places else (np.zeros(0, np.int64),) * 2
+        places = [_unpacked(p.as_py(), CHECK) for p in found.column("payload")]
+        ids, pos, digest = (np.concatenate(x) for x in zip(*places)) if places else (np.zeros(0, np.int64),) * 3
         order = np.argsort(ids, kind="stable")
-        ids, pos = ids[order], pos[order]
+        ids, pos, digest = ids[order], pos[order], digest[order]
+        seen: set[int] = set()
+        twice = {i for payload in texts.column("payload") for batch in pa.ipc.open_stream(payload.as_py())
+                 for i in batch.column(0).cast(pa.int64()).to_pylist() if i in seen or seen.add(i)}
         for payload in texts.column("payload"):
             for batch in pa.ipc.open_stream(payload.as_py()):
                 data, offsets = text_buffers(batch.column(len(names)))
@@ -292,7 +293,10 @@ def without_repeats(
                 made = []
                 for r, i in enumerate(own):
                     a, b = (0, 0) if i is None else np.searchsorted(ids, [i, i + 1])
-                    made.append(_cleaned(data[offsets[r]:offsets[r + 1]].tobytes(), pos[a:b], window))
+                    text, at = data[offsets[r]:offsets[r + 1]], pos[a:b]
+                    if i in twice:
+                        at = at[_own(text, at, digest[a:b], window)]
+                    made.append(_cleaned(text.tobytes(), at, window))
                 struct = pa.StructArray.from_arrays(
                     [pa.array(list(c), f.type) for c, f in zip(zip(*made), arrow)], fields=list(arrow))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], struct], names=out.names)
@@ -307,6 +311,17 @@ def without_repeats(
     return packed.groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInArrow(meet, out)
 
 
+def _own(text: np.ndarray, pos: np.ndarray, digest: np.ndarray, window: int) -> np.ndarray:
+    """Flags of the places at which the text has the window of that digest: of several texts under one id,
+    each keeps its own."""
+    starts, ends, _ = word_spans(text, np.array([0, len(text)]))
+    h = word_hashes(text, starts, ends)
+    there = pos + np.int64(window) <= len(h)
+    low = np.uint64((1 << (8 * CHECK)) - 1)
+    there[there] = window_digests(h, pos[there].astype(np.int64), window) & low == digest[there]
+    return there
+
+
 def _cleaned(raw: bytes, pos: np.ndarray, window: int) -> tuple[int, int, int, str, str]:
     words = raw.translate(_BLANK).split(b" ")
     words = [w for w in words if w]

@@ -68,6 +68,14 @@ def test_special_rows(table):
     assert {x[1] for x in got[None]} == {0}
 
 
+def test_texts_of_a_repeated_id_are_judged_each(table):
+    text, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "wv")
+    rows = [(1, text), (2, text), (2, "tiny text"), (2, other), (3, "x " + text[:80]), (3, other + " end"), (3, None), (2, text)]
+    got = result(passages.without_repeats(table(rows)))
+    assert got == brute(rows)
+    assert {x[:2] for x in got[2]} == {(60, 60), (2, 0), (60, 0)}
+
+
 def test_empty_table_and_kept_columns(table):
     df = passages.without_repeats(table([]), keep=("unused",))
     assert df.collect() == [] and df.columns == ["product_id", "unused", "passages"]
@@ -88,5 +96,5 @@ def test_prefixes_grow_until_light():
 def test_packed_places_come_back():
     ids, pos = np.array([-5, 3, 3, 1 << 40]), np.array([0, 1, 70000, 5])
     digest = np.array([1, 2, 3, (1 << 56) - 1], np.uint64)
-    got = passages._unpacked(passages._packed(ids, pos, digest), True)
+    got = passages._unpacked(passages._packed(ids, pos, digest))
     assert [x.tolist() for x in got] == [ids.tolist(), pos.tolist(), digest.tolist()]
