@@ -6,11 +6,12 @@ pair and pixel; ``dates(idx, day)`` gives each acquisition's day number.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from groundswell.frames import attach, materialized, small
 from groundswell.operators.geometry import deramp
@@ -82,57 +83,86 @@ def deramp_stack(stack: DataFrame) -> DataFrame:
     return deramp(stack, ["pair_id"], "phase")
 
 
-def _tied(a: np.ndarray, b: np.ndarray, days: np.ndarray, first: int) -> np.ndarray:
-    """Flags of the dates that the pairs (a, b) tie to the first date of the network."""
-    seen = days == first
-    for _ in days:
-        linked = seen[a] | seen[b]
-        grown = seen.copy()
-        grown[a[linked]] = grown[b[linked]] = True
-        if (grown == seen).all():
-            break
-        seen = grown
-    return seen
+# Numbers of a batch's stacked normal matrices that are held at once.
+STACKED = 4_000_000
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _solve(refs: pd.Series, secs: pd.Series, phases: pd.Series, first: pd.Series) -> pd.Series:
-    """Least-squares phase per date of each pixel, the network's first date 0, dates in ascending
-    order; NaN for dates that no chain of pairs ties to the first.
+def solve_networks(
+    pixel: np.ndarray, ref: np.ndarray, sec: np.ndarray, phase: np.ndarray, pixels: int, days: int, first: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """(present, phases), pixels x days: least-squares phase per date of each pixel's own pairs.
 
-    Pixels of a batch with the same pairs share one pseudo-inverse and one product.
+    ``ref`` and ``sec`` are places among ``days`` dates.  Pairs are edges of a graph of the dates, so the normal
+    matrix of a pixel is the graph's Laplacian without the first date: built for all pixels at once by
+    counting, solved as one stack.  Which pairs a pixel lacks makes no difference to the work.
+    Dates that no chain of pairs ties to the first are NaN.
     """
-    networks = [(np.asarray(r).tobytes(), np.asarray(s).tobytes()) for r, s in zip(refs, secs)]
-    codes, _ = pd.factorize(pd.Series(networks))
-    out = np.empty(len(refs), dtype=object)
-    for code in range(codes.max() + 1 if len(codes) else 0):
-        members = np.flatnonzero(codes == code)
-        a, b = np.asarray(refs.iloc[members[0]]), np.asarray(secs.iloc[members[0]])
-        days, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-        design = np.zeros((len(a), len(days)))
-        rows = np.arange(len(a))
-        np.add.at(design, (rows, place[len(a) :]), 1.0)
-        np.add.at(design, (rows, place[: len(a)]), -1.0)
-        tied = _tied(place[: len(a)], place[len(a) :], days, int(first.iloc[0]))
-        full = np.full((len(members), len(days)), np.nan)
-        if tied.any():
-            free = tied & (days != int(first.iloc[0]))
-            full[:, tied] = 0.0
-            full[:, free] = np.stack(phases.iloc[members].to_numpy()) @ np.linalg.pinv(design[:, free]).T
-        for i, x in zip(members, full):
-            out[i] = x
-    return pd.Series(out)
+    at_ref, at_sec = pixel * days + ref, pixel * days + sec
+    size = pixels * days
+    present = np.zeros(size, bool)
+    present[at_ref] = present[at_sec] = True
+    tied = np.zeros(size, bool)
+    if 0 <= first < days:
+        tied[np.arange(pixels) * days + first] = True
+    tied &= present
+    while True:
+        open_ends = tied[at_ref] != tied[at_sec]
+        if not open_ends.any():
+            break
+        tied[at_ref[open_ends]] = tied[at_sec[open_ends]] = True
+    free = tied.copy()
+    if 0 <= first < days:
+        free[np.arange(pixels) * days + first] = False
+    use = tied[at_ref]
+    r, s, f = at_ref[use], at_sec[use], phase[use]
+    right = (np.bincount(s, f, size) - np.bincount(r, f, size)) * free
+    degree = np.where(free, np.bincount(r, minlength=size) + np.bincount(s, minlength=size), 1).astype(float)
+    normal = np.zeros((pixels, days, days))
+    flat = normal.reshape(-1)
+    inner = free[r] & free[s]
+    p, i, j = r[inner] // days, r[inner] % days, s[inner] % days
+    links = np.bincount((p * days + i) * days + j, minlength=flat.size)
+    links = links.reshape(pixels, days, days)
+    normal -= links + links.transpose(0, 2, 1)
+    normal[:, np.arange(days), np.arange(days)] += degree.reshape(pixels, days)
+    out = np.linalg.solve(normal, right.reshape(pixels, days, 1))[..., 0]
+    return present.reshape(pixels, days), np.where(tied.reshape(pixels, days), out, np.nan)
+
+
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, col, pairs' dates and phases, first date) to dates and phases of each pixel, as lists."""
+    for batch in batches:
+        refs, secs, phases = (batch.column(k) for k in range(2, 5))
+        sizes = np.diff(refs.offsets.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ref, sec, phase = (c.flatten().to_numpy() for c in (refs, secs, phases))
+        dates = np.unique(np.concatenate([ref, sec]))
+        first = int(batch.column(5)[0].as_py()) if batch.num_rows else 0
+        place = int(np.searchsorted(dates, first))
+        place = place if place < len(dates) and dates[place] == first else -1
+        step = max(1, STACKED // max(1, len(dates)) ** 2)
+        for a in range(0, batch.num_rows, step):
+            b = min(batch.num_rows, a + step)
+            i, j = ends[a], ends[b]
+            present, solved = solve_networks(
+                np.repeat(np.arange(b - a), sizes[a:b]), np.searchsorted(dates, ref[i:j]), np.searchsorted(dates, sec[i:j]),
+                phase[i:j], b - a, len(dates), place)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(present.sum(1))]), pa.int32())
+            idx = np.broadcast_to(dates, present.shape)[present]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (idx.astype(np.int32), solved[present])]
+            part = batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], names=[*PIXEL, "idx", "phase"])
 
 
 def invert_network(stack: DataFrame) -> DataFrame:
-    """Least-squares phase per date and pixel: one shuffle by pixel, then local algebra.
+    """Least-squares phase per date and pixel: one shuffle by pixel, then stacked local algebra.
 
     A pixel's group holds its pairs, at most one row per pair of the network.  Pixels missing some
-    pairs are solved on the pairs they have.  The network's first date has phase 0; dates of a
-    pixel that its pairs don't tie to it have no datum, and NULL.
+    pairs are solved on the pairs they have, whatever the number of different gaps.  The network's first date
+    has phase 0; dates of a pixel that its pairs don't tie to it have no datum, and NULL.
     """
     pair = F.struct("pair_id", F.col("ref_idx").cast("int").alias("ref_idx"),
-                    F.col("sec_idx").cast("int").alias("sec_idx"), "phase")
+                    F.col("sec_idx").cast("int").alias("sec_idx"), F.col("phase").cast("double").alias("phase"))
     first = stack.agg(F.least(F.min("ref_idx"), F.min("sec_idx")).cast("int").alias("_first"))
     pixels = (
         stack.where(F.col("phase").isNotNull())
@@ -140,9 +170,8 @@ def invert_network(stack: DataFrame) -> DataFrame:
         .select(*PIXEL, F.col("_p.ref_idx").alias("_r"), F.col("_p.sec_idx").alias("_s"),
                 F.col("_p.phase").alias("_f"))
     )
-    days = F.array_sort(F.array_distinct(F.concat("_r", "_s")))
-    solved = attach(pixels, first).select(
-        *PIXEL, days.alias("idx"), _solve("_r", "_s", "_f", "_first").alias("phase"))
+    keys = ", ".join(f"{c} {stack.schema[c].dataType.simpleString()}" for c in PIXEL)
+    solved = attach(pixels, first).mapInArrow(_solve, f"{keys}, idx array<int>, phase array<double>")
     return solved.select(*PIXEL, F.inline(F.arrays_zip("idx", "phase"))).withColumn(
         "phase", F.nanvl("phase", F.lit(None).cast("double")))
 

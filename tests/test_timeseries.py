@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +39,45 @@ def test_inversion_with_missing_pairs(spark, rng):
         assert got[col] == pytest.approx(series)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_stacked_networks_equal_one_by_one(seed):
+    rng = np.random.default_rng(seed)
+    days, pixels, rows = 9, 60, []
+    for p in range(pixels):
+        pairs = [(a, b) for a in range(days) for b in range(a + 1, min(days, a + 4)) if rng.random() < rng.choice([0.25, 0.9])]
+        rows += [(p, a, b, rng.normal()) for a, b in pairs for _ in range(rng.integers(1, 3))]
+    p, a, b, f = (np.array(c) for c in zip(*rows))
+    present, got = TS.solve_networks(p, a, b, f, pixels, days, 0)
+    for k in range(pixels):
+        own = p == k
+        tied = {0} if 0 in {*a[own], *b[own]} else set()
+        for _ in range(days):
+            tied |= {d for x, y in zip(a[own], b[own]) if tied & {x, y} for d in (x, y)}
+        free = sorted(tied - {0})
+        design = np.array([[int(y == d) - int(x == d) for d in free] for x, y in zip(a[own], b[own])], float).reshape(own.sum(), len(free))
+        want = np.full(days, np.nan)
+        want[sorted(tied)] = 0.0
+        want[free] = np.linalg.lstsq(design, f[own], rcond=None)[0] if free else []
+        assert got[k] == pytest.approx(want, nan_ok=True)
+        assert set(np.flatnonzero(present[k])) == {*a[own], *b[own]}
+
+
+def test_work_does_not_grow_with_the_kinds_of_gaps():
+    """2,000 pixels that each lack other pairs take about as long as 2,000 that lack none."""
+    rng = np.random.default_rng(1)
+    links = np.array([(a, b) for a in range(20) for b in range(a + 1, min(20, a + 4))])
+
+    def took(share):
+        keep = rng.random((2000, len(links))) >= share
+        p, k = np.nonzero(keep)
+        start = time.perf_counter()
+        TS.solve_networks(p, links[k, 0], links[k, 1], rng.normal(size=len(p)), 2000, 20, 0)
+        return time.perf_counter() - start
+
+    whole, gaps = (min(took(share) for _ in range(5)) for share in (0.0, 0.3))
+    assert gaps < 3 * whole
+
+
 def test_clean_ramp_gives_its_rate(spark):
     rate = 0.5  # phase per year
     rows = [(p, a, b, 0, c, rate * (DAYS[b] - DAYS[a]) / 365.25 * (c + 1), 0.9)
