@@ -1,125 +1,179 @@
-"""Continuous acquisition: registering scenes and spacing them as they arrive."""
+"""Continuous acquisition: registering scenes and spacing them as they arrive.
+
+Both rules keep their knowledge as keyed state beside the stream: which scene ids are registered, and
+the last kept time of each track.  State is versioned with the stream's checkpoint, so a replayed batch starts from
+the state before it, and no batch reads what earlier ones have written.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from groundswell.frames import materialized, small
-from groundswell.operators.acquisitions import min_gap_times
 from groundswell.operators.catalog import SCENES, conform
 
+_DAY_US = 86_400_000_000
+
+
+def _keyed_state(spark: SparkSession) -> None:
+    """Stateful processors need the store that keeps state on disk beside the task."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+class _Registration(StatefulProcessor):
+    """State of a scene id: that it is registered.  ``forget`` days after its record, once the watermark
+    has passed them, a timer drops the state; without ``forget`` it stays."""
+
+    def __init__(self, columns: list[str], forget: int | None) -> None:
+        self.columns, self.forget = columns, forget
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", "known boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        first = min(rows, key=lambda r: (r["_micros"], [(r[c] is not None, str(r[c])) for c in self.columns]))
+        if not self.known.exists():
+            self.known.update((True,))
+            if self.forget is not None:
+                self.handle.registerTimer(first["_micros"] // 1000 + self.forget * _DAY_US // 1000)
+            yield Row(**{c: first[c] for c in self.columns})
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.known.update((True,))
 
-def first_per_scene(stream: DataFrame, delay: str = "1 day", time: str = "start_time") -> DataFrame:
-    """First record of each scene id; state older than the watermark is dropped."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(["scene_id"])
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.known.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def first_per_scene(
+    stream: DataFrame, delay: str = "1 day", time: str = "start_time", known: DataFrame | None = None,
+    forget: int | None = None,
+) -> DataFrame:
+    """First record of each scene id, the earliest of its batch (equal times: by their columns).
+
+    ``known`` are the scene ids registered before the stream's first batch.  Records later than
+    ``delay`` behind the newest are dropped.  With ``forget`` an id's state goes so many days after its
+    record; a record of the id beyond them counts as new.
+    """
+    _keyed_state(stream.sparkSession)
+    rows = stream.where(F.col(time).isNotNull() & F.col("scene_id").isNotNull()).withColumn(
+        "_micros", F.unix_micros(time)).withWatermark(time, delay)
+    start = None if known is None else known.select("scene_id").distinct().groupBy("scene_id")
+    return rows.groupBy("scene_id").transformWithState(
+        _Registration(stream.columns, forget), stream.schema, "Append", "EventTime", initialState=start)
 
 
 def register_stream(
-    stream: DataFrame, catalog_path: str, checkpoint: str, delay: str = "1 day"
+    stream: DataFrame, catalog_path: str, checkpoint: str, delay: str = "1 day", forget: int | None = None
 ) -> DataStreamWriter:
     """Write new scenes to the catalog folder, one sub-folder per batch.
 
-    A replayed batch overwrites its own folder, and scenes in other batches' folders are
-    left out of it, so a restart neither loses nor repeats a scene.
+    Scenes that the folder holds when the stream first starts are known from the beginning; from then
+    on the state alone tells.  A replayed batch overwrites its own folder, so a restart neither
+    loses nor repeats a scene.
     """
-
     spark = stream.sparkSession
-    # An empty write makes the folder, so that the first batch can read it.
+    # An empty write makes the folder, so that it can be read.
     spark.createDataFrame([], SCENES).write.mode("append").parquet(catalog_path)
+    known = spark.read.schema(SCENES).parquet(catalog_path).where(F.col("scene_id").isNotNull())
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.sparkSession.read.schema(SCENES + ", batch int").parquet(catalog_path)
-        known = stored.where(F.col("batch") != batch_id).select("scene_id")
         rows = batch.withColumns({
             "acquisition_date": F.to_date("start_time"), "download_status": F.lit("pending")
         })
-        fresh = conform(rows, SCENES).join(known, "scene_id", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{catalog_path}/batch={batch_id}")
+        conform(rows, SCENES).write.mode("overwrite").parquet(f"{catalog_path}/batch={batch_id}")
 
     return (
-        first_per_scene(stream, delay).writeStream.foreachBatch(save)
+        first_per_scene(stream, delay, known=known, forget=forget).writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint).outputMode("append")
     )
 
 
-def min_gap_register(
-    stream: DataFrame, path: str, checkpoint: str, min_gap_days: int, key: str = "path_number"
-) -> DataStreamWriter:
-    """Spacing rule for streams with crowded tracks: each batch is thinned by equi-joins.
+class _Spacing(StatefulProcessor):
+    """State of a track: scenes that wait for the watermark, by the millisecond, and the last kept time.
 
-    The last kept time of a track is read from the earlier batches' folders, and a replayed
-    batch overwrites its own folder, so a restart gives the same scenes.
+    A timer takes the scenes of its millisecond when no earlier one can come any more, so that
+    they are judged in time order whatever the order of arrival.
     """
-    schema = ", ".join(
-        f"{n} {stream.schema[n].dataType.simpleString()}" for n in ("scene_id", key, "start_time")
-    )
-    stream.sparkSession.createDataFrame([], schema).write.mode("append").parquet(path)
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.sparkSession.read.schema(schema + ", batch int").parquet(path)
-        last = stored.where(F.col("batch") != batch_id).groupBy(key).agg(
-            F.max("start_time").alias("_last")
-        )
-        fresh = batch.select("scene_id", key, "start_time").join(small(last), key, "left")
-        late = F.coalesce(F.col("start_time") <= F.col("_last"), F.lit(False))
-        fresh = materialized(fresh.where(~late))
-        # The last kept time opens each track's chain, and is not written again.
-        seeds = fresh.where(F.col("_last").isNotNull()).select(key, F.col("_last").alias("start_time"))
-        times = fresh.select(key, "start_time").union(seeds)
-        kept = min_gap_times(times, min_gap_days, [key])
-        fresh.join(kept, [key, "start_time"], "left_semi").groupBy(key, "start_time").agg(
-            F.min("scene_id").alias("scene_id")
-        ).select("scene_id", key, "start_time").write.mode("overwrite").parquet(
-            f"{path}/batch={batch_id}"
-        )
-
-    return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    def __init__(self, gap_days: int) -> None:
+        self.gap = gap_days * _DAY_US
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "micros bigint")
+        self.waiting = handle.getMapState("waiting", "ms bigint", "micros array<bigint>, ids array<string>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        last = self.last.get()[0] if self.last.exists() else None
+        fresh: dict[int, dict[int, str]] = {}
+        for r in rows:
+            t = r["_micros"]
+            if last is None or t - last >= self.gap:
+                at = fresh.setdefault(t // 1000, {})
+                at[t] = min(r["scene_id"], at.get(t, r["scene_id"]))
+        for ms, at in fresh.items():
+            if self.waiting.containsKey((ms,)):
+                for t, i in zip(*self.waiting.getValue((ms,))):
+                    at[t] = min(i, at.get(t, i))
+            self.waiting.updateValue((ms,), (list(at), list(at.values())))
+            self.handle.registerTimer(ms)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        ms = expiredTimerInfo.getExpiryTimeInMs()
+        if not self.waiting.containsKey((ms,)):
+            return
+        last = self.last.get()[0] if self.last.exists() else None
+        for t, i in sorted(zip(*self.waiting.getValue((ms,)))):
+            if last is None or t - last >= self.gap:
+                last = t
+                yield Row(scene_id=i, track=key[0], micros=t)
+        if last is not None:
+            self.last.update((last,))
+        self.waiting.removeKey((ms,))
+
+    def close(self) -> None:
+        pass
 
 
 def min_gap_stream(
-    stream: DataFrame, min_gap_days: int, key: str = "path_number"
+    stream: DataFrame, min_gap_days: int, key: str = "path_number", delay: str = "0 seconds"
 ) -> DataFrame:
-    """Scenes kept by the spacing rule, with the last kept time as state per track.
-
-    A track's share of a batch is one task's work; limit the batch (maxFilesPerTrigger), or
-    use ``min_gap_register`` where tracks are crowded.
+    """Scenes kept by the spacing rule, per track.
 
-    Within a batch scenes are taken in time order.  A scene earlier than the last kept one
-    arrives too late to be kept.
+    A scene waits until the stream's newest time is ``delay`` ahead of it and is then judged in time
+    order, so scenes may arrive out of order by that much; later ones are dropped.  Of
+    scenes at one time that with the smallest id counts.  A track holds its waiting scenes and one time.
     """
-    gap = pd.Timedelta(days=min_gap_days)
-
-    def step(
-        k: tuple, parts: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        # Keep what can still be kept of each Arrow batch: its times after the last kept one.
-        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        times: dict[pd.Timestamp, str] = {}
-        for pdf in parts:
-            if last is not None:
-                pdf = pdf[pdf["start_time"] - last >= gap]
-            firsts = pdf.groupby("start_time")["scene_id"].min()
-            for t, s in firsts.items():
-                times[t] = min(s, times.get(t, s))
-        kept = []
-        for t in sorted(times):
-            if last is None or t - last >= gap:
-                kept.append((times[t], k[0], t))
-                last = t
-        if last is not None:
-            state.update((last.value // 1000,))
-        yield pd.DataFrame(kept, columns=["scene_id", key, "start_time"])
+    _keyed_state(stream.sparkSession)
+    kind = stream.schema[key].dataType.simpleString()
+    rows = stream.select("scene_id", key, "start_time", F.unix_micros("start_time").alias("_micros")).where(
+        F.col("start_time").isNotNull() & F.col("scene_id").isNotNull())
+    kept = rows.withWatermark("start_time", delay).groupBy(key).transformWithState(
+        _Spacing(min_gap_days), f"scene_id string, track {kind}, micros bigint", "Append", "EventTime")
+    return kept.select("scene_id", F.col("track").alias(key), F.timestamp_micros("micros").alias("start_time"))
 
-    key_type = stream.schema[key].dataType.simpleString()
-    return (
-        stream.select("scene_id", key, "start_time").groupBy(key).applyInPandasWithState(
-            step, f"scene_id string, {key} {key_type}, start_time timestamp", "last bigint",
-            "append", GroupStateTimeout.NoTimeout,
-        )
-    )
+
+def min_gap_register(
+    stream: DataFrame, path: str, checkpoint: str, min_gap_days: int, key: str = "path_number",
+    delay: str = "0 seconds",
+) -> DataStreamWriter:
+    """The scenes that ``min_gap_stream`` keeps, one sub-folder per batch; a replayed batch overwrites its own."""
+    kept = min_gap_stream(stream, min_gap_days, key, delay)
+    stream.sparkSession.createDataFrame([], kept.schema).write.mode("append").parquet(path)
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return kept.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)

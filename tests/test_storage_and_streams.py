@@ -6,7 +6,7 @@ from pixels import to_array, to_pixels
 from pyspark.sql import functions as F
 
 from groundswell.functions.geodesy import Grid
-from groundswell.operators.catalog import SCENES
+from groundswell.operators.catalog import SCENES, conform
 from groundswell.sources import raster as RS
 from groundswell.streaming import scenes as ST
 
@@ -91,3 +91,51 @@ def test_streams_over_several_batches(spark, tmp_path):
     assert times == [t0 + timedelta(days=4 * i) for i in range(8)]
     spaced = spark.read.schema(schema).parquet(str(tmp_path / "spaced"))
     assert sorted(r["start_time"] for r in spaced.collect()) == times
+
+
+def test_registration_reads_no_catalog_file_and_survives_a_replay(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    src, cat, ck = (str(tmp_path / n) for n in ("src", "cat", "ck"))
+    before = spark.createDataFrame([("old",)], "scene_id string")
+    conform(before, SCENES).write.parquet(f"{cat}/batch=seed")
+    for b in range(3):
+        rows = [(f"s{i}", t0 + timedelta(days=b, hours=i), b) for i in range(b * 5 + 6)] + [("old", t0, 9), (None, t0, 9)]
+        write_batch(spark, src, f"b{b}", rows)
+        schema = spark.read.parquet(f"{src}/b0").schema
+        run(ST.register_stream(spark.readStream.schema(schema).parquet(f"{src}/*"), cat, ck, "30 days"))
+        if b == 0:
+            (tmp_path / "cat" / "batch=0" / "part-torn.parquet").write_bytes(b"no parquet")
+    # The last batches are run again, as after a crash before their commit.
+    for f in (tmp_path / "ck" / "commits").iterdir():
+        if f.name.strip(".crc").isdigit() and int(f.name.strip(".crc")) >= 2 or f.name.startswith(".") and f.name != ".0.crc":
+            f.unlink()
+    (tmp_path / "cat" / "batch=0" / "part-torn.parquet").unlink()
+    run(ST.register_stream(spark.readStream.schema(schema).parquet(f"{src}/*"), cat, ck, "30 days"))
+    ids = sorted(r["scene_id"] for r in spark.read.schema(SCENES).parquet(cat).collect())
+    assert ids == sorted(["old"] + [f"s{i}" for i in range(16)])
+
+
+def test_registered_scenes_are_forgotten_after_their_days(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    src, cat, ck = (str(tmp_path / n) for n in ("src", "cat", "ck"))
+    for b, rows in enumerate([[("a", t0, 1), ("b", t0 + timedelta(days=9), 1)], [("c", t0 + timedelta(days=30), 1)],
+                              [("a", t0 + timedelta(days=29), 1), ("c", t0 + timedelta(days=30), 1)]]):
+        write_batch(spark, src, f"b{b}", rows)
+        schema = spark.read.parquet(f"{src}/b0").schema
+        run(ST.register_stream(spark.readStream.schema(schema).parquet(f"{src}/*"), cat, ck, "2 days", forget=5))
+    assert sorted(r["scene_id"] for r in spark.read.schema(SCENES).parquet(cat).collect()) == ["a", "a", "b", "c"]
+
+
+def test_spacing_takes_late_scenes_in_time_order(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    src, kept = str(tmp_path / "src"), str(tmp_path / "kept")
+    days = [[0, 1, 5, 9], [8, 4, 12, 3], [16, 2, 11], [40]]
+    for b, some in enumerate(days):
+        rows = [(f"s{d:02}{x}", t0 + timedelta(days=d, microseconds=7), p) for d in some for p in (1, 2) for x in "ba"]
+        write_batch(spark, src, f"b{b}", rows)
+        schema = spark.read.parquet(f"{src}/b0").schema
+        gap = ST.min_gap_stream(spark.readStream.schema(schema).parquet(f"{src}/*"), 4, delay="6 days")
+        run(gap.writeStream.format("parquet").option("path", kept).option("checkpointLocation", str(tmp_path / "ck")))
+    got = sorted((r["path_number"], r["scene_id"], (r["start_time"] - t0).days) for r in spark.read.parquet(kept).collect())
+    # Day 2 of the third batch comes when the watermark is at day 6: too late.  Day 40 still waits.
+    assert got == [(p, f"s{d:02}a", d) for p in (1, 2) for d in (0, 4, 8, 12, 16)]
