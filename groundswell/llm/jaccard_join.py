@@ -141,23 +141,23 @@ def postings(nodes: DataFrame, least: int) -> DataFrame:
 
 
 def _meets(x: dict[str, Column], y: dict[str, Column], least: int) -> tuple[Column, Column]:
-    """Whether an entry of each of two nodes counts for the pair, and how many must.
+    """Whether an entry of each of two nodes counts for the pair, and how many must: the larger set says."""
+    need = F.when(F.struct(x["n"], x["node"]) > F.struct(y["n"], y["node"]), x["need"]).otherwise(y["need"])
+    fits = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * least
+    return fits & (x["level"] <= need) & (y["level"] <= need), need
 
-    The larger set says how many; a common token at places i and j leaves min(i, j) tokens before
-    it and the lesser rest after it, and a pair that could not reach the similarity with these is left out.
-    """
-    larger = F.struct(x["n"], x["node"]) > F.struct(y["n"], y["node"])
-    need = F.when(larger, x["need"]).otherwise(y["need"])
+
+def _reaches(x: dict[str, Column], y: dict[str, Column], least: int) -> Column:
+    """A common token at places i and j leaves min(i, j) tokens before it and the lesser rest after it."""
     most = F.least(x["pos"], y["pos"]) + F.least(x["n"] - x["pos"], y["n"] - y["pos"])
-    fits = (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * least) & _alike(most, x["n"], y["n"], least)
-    return fits & (x["level"] <= need) & (y["level"] <= need), need
+    return _alike(most, x["n"], y["n"], least)
 
 
 def families(entries: DataFrame, least: int) -> DataFrame:
     """(node, family) of nodes in a family with others.
 
     Of every token the heaviest node leads.  A node follows the leader that it meets in most tokens,
-    if the two are candidates and these are half of its own tokens or more, and so on up to a node that
+    if the two are candidates and these are a quarter of its own tokens or more, and so on up to a node that
     follows nobody.  Families decide only where pairs are compared, not whether.
     """
     names = ("node", "n", "pos", "level", "need")
@@ -168,7 +168,7 @@ def families(entries: DataFrame, least: int) -> DataFrame:
         "node", F.struct("lead.weight", "lead.node").alias("lead")).agg(F.count("*").alias("met"), F.first(need).alias("need"))
     own = entries.groupBy("node").agg(F.count("*").alias("own"))
     best = met.where("met >= need").groupBy("node").agg(F.max(F.struct("met", "lead")).alias("b")).join(own, "node").where(
-        F.col("b.met") * 2 >= F.col("own"))
+        F.col("b.met") * 4 >= F.col("own"))
     up = materialized(best.select("node", F.col("b.lead.node").alias("family")))
     while True:
         over = up.select(F.col("node").alias("family"), F.col("family").alias("over"))
@@ -286,7 +286,8 @@ def candidates(entries: DataFrame, member_of: DataFrame, least: int) -> DataFram
     x, y = ({c: F.col(f"{side}.{c}") for c in names} for side in "xy")
     meets, need = _meets(x, y, least)
     apart = (x["family"] != y["family"]) & (x["node"] < y["node"])
-    met = placed.alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & meets).select(
+    met = placed.alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & meets
+                                      & _reaches(x, y, least)).select(
         x["node"].alias("a"), y["node"].alias("b"), need.alias("need"))
     return met.groupBy("a", "b").agg(F.count("*").alias("met"), F.first("need").alias("need")).where(
         "met >= need").select("a", "b")
