@@ -14,6 +14,7 @@ from groundswell.operators import catalog as C
 from groundswell.sources import objects as O
 from groundswell.sources import scenes as SC
 from groundswell.sources import stack as SK
+from groundswell.sources.keyed import KeyedTable
 
 SEARCH = ("SELECT scene_id, start_time, path_number FROM v_scenes WHERE start_time>=TIMESTAMP "
           "'2024-01-05' AND start_time<=TIMESTAMP '2024-01-20' AND processing_level='click' AND "
@@ -286,7 +287,7 @@ EV = ("SELECT CAST(CAST(floor(event_id/4) AS BIGINT) AS VARCHAR) AS scene_id, CA
       "file_size_bytes FROM events")
 
 
-def _events(d):
+def _events(d, *more):
     e, k = d.table("events"), F.col("event_id")
     status = (F.when(F.col("event_type") == "click", "downloading")
               .when(F.col("event_type") == "view", "downloaded")
@@ -295,7 +296,7 @@ def _events(d):
         F.floor(k / 4).cast("string").alias("scene_id"), F.col("ts").cast("timestamp").alias("event_time"),
         status.alias("status"), F.when(k % 4 == 0, F.concat(F.lit("p"), k.cast("string"))).alias("local_path"),
         F.lit(None).cast("string").alias("remote_path"), F.when(k % 5 == 0, k).alias("file_size_bytes"),
-        F.lit(None).cast("string").alias("checksum"))
+        F.lit(None).cast("string").alias("checksum"), *more)
 
 
 @query("update_scene_status", sql(
@@ -313,6 +314,37 @@ def _(d):
         "local_path", "file_size_bytes")
 
 
+FOLDED = ("SELECT c.scene_id, coalesce(l.status, c.download_status) AS download_status, l.started AS download_started_at, "
+          "l.local_path FROM {cur} c LEFT JOIN (SELECT scene_id, arg_max(status, {{'t': event_time, 'n': sequence}}) AS status, "
+          "max(event_time) FILTER (WHERE status='downloading') AS started, arg_max(local_path, {{'t': event_time, 'n': "
+          "sequence}}) FILTER (WHERE local_path IS NOT NULL) AS local_path FROM ({ev}) GROUP BY scene_id) l USING (scene_id)")
+# All events of a day at one time: their sequence decides.
+TIED = EV.replace("CAST(ts AS TIMESTAMP) AS event_time", "CAST(CAST(ts AS DATE) AS TIMESTAMP) AS event_time, event_id AS sequence")
+ALL = f"{CUR} UNION ALL SELECT CAST(event_id AS VARCHAR), 'S1A', CAST(ts AS DATE), event_type, CAST(user_id AS INT), 'pending' FROM events WHERE event_type<>'click'"
+
+
+def _tied(d):
+    """The events with all of a day at one time, and their sequence."""
+    return _events(d, F.col("event_id").alias("sequence")).withColumn("event_time", F.date_trunc("day", "event_time"))
+
+
+@query("scene_status_ties", sql("", FOLDED.format(cur="cur", ev=TIED), cur=CUR))
+def _(d):
+    return C.update_scene_status(_catalog(d), _tied(d)).select("scene_id", "download_status", "download_started_at", "local_path")
+
+
+@query("catalog_store", sql("", FOLDED.format(cur="everything", ev=TIED), everything=ALL))
+def _(d):
+    """A stored catalog: scenes registered and status events folded in, part by part."""
+    ensure_checkpoint_dir(d.spark)
+    path = f"{d.spark.sparkContext.getCheckpointDir()}/catalog-{uuid.uuid4().hex}"
+    table = KeyedTable.create(_catalog(d), path, C.SCENES, "scene_id", 16)
+    C.register_stored(table, _scene_rows(d).drop("event_id"), "acquisition_date", "download_status")
+    C.update_stored(table, _tied(d), C.update_scene_status)
+    table.compact()
+    return table.read().select("scene_id", "download_status", "download_started_at", "local_path")
+
+
 @query("get_scenes", sql(
     "", "SELECT scene_id, acquisition_date FROM cur WHERE processing_level='click' ORDER BY "
     "acquisition_date", cur=CUR))

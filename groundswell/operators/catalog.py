@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from groundswell.frames import materialized
+from groundswell.sources.keyed import KeyedTable
+
 # Catalog schemas as DDL.
 SCENES = (
     "scene_id string, platform string, acquisition_date date, processing_level string, "
@@ -61,15 +64,17 @@ def _apply_events(
     """Fold status events into their rows in event order, in one aggregate.
 
     The last status wins; a stamp takes the time of its last event; a field takes the last
-    value given for it.
+    value given for it.  Events are ordered by time and, at one time, by their ``sequence`` if they have
+    one, then by status and fields, so that ties never depend on the rows' places.
     """
     t, s = F.col("event_time"), F.col("status")
+    order = F.struct("event_time", *[c for c in ("sequence",) if c in events.columns], "status", *fields)
 
     def last_given(x: Column) -> Column:
-        return F.max_by(x, F.when(x.isNotNull(), t))
+        return F.max_by(x, F.when(x.isNotNull(), order))
 
     latest = events.groupBy(key).agg(
-        F.max_by(s, t).alias("_status"),
+        last_given(s).alias("_status"),
         F.max(F.when(s.isin(*start_on), t)).alias("_started"),
         F.max(F.when(s.isin(*complete_on), t)).alias("_completed"),
         *[last_given(F.col(f)).alias(f"_{f}") for f in fields],
@@ -83,7 +88,7 @@ def _apply_events(
 
 
 def update_scene_status(current: DataFrame, events: DataFrame) -> DataFrame:
-    """``events(scene_id, event_time, status, local_path, remote_path, file_size_bytes, checksum)``."""
+    """``events(scene_id, event_time[, sequence], status, local_path, remote_path, file_size_bytes, checksum)``."""
     return _apply_events(
         current, events, "scene_id", "download_status", "download_started_at",
         "download_completed_at", ["downloading"], ["downloaded", "completed"],
@@ -102,6 +107,23 @@ def get_scenes(
     return out.orderBy("acquisition_date")
 
 
+def register_stored(table: KeyedTable, new: DataFrame, order: str, status: str) -> int:
+    """Add the rows whose key a stored catalog doesn't have, as pending; only these are written."""
+    rows = new.withColumn(status, F.lit("pending"))
+    fresh = _first_per_key(conform(rows, table.ddl), table.key, F.col(order))
+    known = table.matching(fresh.select(table.key))
+    return table.put(fresh.join(known.select(table.key), table.key, "left_anti").select(*fresh.columns))
+
+
+def update_stored(table: KeyedTable, events: DataFrame, fold: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+    """Fold status events (``update_scene_status`` or ``update_pair_status``) into a stored catalog.
+
+    Only the parts that the events' keys fall into are read, only the rows they alter are written.
+    """
+    events = materialized(events)
+    return table.update(events.select(table.key).where(F.col(table.key).isNotNull()), lambda now: fold(now, events))
+
+
 def existing(ids: DataFrame, current: DataFrame, key: str = "scene_id") -> DataFrame:
     return ids.join(current.select(key), key, "left_semi")
 
@@ -123,7 +145,7 @@ def register_pairs(current: DataFrame, new: DataFrame, scenes: DataFrame) -> Dat
 
 
 def update_pair_status(current: DataFrame, events: DataFrame) -> DataFrame:
-    """``events(pair_id, event_time, status, output_dir, error_message)``."""
+    """``events(pair_id, event_time[, sequence], status, output_dir, error_message)``."""
     return _apply_events(
         current, events, "pair_id", "processing_status", "processing_started_at",
         "processing_completed_at", ["processing"], ["completed", "failed"],
