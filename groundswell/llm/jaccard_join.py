@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from groundswell.frames import materialized
-from groundswell.llm.columns import tidy
-from groundswell.llm.similar import shingle_sets
-from groundswell.llm.simhash import _components, _stored
+from groundswell.llm.columns import SPACE, mix, slices, text_buffers, tidy, word_hashes, word_spans
+from groundswell.llm.simhash import _LOWER, _components, _stored
 
 #: Longest extension of a prefix that is weighed.
 LEVELS = 4
@@ -37,6 +36,31 @@ BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20
 _BROADCAST = 500_000
 #: Columns of a block's membership matrix that are multiplied at once.
 _COLUMNS = 2048
+_PLACE = np.random.default_rng(42).integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles of ``size`` words.
+
+    A-Z are lower-cased; words are runs without ASCII white space; a text of fewer words is one shingle.
+    """
+    data, offsets = text_buffers(column)
+    for i, j in slices(offsets, 1 << 21):
+        part = _LOWER[data[offsets[i]:offsets[j]]]
+        starts, ends, row = word_spans(part, offsets[i:j + 1] - offsets[i], SPACE)
+        hashes = word_hashes(part, starts, ends)
+        cut = np.searchsorted(row, np.arange(j - i + 1))
+        for r in range(j - i):
+            w = hashes[cut[r]:cut[r + 1]]
+            k = min(size, len(w))
+            if not k:
+                yield w
+                continue
+            n = len(w) - k + 1
+            h = np.zeros(n, np.uint64)
+            for p in range(k):
+                h += w[p:p + n] * _PLACE[p]
+            yield np.unique(mix(h))
 
 
 def token_counts(reports: DataFrame, report: str, shingle: int) -> DataFrame:
@@ -113,7 +137,7 @@ def marks(reports: DataFrame, product_id: str, report: str, shingle: int, least:
                  pa.array(firsts, pa.list_(pa.int64()))], names=out.names)
 
     text = F.coalesce(F.col(report), F.lit(""))
-    return reports.select(product_id, F.xxhash64(text).alias("_hash"), text.alias("_text")).mapInArrow(tidy(run), out)
+    return reports.select(product_id, report_hash(report).alias("_hash"), text.alias("_text")).mapInArrow(tidy(run), out)
 
 
 def postings(nodes: DataFrame, least: int) -> DataFrame:
@@ -312,7 +336,7 @@ def whole_sets(reports: DataFrame, product_id: str, report: str, shingle: int, w
     text = F.coalesce(F.col(report), F.lit(""))
     few = wanted.limit(_BROADCAST + 1).count() <= _BROADCAST
     own = F.col(product_id).eqNullSafe(F.col("first"))
-    texts = reports.select(product_id, F.xxhash64(text).alias("text"), text.alias("_text")).join(
+    texts = reports.select(product_id, report_hash(report).alias("text"), text.alias("_text")).join(
         F.broadcast(wanted) if few else wanted, "text").where(own)
     return texts.select("node", "key", "_text").mapInArrow(tidy(run), "node long, set binary")
 
@@ -340,9 +364,11 @@ def linked_reports(
 
     ``reports`` has one row per product: an integer ``product_id`` (text ids of the catalog are numbered
     first) and the ``report`` text.  A-Z are lower-cased, words are runs without ASCII white space; a
-    text of fewer than ``shingle`` words is one shingle.  Returns per row: product_id, n_shingles and
-    component_id, the smallest product_id reachable over links, itself included.  Every link is found:
-    candidates come from prefixes that a linked pair must share, and each is verified on whole sets.
+    text of fewer than ``shingle`` words is one shingle.  Returns per row: product_id, n_shingles,
+    component_id, the smallest product_id reachable over links, itself included, and to tell rows
+    with repeated ids apart report_hash (of the text) and group_id (of the component, null without a shingle).
+    Every link is found: candidates come from prefixes that a linked pair must share, and each is verified
+    on whole sets.
 
     A text that is null or has no word has no shingle and is linked with nothing, not even with
     another such text.  Rows with equal sets are linked (a similarity of 1).  Repeated ids
@@ -376,7 +402,16 @@ def linked_reports(
     known = nodes.select(F.col("node").alias("fingerprint"), label.alias("first"))
     found = _components(known, edges, rows)
     groups = nodes.join(found.withColumnRenamed("fingerprint", "node"), "node", "left").select(
-        "key", F.when(F.col("label").isNull(), F.col("first")).otherwise(F.col("label.id")).alias("component_id"))
-    some = marked.where("n_shingles > 0").join(groups, "key").select(product_id, "n_shingles", "component_id")
-    none = marked.where("n_shingles = 0").select(product_id, "n_shingles", F.col(product_id).alias("component_id"))
+        "key", F.when(F.col("label").isNull(), F.col("first")).otherwise(F.col("label.id")).alias("component_id"),
+        F.coalesce("label.node", "node").alias("group_id"))
+    hashed = F.col("text").alias("report_hash")
+    some = marked.where("n_shingles > 0").join(groups, "key").select(
+        product_id, "n_shingles", "component_id", hashed, "group_id")
+    none = marked.where("n_shingles = 0").select(
+        product_id, "n_shingles", F.col(product_id).alias("component_id"), hashed, F.lit(None).cast("long").alias("group_id"))
     return some.union(none).withColumnRenamed(product_id, given)
+
+
+def report_hash(report: str) -> Column:
+    """The ``report_hash`` of a column of texts; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(report), F.lit("")))

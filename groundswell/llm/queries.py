@@ -181,7 +181,8 @@ FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b)
 
 @query("op11_ngram_jaccard_join", JACCARD_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.linked_reports(table(spark, sf_dir, "documents"), **DOCS)
+    found = jaccard_join.linked_reports(table(spark, sf_dir, "documents"), **DOCS)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 #: Bits of a text, least first in each byte (ASCII), and their CRC-32.

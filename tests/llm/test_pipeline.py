@@ -1,6 +1,7 @@
 """The pipeline's stages on the smallest tables, against brute-force versions."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -10,8 +11,9 @@ import corpus_pipeline
 from checks.compare import canonical, connection
 from groundswell.llm import queries
 from tests.llm.test_decontaminate import brute as contaminated
+from tests.llm.test_jaccard_join import brute as alike
+from tests.llm.test_jaccard_join import family
 from tests.llm.test_passages import brute as removed
-from tests.llm.test_simhash import brute_groups, brute_mark
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,8 +22,9 @@ FOLDER = "/root/testdata/sf0.001"
 def test_query(llm_spark, name):
     df = contract.queries()[name](llm_spark, FOLDER)
     got = canonical(df.columns, [tuple(r) for r in df.collect()])
-    base = "pages" if "page_id" in df.columns else "documents"
-    assert len(got[1]) == llm_spark.read.parquet(f"{FOLDER}/{base}.parquet").count()
+    if name not in ("op12_conversation_trie", "op13_spelling_variants"):
+        base = "pages" if "page_id" in df.columns else "documents"
+        assert len(got[1]) == llm_spark.read.parquet(f"{FOLDER}/{base}.parquet").count()
     if name in queries.ORACLES:
         cur = connection(FOLDER).execute(queries.ORACLES[name])
         assert got == canonical([c[0] for c in cur.description], cur.fetchall())
@@ -42,10 +45,8 @@ def test_stages(llm_spark):
 
     df, kept = step("language ID", docs)
     assert kept == {i: t for i, t in rows.items() if re.search(r"[^\W\d_]", t or "")}
-    ids = sorted(kept)
-    groups = brute_groups([brute_mark(kept[i], 5) for i in ids], ids)
     df, once = step("SimHash near-dedup", df)
-    assert once == {i: kept[i] for i, g in zip(ids, groups) if i == g}
+    assert once == {i: kept[i] for i, _, g in alike(list(kept.items()), 5, 80) if i == g}
     want = removed(sorted(once.items()))
     df, cut = step("substring dedup", df)
     assert cut.keys() == once.keys()
@@ -61,6 +62,30 @@ def test_stages(llm_spark):
     assert {(r["doc_id"], r["ids_sha256"]) for r in ran.collect()} == {(r["doc_id"], r["ids_sha256"]) for r in last}
 
 
+def near_dedup(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, FOLDER)
+    return sorted([tuple(r) for r in out.collect()], key=str)
+
+
+def test_near_dedup_of_crowded_groups(llm_spark):
+    """30 groups of 40 edited copies and one of 1,000: what stays is what comparing all pairs leaves."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(4000)]
+    texts = [t for _ in range(30) for t in family(rng, 90, 40, 7, words)] + family(rng, 60, 1000, 6, words)
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    stay = {i for i, _, g in alike(rows, 5, 80) if i == g}
+    assert near_dedup(llm_spark, rows) == sorted([r for r in rows if r[0] in stay], key=str)
+
+
+def test_near_dedup_judges_rows_by_id_and_text(llm_spark):
+    a, b, z = (" ".join(f"{c}{k}" for k in range(40)) for c in "abz")
+    rows = [(1, a), (2, a), (2, b), (3, b + " c d"), (3, z), (1, a), (None, a), (None, None), (4, None), (4, ""), (5, z), (0, "")]
+    assert near_dedup(llm_spark, rows) == sorted(
+        [(1, a), (2, b), (3, z), (None, a), (None, None), (4, None), (4, ""), (0, "")], key=str)
+
+
 def test_odd_rows(llm_spark):
     text = " ".join(llm_spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id = 7").first()["text"].split()[:60])
     rows = [(1, text, "en", "s", 1, "x"), (2, text, None, None, None, None), (None, text, "en", "s", 1, "x"), (1, text, "en", "s", 1, "x"),
