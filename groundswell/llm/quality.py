@@ -9,10 +9,10 @@ from groundswell.frames import materialized
 
 SYMBOLS = "#*$%&|<>"
 _BLANKS = "\t\n\x0b\x0c\r"
-#: Measures and the least value a fence may have (millionths): below it no text is an outlier.
-MEASURES = {
-    "symbols": 50_000, "dup_lines": 400_000, "repeats": 350_000, "long_words": 12_000_000,
-}
+#: Measures (in millionths) with the percentile that a fence starts from and how many times its distance from
+#: the median it lies beyond.  Where a tenth of a group's texts has more symbols than half of them, symbols are its
+#: way of writing; a few texts with them are outliers.  Only the length of words can also be too low.
+MEASURES = {"symbols": (90, 4), "dup_lines": (99, 2), "repeats": (99, 2), "word_length": (99, 2)}
 _BITS = 6
 
 
@@ -76,23 +76,26 @@ def sketches(measured: DataFrame, by: list[str]) -> DataFrame:
     return stacked.groupBy(*by, "measure", bin_of(F.col("value")).alias("bin")).agg(F.count("*").alias("n"))
 
 
-def fences(sketch: DataFrame, by: list[str], spread: float) -> DataFrame:
-    """Rows and fence of each group and measure: third quartile plus ``spread`` times the distance of
-    the quartiles, at least the measure's least value."""
+def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """Rows and the two fences of each group and measure, from nothing but the group's own quantiles."""
     w = Window.partitionBy(*by, "measure")
     ranked = sketch.withColumns({"below": F.sum("n").over(w.orderBy("bin")), "all": F.sum("n").over(w)})
-    quartile = [F.min(F.when(F.col("below") * 4 >= F.col("all") * k, F.col("bin"))) for k in (1, 3)]
-    least = F.create_map(*[F.lit(x) for kv in MEASURES.items() for x in kv])
+
+    def quantile(k: Column | int) -> Column:
+        return F.min(F.when(F.col("below") * 100 >= F.col("all") * k, F.col("bin")))
+
+    level, spread = (F.create_map(*[F.lit(x) for m, v in MEASURES.items() for x in (m, v[k])])[F.col("measure")] for k in range(2))
+    low, middle, high = F.col("low"), F.col("middle"), F.col("high")
     return ranked.groupBy(*by, "measure").agg(
-        F.max("all").alias("rows"), quartile[0].alias("q1"), quartile[1].alias("q3")).select(
-        *by, "measure", "rows",
-        F.greatest(F.floor(F.col("q3") + F.lit(spread) * (F.col("q3") - F.col("q1"))).cast("long"),
-                   least[F.col("measure")]).alias("fence"))
+        F.max("all").alias("rows"), quantile(50).alias("middle"), quantile(level).alias("high"),
+        quantile(100 - level).alias("low")).select(
+        *by, "measure", "rows", F.struct(
+            (low - spread * (middle - low)).alias("low"), (high + spread * (high - middle)).alias("high")).alias("fence"))
 
 
 def judged(
     reports: DataFrame, product_id: str = "product_id", report: str = "report",
-    language: str = "language", source: str = "source", spread: float = 6.0, least_rows: int = 200,
+    language: str = "language", source: str = "source", least_rows: int = 200,
 ) -> DataFrame:
     """Base counts of each report and whether it is kept.
 
@@ -102,8 +105,8 @@ def judged(
 
     A text fails the base rules with fewer than 50 words or with more than half of them in windows of
     three words found twice.  Others are kept unless a measure (symbols per letter, repeated
-    lines per line, repeated words per word, letters per word) lies beyond the fence of their group.
-    Fences come from quantile sketches per (language, source) of the texts that pass the base
+    lines per line, repeated words per word, letters per word) lies beyond a fence of their group (of
+    letters per word, on either side).  No fence is fixed: all come from quantile sketches per (language, source) of the texts that pass the base
     rules.  Where a group has fewer than ``least_rows`` of these, its sketch is merged with the
     language's other sketches, and below that with all.  A null language, source or text counts as
     a value of its own, or an empty text.  Repeated rows count and are judged one by one.
@@ -117,13 +120,13 @@ def judged(
         _ratio(F.col("n_symbols"), F.col("word_chars")).alias("_symbols"),
         _ratio(F.col("n_dup_lines"), F.col("_lines")).alias("_dup_lines"),
         _ratio(F.col("n_repeat_words"), F.col("n_words")).alias("_repeats"),
-        _ratio(F.col("word_chars"), F.col("n_words")).alias("_long_words")))
+        _ratio(F.col("word_chars"), F.col("n_words")).alias("_word_length")))
     own = materialized(sketches(measured.where(~F.col("base_failed")), ["_g", "_o"]))
     of_language = own.groupBy("_g", "measure", "bin").agg(F.sum("n").alias("n"))
     of_all = of_language.groupBy("measure", "bin").agg(F.sum("n").alias("n"))
-    levels = [_wide(fences(own, ["_g", "_o"], spread), ["_g", "_o"], "a"),
-              _wide(fences(of_language, ["_g"], spread), ["_g"], "b"),
-              _wide(fences(of_all, [], spread), [], "c")]
+    levels = [_wide(fences(own, ["_g", "_o"]), ["_g", "_o"], "a"),
+              _wide(fences(of_language, ["_g"]), ["_g"], "b"),
+              _wide(fences(of_all, []), [], "c")]
     a, b = levels[0], levels[1]
     both = a.join(b.withColumnRenamed("_g", "_h"), F.col("_g").eqNullSafe(F.col("_h")), "left").drop("_h")
     whole = levels[2].select(F.struct("*")).scalar()
@@ -136,7 +139,10 @@ def judged(
     joined = measured.join(
         both, F.col("_g").eqNullSafe(F.col("_g2")) & F.col("_o").eqNullSafe(F.col("_o2")), "left")
     for m in MEASURES:
-        verdict = verdict & (F.col(f"_{m}") <= F.col(f"fence_{m}"))
+        at, fence = bin_of(F.col(f"_{m}")), F.col(f"fence_{m}")
+        verdict = verdict & (at <= fence["high"])
+        if m == "word_length":
+            verdict = verdict & (at >= fence["low"])
     return joined.select(
         F.col("_k").alias(product_id), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(verdict, F.lit(True))).alias("kept"))

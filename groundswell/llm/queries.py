@@ -69,7 +69,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN, **DOCS)
 
 
-#: The quality rules in DuckDB: words as rows, windows as a partition, quartiles over bin counts.
+#: The quality rules in DuckDB: words as rows, windows as a partition, quantiles over bin counts.
 QUALITY_SQL = """
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
                   chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS blanks FROM documents),
@@ -93,31 +93,35 @@ measured AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS ba
     CASE WHEN word_chars > 0 THEN n_symbols * 1000000 // word_chars ELSE 0 END AS symbols,
     CASE WHEN n_lines > 0 THEN n_dup_lines * 1000000 // n_lines ELSE 0 END AS dup_lines,
     CASE WHEN n_words > 0 THEN n_repeat_words * 1000000 // n_words ELSE 0 END AS repeats,
-    CASE WHEN n_words > 0 THEN word_chars * 1000000 // n_words ELSE 0 END AS long_words FROM base),
+    CASE WHEN n_words > 0 THEN word_chars * 1000000 // n_words ELSE 0 END AS word_length FROM base),
 stacked AS (SELECT lang, source, m.m AS measure, m.v AS v FROM (
     SELECT lang, source, unnest([{'m': 'symbols', 'v': symbols}, {'m': 'dup_lines', 'v': dup_lines},
-        {'m': 'repeats', 'v': repeats}, {'m': 'long_words', 'v': long_words}]) AS m
+        {'m': 'repeats', 'v': repeats}, {'m': 'word_length', 'v': word_length}]) AS m
     FROM measured WHERE NOT base_failed)),
-own AS (SELECT lang, source, measure, v - v % (1::BIGINT << greatest(length(bin(v)) - 6, 0)) AS b, count(*) AS n
-        FROM stacked GROUP BY ALL),
+own AS (SELECT lang, source, measure, v - v % (1::BIGINT << greatest(length(bin(v)) - 6, 0)) AS b, count(*) AS n FROM stacked GROUP BY ALL),
 levels AS (SELECT 1 AS level, lang, source, measure, b, n FROM own
     UNION ALL SELECT 2, lang, NULL, measure, b, sum(n) FROM own GROUP BY ALL
     UNION ALL SELECT 3, NULL, NULL, measure, b, sum(n) FROM own GROUP BY ALL),
 ranked AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY b) AS below,
     sum(n) OVER (PARTITION BY level, lang, source, measure) AS whole FROM levels),
-quartiles AS (SELECT level, lang, source, measure, max(whole) AS n_rows, min(b) FILTER (below * 4 >= whole) AS q1,
-    min(b) FILTER (below * 4 >= whole * 3) AS q3 FROM ranked GROUP BY ALL),
-fences AS (SELECT *, greatest(q3 + 6 * (q3 - q1), CASE measure WHEN 'symbols' THEN 50000 WHEN 'dup_lines' THEN 400000
-    WHEN 'repeats' THEN 350000 ELSE 12000000 END) AS fence FROM quartiles),
+quantiles AS (SELECT level, lang, source, measure, max(whole) AS n_rows, min(b) FILTER (below * 100 >= whole * 50) AS middle,
+    min(b) FILTER (below * 100 >= whole * CASE measure WHEN 'symbols' THEN 90 ELSE 99 END) AS high,
+    min(b) FILTER (below * 100 >= whole * CASE measure WHEN 'symbols' THEN 10 ELSE 1 END) AS low FROM ranked GROUP BY ALL),
+fences AS (SELECT *, {'low': low - CASE measure WHEN 'symbols' THEN 4 ELSE 2 END * (middle - low),
+    'high': high + CASE measure WHEN 'symbols' THEN 4 ELSE 2 END * (high - middle)} AS fence FROM quantiles),
 chosen AS (SELECT a.lang, a.source, a.measure, CASE WHEN a.n_rows >= 200 THEN a.fence WHEN b.n_rows >= 200
     THEN b.fence ELSE c.fence END AS fence FROM fences a
     JOIN fences b ON b.level = 2 AND a.lang IS NOT DISTINCT FROM b.lang AND a.measure = b.measure
     JOIN fences c ON c.level = 3 AND a.measure = c.measure WHERE a.level = 1),
 wide AS (SELECT lang, source, max(fence) FILTER (measure = 'symbols') AS f1, max(fence) FILTER (measure = 'dup_lines') AS f2,
-    max(fence) FILTER (measure = 'repeats') AS f3, max(fence) FILTER (measure = 'long_words') AS f4 FROM chosen GROUP BY ALL)
+    max(fence) FILTER (measure = 'repeats') AS f3, max(fence) FILTER (measure = 'word_length') AS f4 FROM chosen GROUP BY ALL),
+binned AS (SELECT *, symbols - symbols % (1::BIGINT << greatest(length(bin(symbols)) - 6, 0)) AS b1,
+    dup_lines - dup_lines % (1::BIGINT << greatest(length(bin(dup_lines)) - 6, 0)) AS b2,
+    repeats - repeats % (1::BIGINT << greatest(length(bin(repeats)) - 6, 0)) AS b3,
+    word_length - word_length % (1::BIGINT << greatest(length(bin(word_length)) - 6, 0)) AS b4 FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND coalesce(symbols <= f1 AND dup_lines <= f2 AND repeats <= f3 AND long_words <= f4, true) AS kept
-FROM measured m LEFT JOIN wide w ON m.lang IS NOT DISTINCT FROM w.lang AND m.source IS NOT DISTINCT FROM w.source
+    NOT base_failed AND coalesce(b1 <= f1.high AND b2 <= f2.high AND b3 <= f3.high AND b4 BETWEEN f4.low AND f4.high, true) AS kept
+FROM binned m LEFT JOIN wide w ON m.lang IS NOT DISTINCT FROM w.lang AND m.source IS NOT DISTINCT FROM w.source
 """
 
 

@@ -61,6 +61,24 @@ def test_fences_follow_their_group(reports):
     assert not kept[5000] and kept[5001] and sum(kept.values()) == 441
 
 
+def test_no_fence_is_fixed(reports):
+    """Verdicts that no fixed cutoff gives: the same text passes in one source and fails in another."""
+    r = random.Random(3)
+
+    def words(n, low, high):
+        return " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(low, high))) for _ in range(n))
+
+    short = [(k, words(80, 2, 8), "en", "short") for k in range(220)]
+    long = [(1000 + k, words(80, 6, 12), "en", "long") for k in range(220)]
+    some = words(80, 6, 12)
+    few = words(80, 2, 4)
+    odd = [(5000, some, "en", "short"), (5001, some, "en", "long"), (5002, few, "en", "short"), (5003, few, "en", "long"),
+           (5004, words(80, 2, 8) + " & &", "en", "short")]
+    kept = {x["product_id"]: x["kept"] for x in quality.judged(reports(short + long + odd)).collect()}
+    assert [kept[k] for k in (5000, 5001, 5003, 5004)] == [False, True, False, False]
+    assert all(kept[k] for k, *_ in short + long)
+
+
 def test_sketches_merge(reports, llm_spark):
     values = llm_spark.createDataFrame([(v, b) for b, v in enumerate([0, 1, 63, 64, 65, 1000, 12345, 1 << 40])], "v long, k long")
     bins = {x["v"]: x["b"] for x in values.select("v", quality.bin_of(values["v"]).alias("b")).collect()}
