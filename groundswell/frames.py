@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +90,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+#: Folders stored inside each open ``settled`` call, innermost last.
+_STORED: list[list[str]] = []
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """The frame written once to a table in the checkpoint folder and read back.
 
@@ -99,5 +103,36 @@ def materialized(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    if _STORED:
+        _STORED[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``make`` returns, stored; the tables stored on the way to it are removed.
+
+    For steps with large intermediate tables: they go as soon as the result no longer needs them, and
+    not before it is whole in the checkpoint folder.
+    """
+    _STORED.append([])
+    try:
+        out = make()
+        inner, _STORED[-1] = _STORED[-1], []
+        stored = materialized(out)
+        kept = _STORED[-1]
+    except BaseException:
+        _STORED.pop()
+        raise
+    _STORED.pop()
+    if _STORED:
+        _STORED[-1] += kept
+    for path in inner:
+        remove(spark, path)
+    return stored
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -100,3 +100,23 @@ def test_events_of_one_time_follow_their_sequence(spark, table):
         assert status(now) == {"s1": ("failed", "b")}
     untold = C.update_scene_status(table.read().where("scene_id = 's1'"), events(spark, rows).drop("sequence"))
     assert status(untold) == {"s1": ("failed", "b")}
+
+
+def test_tables_on_the_way_are_removed(spark, tmp_path):
+    from groundswell.frames import materialized, settled
+
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(str(tmp_path / "shared"))
+    seen = []
+
+    def make():
+        a = materialized(spark.range(10))
+        b = settled(spark, lambda: materialized(spark.range(5)).union(a))
+        seen.extend(x.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:") for x in (a, b))
+        return a.union(b)
+
+    out = settled(spark, make)
+    assert out.count() == 25 and not any(os.path.exists(f) for f in seen)
+    with pytest.raises(ZeroDivisionError):
+        settled(spark, lambda: 1 / 0)
+    assert materialized(spark.range(3)).count() == 3
