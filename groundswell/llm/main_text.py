@@ -14,12 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
-    r"<(?P<close>/)?(?P<tag>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"</?[a-zA-Z][\w:-]*")
+_STOP = re.compile("[>\"']")
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _NAME = re.compile(r"[a-z]+")
-_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in (
+_END = {t: re.compile(rf"</{t}\b", re.I) for t in (
     "script", "style", "noscript", "template", "textarea", "title", "iframe", "select", "svg", "object", "button")}
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr input "
@@ -29,6 +28,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES = {"p": frozenset(("p",)), "li": frozenset(("li",)), "td": frozenset(("td", "th")), "th": frozenset(("td", "th")),
           "tr": frozenset(("tr", "td", "th")), "dd": frozenset(("dd", "dt")), "dt": frozenset(("dd", "dt")),
           "option": frozenset(("option",))}
+#: Containers that say nothing about what they hold.
+_SILENT = frozenset(("div", "section", "ul", "table", "blockquote"))
 _DROPPED = frozenset(("head", "form", "dialog"))
 
 
@@ -56,6 +57,50 @@ def _names(rest: str) -> set[str]:
     return out
 
 
+class _Markup:
+    """Reads a page's markup from left to right in time that follows its length, however broken it is."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last = page, page.rfind(">")
+        #: Opening quotes after which no tag has been found to end.
+        self.dead: set[int] = set()
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose name ends at ``at``: outside quotes, or if there is
+        none, the next one."""
+        seen, i = [], at
+        while (m := _STOP.search(self.page, i)) is not None:
+            c = m.start()
+            if self.page[c] == ">":
+                return c
+            if c in self.dead:
+                break
+            seen.append(c)
+            i = self.page.find(self.page[c], c + 1) + 1
+            if not i:
+                break
+        self.dead.update(seen)
+        return self.page.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, str, str]:
+        """(start, end, name, attributes) of the next piece of markup; the name of a closing tag begins with
+        /, that of a comment or declaration is empty.  Without one, start and end are the page's end."""
+        page = self.page
+        while 0 <= (i := page.find("<", at)) <= self.last or page.startswith(("<!--", "<![CDATA["), max(i, 0)):
+            for start, stop in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                if page.startswith(start, i):
+                    end = page.find(stop, i + len(start))
+                    return i, len(page) if end < 0 else end + len(stop), "", ""
+            if page.startswith(("<!", "<?"), i):
+                return i, page.find(">", i) + 1, "", ""
+            m = _TAG.match(page, i)
+            if m is not None:
+                end = self.tag_end(m.end())
+                return i, end + 1, m[0][1:].lower(), page[m.end():end]
+            at = i + 1
+        return len(page), len(page), "", ""
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in order; scripts, styles, forms and head never make one.
 
@@ -65,7 +110,8 @@ def blocks(page: str) -> list[Block]:
     """
     known = _model().known
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = [("", frozenset())]
+    # Tag, known names of all that encloses, and the innermost block tag.
+    stack: list[tuple[str, frozenset[str], str]] = [("", frozenset(), "")]
     open_tags: dict[str, int] = {}
     held: list[str] = []
     linked, at = 0, 0
@@ -75,8 +121,7 @@ def blocks(page: str) -> list[Block]:
         text = " ".join("".join(held).split())
         held.clear()
         if text and "dropped" not in stack[-1][1]:
-            leaf = next((t for t, _ in reversed(stack[-40:]) if t not in INLINE), "")
-            out.append(Block(text, leaf, stack[-1][1], min(linked, len(text))))
+            out.append(Block(text, stack[-1][2], stack[-1][1], min(linked, len(text))))
         linked = 0
 
     def pop(tag: str) -> None:
@@ -86,22 +131,19 @@ def blocks(page: str) -> list[Block]:
         open_tags[tag] -= 1
         stack.pop()
 
-    n = len(page)
+    n, markup = len(page), _Markup(page)
     while at < n:
-        m = _TOKEN.search(page, at)
-        stop = m.start() if m else n
-        if stop > at:
-            piece = entities.unescape(page[at:stop])
+        start, stop, tag, rest = markup.next(at)
+        if start > at:
+            piece = entities.unescape(page[at:start])
             held.append(piece)
             if open_tags.get("a"):
                 linked += len(piece.strip())
-        if m is None:
-            break
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+        at = stop
         if not tag:
             continue
-        if m["close"]:
+        if tag[0] == "/":
+            tag = tag[1:]
             if tag not in INLINE:
                 flush()
             if open_tags.get(tag):
@@ -109,7 +151,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in _END:
             end = _END[tag].search(page, at)
-            at = end.end() if end else n
+            at = page.find(">", end.end()) + 1 or n if end else n
             continue
         if tag == "br":
             held.append(" ")
@@ -125,12 +167,12 @@ def blocks(page: str) -> list[Block]:
             # Inline elements left open inside a paragraph don't keep it open.
             if open_tags.get("p") and tag not in ("td", "th", "li"):
                 pop("p")
-        if m["rest"].rstrip().endswith("/") and tag not in INLINE:
+        if rest.rstrip().endswith("/") and tag not in INLINE:
             continue
-        within = stack[-1][1] | (({tag} | _names(m["rest"])) & known)
+        within = stack[-1][1] | (({tag} | _names(rest)) & known)
         if tag in _DROPPED or "hidden" in within:
             within |= {"dropped"}
-        stack.append((tag, within))
+        stack.append((tag, within, stack[-1][2] if tag in INLINE else tag))
         open_tags[tag] = open_tags.get(tag, 0) + 1
     flush()
     return out
@@ -141,9 +183,11 @@ def features(b: Block, before: Block | None) -> list[str]:
     words = b.text.count(" ") + 1
     size = "1" if words < 3 else "2" if words < 8 else "3" if words < 20 else "4"
     out = [*b.within, f"leaf={b.tag}", f"words={size}"]
+    if b.within <= _SILENT:
+        out.append("nothing told")
     if 2 * b.linked > len(b.text):
         out.append("mostly link")
-    if b.text[0] in "©" or "©" in b.text[:200]:
+    if "©" in b.text:
         out.append("copyright")
     if b.text[-1] in ".!?…\"”»":
         out.append("sentence")
@@ -212,12 +256,14 @@ def labelled_page(seed: int) -> tuple[str, list[bool]]:
                             for _ in range(r.randint(1, 3)))
         return f"<{tag}{named}>{inner}</{tag}>"
 
-    parts = [noise(k) for k in r.choices(("nav", "header", "div", "nav"), k=r.randint(0, 4))]
+    bare = r.random() < 0.25
+    parts = [noise(k) for k in r.choices(("nav", "header", "div", "nav"), k=0 if bare else r.randint(0, 4))]
     plain = r.random()
-    tag = "article" if plain < 0.45 else "main" if plain < 0.6 else r.choice(("div", "section", "div"))
-    named = f' class="{r.choice(_GOOD)}"' if tag in ("div", "section") or r.random() < 0.3 else ""
-    inside = [leaf("h1", True, 1, 12)] if r.random() < 0.8 else []
-    for _ in range(r.randint(1, 14)):
+    tag = "article" if plain < 0.35 else "main" if plain < 0.5 else r.choice(("div", "section", "div", ""))
+    # Many articles stand in containers whose names say nothing, or in none.
+    named = f' class="{r.choice(_GOOD)}"' if r.random() < (0.5 if tag in ("div", "section") else 0.3) else r.choice(("", ' class="x1"'))
+    inside = [leaf("h1", True, 1, 12)] if r.random() < (0.4 if bare else 0.8) else []
+    for _ in range(r.randint(1, r.choice((1, 3, 14)) if bare else 14)):
         kind = r.choices(("p", "h2", "li", "blockquote", "div", "pre", "td", "noise"), (60, 8, 6, 4, 4, 2, 3, 6))[0]
         if kind == "noise":
             inside.append(noise(r.choice(("div", "aside", "section", "nav"))))
@@ -227,8 +273,11 @@ def labelled_page(seed: int) -> tuple[str, list[bool]]:
             inside.append("<table><tr>" + "".join(leaf("td", True, 1, 6) for _ in range(2)) + "</tr></table>")
         else:
             inside.append(leaf(kind, True, 1, r.choice((3, 30, 90)), r.random() < 0.05))
-    parts.append(f"<{tag}{named}>{''.join(inside)}</{tag}>")
-    parts += [noise(k) for k in r.choices(("section", "aside", "footer", "div", "footer"), k=r.randint(0, 4))]
+    body = "".join(inside)
+    for _ in range(r.choice((0, 0, 1, 2))):
+        body = f"<div{r.choice(('', ' class=wrapper'))}>{body}</div>"
+    parts.append(f"<{tag}{named}>{body}</{tag}>" if tag else body)
+    parts += [noise(k) for k in r.choices(("section", "aside", "footer", "div", "footer"), k=0 if bare else r.randint(0, 4))]
     return f"<!DOCTYPE html><html><head><title>x</title></head><body>{''.join(parts)}</body></html>", truth
 
 
@@ -290,7 +339,7 @@ def _examples(seeds: range) -> Iterator[tuple[list[list[str]], list[bool]]]:
 
 
 @lru_cache(maxsize=1)
-def trained(pages: int = 240) -> Model:
+def trained(pages: int = 400) -> Model:
     """The model, trained on ``pages`` labelled pages; the same in every process."""
     weights, step = fit(list(_examples(range(pages))))
     return Model(weights, step, _model().known)
