@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundswell.frames import materialized
+from groundswell.frames import materialized, settled
 from groundswell.llm.columns import SPACE, mix, slices, text_buffers, tidy, word_hashes, word_spans
-from groundswell.llm.simhash import _LOWER, _components, _stored
+from groundswell.llm.simhash import _LOWER, _components, _tasks
 
 #: Longest extension of a prefix that is weighed.
 LEVELS = 4
@@ -388,19 +388,23 @@ def linked_reports(
         F.first("prefix").alias("prefix")).select(
         "key", F.col(f"one.{product_id}").alias("first"), F.col("one.text").alias("text"), "n", "prefix")
     nodes = materialized(grouped.withColumn("node", F.monotonically_increasing_id()))
-    entries = postings(nodes.select("node", "n", "prefix"), least)
-    member_of = materialized(families(entries, least))
-    pairs = materialized(candidates(entries, member_of, least))
-    used = member_of.select("node").union(pairs.select(F.explode(F.array("a", "b")))).distinct()
-    wanted = materialized(nodes.join(used, "node").select("node", "first", "text", "key"))
-    sets = materialized(whole_sets(reports, product_id, report, shingle, wanted))
-    members = member_of.join(nodes.select("node", "n"), "node")
-    rows = nodes.count()
-    edges = _stored(family_links(members, sets, least).union(verified(pairs, sets, least)), rows)
+    spark, rows = reports.sparkSession, nodes.count()
+
+    def links() -> DataFrame:
+        entries = postings(nodes.select("node", "n", "prefix"), least)
+        member_of = materialized(families(entries, least))
+        pairs = materialized(candidates(entries, member_of, least))
+        used = member_of.select("node").union(pairs.select(F.explode(F.array("a", "b")))).distinct()
+        wanted = materialized(nodes.join(used, "node").select("node", "first", "text", "key"))
+        sets = materialized(whole_sets(reports, product_id, report, shingle, wanted))
+        members = member_of.join(nodes.select("node", "n"), "node")
+        return family_links(members, sets, least).union(verified(pairs, sets, least)).coalesce(_tasks(spark, rows))
+
+    edges = settled(spark, links)
     # Labels are a node's own, so that repeated ids join nothing; nodes without an id come last.
     label = F.struct(F.col("first").isNull().alias("unknown"), F.col("first").alias("id"), "node")
     known = nodes.select(F.col("node").alias("fingerprint"), label.alias("first"))
-    found = _components(known, edges, rows)
+    found = settled(spark, lambda: _components(known, edges, rows))
     groups = nodes.join(found.withColumnRenamed("fingerprint", "node"), "node", "left").select(
         "key", F.when(F.col("label").isNull(), F.col("first")).otherwise(F.col("label.id")).alias("component_id"),
         F.coalesce("label.node", "node").alias("group_id"))
