@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 
 from pyspark.sql import functions as F
 
@@ -170,12 +171,72 @@ def _(d):
     return G.align_to(d.vel_l, source, target, "bilinear")
 
 
-@query("reproject_to_utm")
+def _series(first: str, second: str, terms, angle: str, other: str) -> str:
+    """Sum of terms[j] * first(2 j angle) * second(2 j other)."""
+    return "(" + "+".join(f"({t!r})*{first}({angle}*{2 * j})" + (f"*{second}({other}*{2 * j})" if second else "")
+                          for j, t in enumerate(terms, 1)) + ")"
+
+
+_K = repr(GD._SCALE * GD._RADIUS)
+
+
+def _to_utm(rows: str, central: float) -> str:
+    """Rows with lon and lat, with x and y added: the forward series step by step, north of the equator's zero."""
+    return (f"SELECT * EXCLUDE (t, l, xi, eta), 500000.0::DOUBLE+{_K}*(eta+{_series('cos', 'sinh', GD.ALPHA, 'xi', 'eta')}) AS x, "
+            f"{_K}*(xi+{_series('sin', 'cosh', GD.ALPHA, 'xi', 'eta')}) AS y FROM (SELECT *, atan2(t, cos(l)) AS xi, "
+            f"asinh(sin(l)/sqrt(t*t+cos(l)*cos(l))) AS eta FROM (SELECT *, sinh(atanh(sin(radians(lat)))-{GD._E!r}*atanh({GD._E!r}*"
+            f"sin(radians(lat)))) AS t, radians(lon)-{math.radians(central)!r} AS l FROM ({rows})))")
+
+
+def _from_utm(rows: str, central: float) -> str:
+    """Rows with x and y, with lon and lat added: the inverse series step by step."""
+    return (f"SELECT * EXCLUDE (xi, eta, xi1, eta1, chi), degrees(atan2(sinh(eta1), cos(xi1))+{math.radians(central)!r}) AS lon, "
+            f"degrees(chi+{_series('sin', '', GD.DELTA, 'chi', '')}) AS lat FROM (SELECT *, asin(sin(xi1)/cosh(eta1)) AS chi FROM "
+            f"(SELECT *, xi-{_series('sin', 'cosh', GD.BETA, 'xi', 'eta')} AS xi1, eta-{_series('cos', 'sinh', GD.BETA, 'xi', 'eta')} AS eta1 "
+            f"FROM (SELECT *, y/{_K} AS xi, (x-500000)/{_K} AS eta FROM ({rows}))))")
+
+
+# Outline of the source grid (125 columns of 1e-4 degrees from 114.3 E, 2.5 S) with 21 steps a side, in zone 49 N.
+_OUTLINE = ("SELECT 114.3+0.0001*(CASE side WHEN 0 THEN s*125 WHEN 1 THEN 125.0 WHEN 2 THEN s*125 ELSE 0.0 END) AS lon, "
+            "-2.5-0.0001*(CASE side WHEN 0 THEN 0.0 WHEN 1 THEN s*h WHEN 2 THEN h*1.0 ELSE s*h END) AS lat FROM (SELECT (i%22)/21.0::DOUBLE AS s, "
+            "i//22 AS side, h FROM (SELECT unnest(range(88)) AS i), (SELECT max(row)+1 AS h FROM vv))")
+BOX = ("SELECT min(x) AS west, max(y) AS north, greatest(1, ceil((max(x)-min(x))/{r}))::INT AS width, "
+       "greatest(1, ceil((max(y)-min(y))/{r}))::INT AS height FROM ({o})").replace("{o}", _to_utm(_OUTLINE, 111))
+# Target pixels with the fractional place of their centres on the source grid.
+PLACES = _from_utm("SELECT r AS row, c AS col, west+(c+0.5)*{r} AS x, north-(r+0.5)*{r} AS y FROM box, "
+                   "unnest(range(height)) AS a(r), unnest(range(width)) AS b(c)", 111)
+
+
+def _degrees(d) -> Grid:
+    return Grid(_height(d), 125, 0.0001, 0.0, 114.3, 0.0, -0.0001, -2.5, 4326)
+
+
+@query("target_grid", sql("vv", "SELECT * FROM box", "west north", box=BOX.format(r=30)))
 def _(d):
-    """Degrees to UTM on a derived target grid; checked against a direct lookup in the tests."""
-    h = _height(d)
-    source = Grid(h, 125, 0.0001, 0.0, 114.3, 0.0, -0.0001, -2.5, 4326)
-    return G.resample(d.vel, source, G.target_grid(d.spark, source, 32649, 10.0), "nearest")
+    g = G.target_grid(d.spark, _degrees(d), 32649, 30.0)
+    # The box is all that comes back; the row is made from it.
+    return d.spark.range(1).select(
+        F.lit(g.c).alias("west"), F.lit(g.f).alias("north"), F.lit(g.width).alias("width"), F.lit(g.height).alias("height"))
+
+
+@query("reproject_to_utm", sql(
+    "vel vv", "SELECT p.row, p.col, v.value FROM places p LEFT JOIN vel v ON v.row=floor((p.lat+2.5)/(-0.0001)) AND "
+    "v.col=floor((p.lon-114.3)/0.0001)", "value", box=BOX.format(r=10), places=PLACES.format(r=10)))
+def _(d):
+    """Degrees to UTM on a derived target grid, nearest source pixel."""
+    return G.resample(d.vel, _degrees(d), G.target_grid(d.spark, _degrees(d), 32649, 10.0), "nearest")
+
+
+@query("reproject_bilinear", sql(
+    "vel vv", "SELECT row, col, CASE WHEN sum(w) FILTER (WHERE value IS NOT NULL)>0 AND any_value(y)>=0 AND any_value(x)>=0 AND "
+    "any_value(x)<125 AND any_value(y)<(SELECT max(row)+1 FROM vv) THEN sum(w*value)/(sum(w) FILTER (WHERE value IS NOT NULL)) "
+    "END AS value FROM (SELECT a.*, v.value, (CASE dr WHEN 0 THEN 1-(y-0.5-floor(y-0.5)) ELSE y-0.5-floor(y-0.5) END)*"
+    "(CASE dc WHEN 0 THEN 1-(x-0.5-floor(x-0.5)) ELSE x-0.5-floor(x-0.5) END) AS w FROM (SELECT row, col, (lat+2.5)*0.0001::DOUBLE/(0.0001::DOUBLE*-0.0001) AS y, "
+    "(lon-114.3)*-0.0001::DOUBLE/(0.0001::DOUBLE*-0.0001) AS x FROM places) a CROSS JOIN (VALUES (0,0),(0,1),(1,0),(1,1)) AS k(dr,dc) LEFT JOIN vel v ON "
+    "v.row=floor(y-0.5)+dr AND v.col=floor(x-0.5)+dc) GROUP BY row, col", "value", digits=3, box=BOX.format(r=7), places=PLACES.format(r=7)), digits=3)
+def _(d):
+    """Degrees to UTM, bilinear.  Three digits: an ulp of a longitude moves a value by some 1e-8."""
+    return G.resample(d.vel, _degrees(d), G.target_grid(d.spark, _degrees(d), 32649, 7.0), "bilinear")
 
 
 #: Each feature with a second part to its right and a hole in the first: even-odd over all rings.

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -137,14 +139,73 @@ def grid_pixels(spark: SparkSession, grid: Grid) -> DataFrame:
     )
 
 
+#: Edge of a source tile for bilinear sampling, and target pixels of one tile at most about.
+TILE, TILE_TARGETS = 128, 1 << 18
+
+
+def _tile_edge(source: Grid, target: Grid) -> int:
+    """A finer target has more pixels a source tile: tiles get smaller, so that their work stays the same."""
+    finer = target.height * target.width / max(1, source.height * source.width)
+    edge = TILE
+    while edge > 1 and finer * edge * edge > TILE_TARGETS:
+        edge //= 2
+    return edge
+
+
+def gather_bilinear(tile: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Bilinear values of a tile (NaN for no data) at fractional places counted in pixel centres.
+
+    No-data corners drop out and the other weights are rescaled; NaN where none is left.
+    """
+    r, c = np.floor(y).astype(int), np.floor(x).astype(int)
+    fy, fx = y - r, x - c
+    total, weight = np.zeros(len(y)), np.zeros(len(y))
+    for dr, dc, w in ((0, 0, (1 - fy) * (1 - fx)), (0, 1, (1 - fy) * fx), (1, 0, fy * (1 - fx)), (1, 1, fy * fx)):
+        v = tile[r + dr, c + dc]
+        there = ~np.isnan(v)
+        total += np.where(there, w * v, 0.0)
+        weight += np.where(there, w, 0.0)
+    return np.where(weight > 0, total / np.where(weight > 0, weight, 1.0), np.nan)
+
+
+def _sampled(places: DataFrame, df: DataFrame, edge: int, by: list[str]) -> DataFrame:
+    """Values of ``df`` at ``places`` (by, row, col and the fractional place _y, _x), tile by tile.
+
+    A place goes to the source tile of its upper left neighbour; a tile holds one row and column
+    more than its own.  Each side is shuffled once; a pixel on two tiles' seam goes to both.
+    """
+    tile = ["_tr", "_tc"]
+    of = [F.floor((F.col(n)) / edge).cast("int").alias(t) for n, t in zip(("_y", "_x"), tile)]
+    asked = places.select(*by, "row", "col", "_y", "_x", *of)
+    shares = F.array(*[F.struct(
+        F.floor((F.col("row") - dr) / edge).cast("int").alias("_tr"), F.floor((F.col("col") - dc) / edge).cast("int").alias("_tc"))
+        for dr in (0, 1) for dc in (0, 1)])
+    held = df.where(val().isNotNull()).select(
+        *by, "row", "col", val().cast("double").alias("value"), F.inline(F.array_distinct(shares)))
+    out = places.select(*by, "row", "col").schema.add("value", "double")
+    names = out.names
+
+    def meet(source: pa.Table, targets: pa.Table) -> pa.Table:
+        if not targets.num_rows:
+            return targets.select(names[:-1]).append_column("value", pa.array([], pa.float64()))
+        r0, c0 = (targets.column(t)[0].as_py() * edge for t in tile)
+        image = np.full((edge + 1, edge + 1), np.nan)
+        image[source.column("row").to_numpy() - r0, source.column("col").to_numpy() - c0] = source.column("value").to_numpy()
+        values = gather_bilinear(image, targets.column("_y").to_numpy() - r0, targets.column("_x").to_numpy() - c0)
+        return targets.select(names[:-1]).append_column("value", pa.array(values, pa.float64(), mask=np.isnan(values)))
+
+    keys = [*by, *tile]
+    return held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(meet, out)
+
+
 def resample(
     df: DataFrame, source: Grid, target: Grid, method: str = "bilinear", by: Sequence[str] = ()
 ) -> DataFrame:
     """Values of ``df`` on another grid; NULL outside it.
 
-    Nearest is one equi-join.  Bilinear first gathers each source cell's four
-    corners (one shuffle keyed by cell) and then joins target pixels to cells.
-    NULL corners drop out and the other weights are rescaled.
+    Target pixels are carried back to the source grid.  Nearest is one equi-join.  Bilinear meets by
+    source tile and gathers a tile's pixels at once; NULL corners drop out and the other weights
+    are rescaled.
     """
     if method not in ("bilinear", "nearest"):
         raise ValueError(f"unknown resampling {method!r}")
@@ -169,33 +230,13 @@ def resample(
         src = df.select(*by, F.col("row").alias("_r"), F.col("col").alias("_c"), "value")
         return at.join(src, [*by, "_r", "_c"], "left").select(*by, "row", "col", "value")
 
-    corner = F.array(*[
-        F.struct((F.col("row") - dr).alias("_r"), (F.col("col") - dc).alias("_c"),
-                 F.lit(2 * dr + dc).alias("k"))
-        for dr in (0, 1) for dc in (0, 1)
-    ])
-    cells = (
-        df.select(*by, "value", F.inline(corner)).groupBy(*by, "_r", "_c").agg(
-            *[F.max(F.when(F.col("k") == k, val())).alias(f"_v{k}") for k in range(4)]
-        )
-    )
-    at = at.withColumns({"_y": F.col("_y") - 0.5, "_x": F.col("_x") - 0.5}).withColumns({
-        "_r": F.floor("_y").cast("int"), "_c": F.floor("_x").cast("int"),
-    })
-    fy, fx = F.col("_y") - F.col("_r"), F.col("_x") - F.col("_c")
-    weights = [(1 - fy) * (1 - fx), (1 - fy) * fx, fy * (1 - fx), fy * fx]
-    total, weight = F.lit(0.0), F.lit(0.0)
-    for k, w in enumerate(weights):
-        v = F.col(f"_v{k}")
-        total = total + F.when(v.isNotNull(), w * v).otherwise(0.0)
-        weight = weight + F.when(v.isNotNull(), w).otherwise(0.0)
+    at = at.withColumns({"_y": F.col("_y") - 0.5, "_x": F.col("_x") - 0.5})
     inside = (
         (F.col("_y") >= -0.5) & (F.col("_y") < source.height - 0.5)
         & (F.col("_x") >= -0.5) & (F.col("_x") < source.width - 0.5)
     )
-    return at.join(cells, [*by, "_r", "_c"], "left").select(
-        *by, "row", "col", F.when(inside & (weight > 0), total / weight).alias("value")
-    )
+    beyond = at.where(~F.coalesce(inside, F.lit(False))).select(*by, "row", "col", F.lit(None).cast("double").alias("value"))
+    return _sampled(at.where(inside), df, _tile_edge(source, target), by).union(beyond)
 
 
 def align_to(

@@ -146,3 +146,29 @@ def test_calibration_table_with_a_hole_fails(spark):
     lut = spark.createDataFrame([(0, 0, 1.0), (0, 5, 1.0), (5, 0, 1.0)], "line int, pixel int, value double")
     with pytest.raises(Exception, match="full grid"):
         G.calibrate(to_pixels(spark, np.ones((3, 3))), lut).collect()
+
+
+@pytest.mark.parametrize("scale", [0.31, 1.0, 2.7])
+def test_bilinear_tiles_equal_one_gather(spark, rng, monkeypatch, scale):
+    """Seams of tiles, absent pixels, targets beyond the source, and finer and coarser targets."""
+    monkeypatch.setattr(G, "TILE", 8)
+    a = rng.normal(size=(37, 29))
+    a[rng.random(a.shape) < 0.1] = np.nan
+    src = Grid(37, 29, 2.0, 0.0, 10.0, 0.0, -2.0, 5.0)
+    dst = Grid(40, 31, 2.0 * scale, 0.0, 7.3, 0.0, -2.0 * scale, 6.1)
+    df = to_pixels(spark, a).where("NOT (row = 8 AND col >= 7)")
+    a[8, 7:] = np.nan
+    got = to_array(G.resample(df, src, dst), (40, 31))
+    r, c = np.indices((40, 31)) + 0.5
+    y, x = (5.0 - (6.1 - 2 * scale * r)) / 2 - 0.5, (7.3 + 2 * scale * c - 10.0) / 2 - 0.5
+    wide = np.pad(a, 200, constant_values=np.nan)
+    want = G.gather_bilinear(wide, y.ravel() + 200, x.ravel() + 200).reshape(40, 31)
+    want[(y < -0.5) | (y >= 36.5) | (x < -0.5) | (x >= 28.5)] = np.nan
+    np.testing.assert_allclose(got, want, atol=1e-9)
+
+
+def test_bilinear_plan_shuffles_each_side_once(spark):
+    src = Grid(300, 300, 1.0, 0, 0, 0, -1.0, 0)
+    df = spark.range(90000).selectExpr("cast(id / 300 as int) row", "cast(id % 300 as int) col", "cast(id as double) value")
+    plan = G.resample(df, src, Grid(200, 200, 1.4, 0, 0.2, 0, -1.4, -0.3))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
