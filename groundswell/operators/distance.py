@@ -1,7 +1,7 @@
 """Exact Euclidean distance to the nearest mask pixel.
 
-Separable: first the nearest mask pixel above and below in each column, then per
-image row the lower envelope of parabolas.  A strip of ``strip_rows`` whole image rows is
+Separable: first the nearest mask pixel above and below in each column, then along each image row the least
+sum of that and a parabola, a min-plus product with a monotone matrix.  A strip of ``strip_rows`` whole image rows is
 one group: it gets its own pixels, and of each column the mask rows inside it, the last
 one above and the first one below.  There is no limit on the distance.
 """
@@ -19,36 +19,57 @@ from pyspark.sql import types as T
 from groundswell.frames import attach
 
 
+# Stands for no mask pixel in a column; adding a parabola does not change it.
+_FAR = 1e300
+
+
 def lower_envelope(f: np.ndarray, step: float) -> np.ndarray:
-    """min over j of (step*(i-j))**2 + f[:, j], for every i, all rows of ``f`` at once."""
+    """min over j of (step*(i-j))**2 + f[:, j], for every i, all rows of ``f`` at once; NaN in rows without a number.
+
+    The place of the minimum never moves left as i grows.  So once every second column is solved, each column
+    between two looks only at places between theirs: a level costs rows x (width + columns), and
+    there are log2(width) levels, each a few array operations for all rows.
+    """
     rows, width = f.shape
-    at = np.zeros((rows, width), dtype=np.int64)
-    edge = np.full((rows, width + 1), np.inf)
-    top = np.full(rows, -1)
-    x = np.arange(width) * step
-    for q in range(width):
-        active = np.flatnonzero(np.isfinite(f[:, q]))
-        if not active.size:
-            continue
-        start = np.full(rows, -np.inf)
-        open_ = active[top[active] >= 0]
-        while open_.size:
-            j = at[open_, top[open_]]
-            cross = (f[open_, q] + x[q] ** 2 - f[open_, j] - x[j] ** 2) / (2 * (x[q] - x[j]))
-            hidden = cross <= edge[open_, top[open_]]
-            start[open_] = np.where(hidden, -np.inf, cross)
-            top[open_[hidden]] -= 1
-            open_ = open_[hidden]
-        top[active] += 1
-        at[active, top[active]] = q
-        edge[active, top[active]] = start[active]
-    out = np.full((rows, width), np.nan)
-    for r in range(rows):
-        if top[r] >= 0:
-            near = np.searchsorted(edge[r, 1 : top[r] + 1], x, "left")
-            j = at[r, near]
-            out[r] = (x - x[j]) ** 2 + f[r, j]
-    return out
+    known = np.isfinite(f).any(1)
+    g = np.where(np.isfinite(f), f, _FAR)
+    at = np.zeros((rows, width), np.int64)
+    out = np.empty((rows, width))
+    stride = 1 << max(0, (width - 1).bit_length())
+    columns = np.zeros(1, np.int64)
+    low, high = np.zeros((rows, 1), np.int64), np.full((rows, 1), width - 1)
+    while True:
+        size = (high - low + 1).ravel()
+        start = np.cumsum(size) - size
+        cell = np.repeat(np.arange(len(size)), size)
+        j = np.arange(len(cell)) - start[cell] + low.ravel()[cell]
+        row, i = cell // len(columns), columns[cell % len(columns)]
+        total = ((i - j) * step) ** 2 + g[row, j]
+        best = np.minimum.reduceat(total, start)
+        first = np.minimum.reduceat(np.where(total == best[cell], j, width), start)
+        at[:, columns] = first.reshape(rows, -1)
+        out[:, columns] = best.reshape(rows, -1)
+        if stride == 1:
+            break
+        stride //= 2
+        columns = np.arange(stride, width, 2 * stride)
+        if not len(columns):
+            columns = np.zeros(1, np.int64)
+        after = columns + stride
+        low = at[:, np.maximum(columns - stride, 0)]
+        high = np.where(after < width, at[:, np.minimum(after, width - 1)], width - 1)
+    return np.where(known[:, None], out, np.nan)
+
+
+def column_distances(m: np.ndarray, mc: np.ndarray, first: int, height: int, width: int) -> np.ndarray:
+    """Rows to the nearest of the mask pixels (row m, column mc) of each column, for the rows from ``first`` on;
+    inf in columns without one."""
+    up, down = np.full((height, width), -np.inf), np.full((height, width), np.inf)
+    over, under = m < first + height, m >= first
+    np.maximum.at(up, (np.maximum(m[over] - first, 0), mc[over]), m[over].astype(float))
+    np.minimum.at(down, (np.minimum(m[under] - first, height - 1), mc[under]), m[under].astype(float))
+    row = (first + np.arange(height))[:, None]
+    return np.minimum(row - np.maximum.accumulate(up, 0), np.minimum.accumulate(down[::-1], 0)[::-1] - row)
 
 
 def _seeds(mask: DataFrame, by: list[str], strip_rows: int) -> DataFrame:
@@ -102,9 +123,7 @@ def distance_map(
             return out.assign(distance=np.zeros(0))
         r, c, m, mc = row[~seed], col[~seed], row[seed], col[seed]
         r0, c0 = int(r.min()), int(col.min())
-        f = np.full((int(r.max()) - r0 + 1, int(col.max()) - c0 + 1), np.inf)
-        for k in range(f.shape[0]):
-            np.minimum.at(f[k], mc - c0, ((r0 + k - m) * size_y) ** 2)
+        f = (column_distances(m, mc - c0, r0, int(r.max()) - r0 + 1, int(col.max()) - c0 + 1) * size_y) ** 2
         out["distance"] = np.sqrt(lower_envelope(f, size_x)[r - r0, c - c0])
         return out
 

@@ -1,5 +1,7 @@
 """Focal operators against plain numpy on small images, with tile seams inside the image."""
 
+import time
+
 import numpy as np
 import pytest
 from pixels import mask_array, to_array, to_mask, to_pixels
@@ -291,3 +293,38 @@ def test_tiles_keep_origin_and_gaps(spark, rng):
     back = RS.from_tiles(RS.to_tiles(px, 16), 16)
     assert sorted(map(tuple, back.select("row", "col", "value").collect())) == sorted(
         map(tuple, px.select("row", "col", "value").collect()))
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 7, 64, 65, 301])
+def test_min_plus_equals_all_pairs(rng, width):
+    from groundswell.operators.distance import lower_envelope
+
+    f = rng.integers(0, 9, (12, width)).astype(float) ** 2
+    f[rng.random(f.shape) < 0.6] = np.inf
+    f[3] = np.inf
+    i = np.arange(width)
+    want = np.where(np.isfinite(f).any(1)[:, None], ((1.5 * (i[:, None] - i[None, :])) ** 2 + f[:, None, :]).min(2), np.nan)
+    np.testing.assert_allclose(lower_envelope(f, 1.5), want)
+
+
+def test_column_distances_equal_all_rows(rng):
+    from groundswell.operators.distance import column_distances
+
+    m, mc = rng.integers(0, 60, 30), rng.integers(0, 9, 30)
+    got = column_distances(m, mc, 20, 8, 10)
+    for k in range(8):
+        for c in range(10):
+            assert got[k, c] == min((abs(20 + k - x) for x, y in zip(m, mc) if y == c), default=np.inf)
+
+
+def test_strips_have_no_loop_over_rows_or_columns():
+    import ast
+    import inspect
+
+    from groundswell.operators import distance
+
+    for f in (distance.column_distances, distance.distance_map, distance._seeds):
+        assert not [n for n in ast.walk(ast.parse(inspect.getsource(f))) if isinstance(n, (ast.For, ast.While))]
+    start = time.perf_counter()
+    distance.lower_envelope(np.where(np.arange(32 * 20_000).reshape(32, -1) % 997 == 0, 0.0, np.inf), 1.0)
+    assert time.perf_counter() - start < 10
