@@ -7,7 +7,8 @@ third of all rows:
 1. a mergeable quantile sketch brackets the wanted rank;
 2. values below the bracket collapse to one count, values inside it to
    ``(value, count)`` pairs, both combined map-side, so ties cost nothing;
-3. an equal-width histogram of the bracket gives each bin its rank offset;
+3. the bracket is cut into bins by rank, from a sketch of its distinct values, so that no bin has many of them
+   however heavy the tail, and counts give each bin its rank offset;
 4. ranks are finished inside bins, where the window partitions are small.
 
 No step samples or drops a value: the result equals a full sort.
@@ -20,28 +21,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundswell.frames import attach
+from groundswell.frames import attach, materialized
 
 _GRID = 1024
-_BINS = 1024
+_BINS = 256
 _STEPS = ", ".join(f"{i / _GRID!r}D" for i in range(_GRID + 1))
+_CUTS = ", ".join(f"{i / _BINS!r}D" for i in range(1, _BINS))
 
 
 def exact_percentiles(
     df: DataFrame, value: Column | str, ps: Sequence[float], by: Sequence[str] = (),
-    names: Sequence[str] | None = None,
+    names: Sequence[str] | None = None, also: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per ``by`` group with linearly interpolated percentiles (0..1) of non-NULL values."""
+    """One row per ``by`` group with linearly interpolated percentiles (0..1) of non-NULL values.
+
+    ``also`` are other aggregates of ``df`` (with their names) for the same groups: they come out of the
+    scan that makes the sketch, so that all together reads the rows twice.  With them, a group without
+    any value has a row too.
+    """
     by = list(by)
     value = F.col(value) if isinstance(value, str) else value
     names = list(names or [f"p{i}" for i in range(len(ps))])
-    v = df.select(*by, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    base = df.withColumn("_v", value.cast("double"))
+    v = base.select(*by, "_v").where(F.col("_v").isNotNull())
 
-    sketch = v.groupBy(*by).agg(
-        F.count("*").alias("_n"),
+    sketch = (base if also else v).groupBy(*by).agg(
+        *also, F.count("_v").alias("_n"),
         # As text: a thousand literal columns would take longer to build than the query.
         F.expr(f"percentile_approx(_v, array({_STEPS}), {4 * _GRID})").alias("_q"),
     )
+    if also:
+        sketch = materialized(sketch)
     small = F.col("_n") <= 4 * _GRID
     targets = []
     for i, p in enumerate(ps):
@@ -69,17 +79,14 @@ def exact_percentiles(
         )
         .groupBy(*by, "_p", "_rank", "_lo", "_hi", "_v")
         .agg(F.count("*").alias("_c"))
-        .withColumn(
-            "_bin",
-            F.when(F.col("_v").isNull(), -1)
-            .when(F.col("_lo") == F.col("_hi"), 0)
-            .otherwise(
-                F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * _BINS)
-            )
-            .cast("int"),
-        )
     )
     group = [*by, "_p"]
+    # Stored: three plans build on it, and what they need differs too much for one exchange to serve all.
+    counted, inner = materialized(counted), F.col("_v").isNotNull()
+    cuts = counted.where(inner).groupBy(*group).agg(
+        F.expr(f"percentile_approx(_v, array({_CUTS}), {16 * _BINS})").alias("_cuts"))
+    place = F.size(F.filter("_cuts", lambda e: e <= F.col("_v")))
+    counted = counted.join(cuts, group).select(*counted.columns, F.when(inner, place).otherwise(-1).alias("_bin"))
     bins = counted.groupBy(*group, "_bin").agg(F.sum("_c").alias("_bc"))
     offset = F.sum("_bc").over(
         Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -105,12 +112,15 @@ def exact_percentiles(
         F.when(F.col("_frac") > 0, F.col("_a") + (F.col("_z") - F.col("_a")) * F.col("_frac"))
         .otherwise(F.col("_a")),
     )
-    return found.groupBy(*by).agg(
+    out = found.groupBy(*by).agg(
         *[F.max(F.when(F.col("_p") == i, F.col("_x"))).alias(n) for i, n in enumerate(names)]
     )
+    if not also:
+        return out
+    return attach(sketch.drop("_n", "_q"), out, by)
 
 
 def exact_median(
-    df: DataFrame, value: Column | str, by: Sequence[str] = (), name: str = "median"
+    df: DataFrame, value: Column | str, by: Sequence[str] = (), name: str = "median", also: Sequence[Column] = (),
 ) -> DataFrame:
-    return exact_percentiles(df, value, [0.5], by, [name])
+    return exact_percentiles(df, value, [0.5], by, [name], also)

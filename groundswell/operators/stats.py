@@ -27,33 +27,28 @@ def _beside(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def raster_stats(df: DataFrame, by: Sequence[str] = (), digits: int = 2) -> DataFrame:
-    basic = df.groupBy(*by).agg(
+    out = exact_median(df, val(), by, also=[
         F.round(F.avg(val()), digits).alias("mean"),
         F.round(F.stddev_pop(val()), digits).alias("std"),
         F.round(F.min(val()), digits).alias("min"),
         F.round(F.max(val()), digits).alias("max"),
         F.count(val()).alias("valid_pixel_count"),
         F.count("*").alias("total_pixels"),
-    )
-    median = exact_median(df, val(), by, "_m")
-    return _beside(basic, median, by).select(
-        *basic.columns, F.round("_m", digits).alias("median")
-    )
+    ])
+    return out.withColumn("median", F.round("median", digits))
 
 
 def coherence_stats(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     n = F.greatest(F.count(val()), F.lit(1))
-    basic = df.groupBy(*by).agg(
+    out = exact_median(df, val(), by, also=[
         F.round(F.avg(val()), 4).alias("mean"),
         F.count(F.when(val() > 0.5, 1)).alias("pixels_above_05"),
         F.round(F.count(F.when(val() > 0.5, 1)) / n, 4).alias("fraction_above_05"),
         F.count(F.when(val() > 0.7, 1)).alias("pixels_above_07"),
         F.round(F.count(F.when(val() > 0.7, 1)) / n, 4).alias("fraction_above_07"),
         F.count(val()).alias("valid_pixel_count"),
-    )
-    return _beside(basic, exact_median(df, val(), by, "_m"), by).select(
-        *basic.columns, F.round("_m", 4).alias("median")
-    )
+    ])
+    return out.withColumn("median", F.round("median", 4))
 
 
 def class_distribution(
@@ -208,10 +203,10 @@ def cohort_stats(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     rows = df.where(val().isNotNull()).withColumn("cohort", cohort_of(F.col("lossyear")))
     rows = rows.where(F.col("cohort").isNotNull())
     keys = [*by, "cohort"]
-    stats = rows.groupBy(*keys).agg(
+    stats = exact_median(rows, val(), keys, "median_velocity", [
         F.count("*").alias("n_pixels"), F.avg(val()).alias("mean_velocity"),
         F.stddev_pop(val()).alias("std_velocity"),
-    ).join(exact_median(rows, val(), keys, "median_velocity"), keys, "left")
+    ])
     names = F.explode(F.array(*[F.lit(n) for n, _, _ in CLEARING_COHORTS])).alias("cohort")
     rasters = df.select(*by).distinct() if by else df.sparkSession.range(1)
     every = rasters.select(*by, names)
@@ -267,9 +262,9 @@ def zonal_stats(df: DataFrame, zone: str = "zone", by: Sequence[str] = ()) -> Da
     """n, mean, median and population std of ``value`` per zone."""
     rows = df.where(val().isNotNull() & F.col(zone).isNotNull())
     keys = [*by, zone]
-    return rows.groupBy(*keys).agg(
+    return exact_median(rows, val(), keys, also=[
         F.count("*").alias("n"), F.avg(val()).alias("mean"), F.stddev_pop(val()).alias("std"),
-    ).join(exact_median(rows, val(), keys, "median"), keys, "left")
+    ])
 
 
 def welch_test(

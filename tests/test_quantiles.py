@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from groundswell.operators.quantiles import exact_percentiles
 
@@ -38,3 +39,35 @@ def test_groups_and_nulls(spark, rng):
 def test_empty(spark):
     df = spark.createDataFrame([], "v double")
     assert exact_percentiles(df, "v", [0.5]).first()[0] is None
+
+
+def test_statistics_and_median_read_the_rows_twice(spark, rng):
+    from groundswell.operators import stats
+
+    pdf = pd.DataFrame({"zone": ["a", "b"] * 5000, "value": np.exp(rng.normal(size=10000) * 9)})
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame(pdf).mapInArrow(count, "zone string, value double")
+    got = stats.raster_stats(rows).collect()
+    assert got[0]["median"] == round(float(np.median(pdf["value"])), 2) and read.value == 2 * len(pdf)
+    stats.zonal_stats(rows).collect()
+    assert read.value <= 4 * len(pdf)
+
+
+def test_also_gives_a_row_to_groups_without_values(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", None)], "g string, v double")
+    out = exact_percentiles(df, "v", [0.5], ["g"], ["m"], [F.count("*").alias("n")])
+    assert sorted(map(tuple, out.select("g", "n", "m").collect())) == [("a", 2, 1.0), ("b", 1, None)]
+    assert list(exact_percentiles(df.limit(0), "v", [0.5], names=["m"], also=[F.count("*").alias("n")]).first()) == [0, None]
+
+
+def test_a_heavy_tail_falls_into_many_bins(spark, rng):
+    v = np.sort(np.exp(rng.normal(size=200_000) * 30))
+    df = spark.createDataFrame(pd.DataFrame({"v": v}))
+    got = list(exact_percentiles(df, "v", [0.9991, 0.5]).first())
+    assert got == pytest.approx(np.quantile(v, [0.9991, 0.5]).tolist(), rel=1e-12)
