@@ -31,7 +31,7 @@ DIGEST = 7
 #: Bytes of it that go with a repeat, to tell the texts of one id apart.
 CHECK = 4
 #: Suffixes of one group, and bytes of text of one bucket.
-GROUP_SUFFIXES, BUCKET_BYTES, CHUNK_BYTES = 2_000_000, 16 << 20, 4 << 20
+GROUP_SUFFIXES, BUCKET_BYTES, CHUNK_BYTES = 2_000_000, 16 << 20, 2 << 20
 _STEP = np.uint64(0xA0761D6478BD642F)
 
 
@@ -167,7 +167,7 @@ def without_repeats(
     Steps: (1) count prefixes, giving the heavy ones, at most 12 per group; (2) send each suffix,
     as a packed digest and place, to the group of its prefix; (3) find the nodes of each group
     and send the repeats to the bucket of their report; (4) meet there with the texts and cut.
-    Of equal windows in one chunk of 4 MB only the smallest id's is sent and the others are settled at
+    Of equal windows in one chunk of 2 MB only the smallest id's is sent and the others are settled at
     once, so a passage that a third of all reports share brings one suffix per chunk to its group.
     """
     spark = reports.sparkSession
