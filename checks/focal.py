@@ -351,9 +351,39 @@ def _(d):
     return FO.ridge_mask(d.vv)
 
 
-@query("goldstein")
+_TURN = "6.283185307179586*({k}*{x}%32)/32"
+
+
+def _dft(rows: str, along: str, to: str, sign: str) -> str:
+    """One axis of a patch's Fourier transform: sum over ``along`` at each frequency ``to``."""
+    kept = [c for c in ("t", "l", "y", "x", "v", "u") if c in rows.split("|")[0].split() and c != along]
+    names, body = ", ".join(kept), rows.split("|")[1]
+    turn = _TURN.format(k="k.n", x=along)
+    return (f"{' '.join([*kept, to])}|(SELECT {names}, k.n AS {to}, sum(re*cos({turn}) {'+' if sign == '-' else '-'} im*sin({turn})) AS re, "
+            f"sum(im*cos({turn}) {sign} re*sin({turn})) AS im FROM {body}, unnest(range(32)) AS k(n) GROUP BY {names}, k.n)")
+
+
+def goldstein_sql(alpha: float) -> str:
+    """The filter by separable transforms of 32 x 32 patches 24 pixels apart."""
+    patches = ("t l y x|(SELECT t, l, row-t AS y, col-l AS x, coalesce(re, 0) AS re, coalesce(im, 0) AS im FROM tops, lefts, z WHERE "
+               "row BETWEEN t AND t+31 AND col BETWEEN l AND l+31)")
+    spectrum = _dft(_dft(patches, "x", "u", "-"), "y", "v", "-").split("|")[1]
+    shrunk = (f"t l v u|(SELECT t, l, v, u, re*f AS re, im*f AS im FROM (SELECT *, CASE WHEN peak>0 THEN pow(power/peak, {alpha}) ELSE 1 END AS f "
+              "FROM (SELECT *, max(power) OVER (PARTITION BY t, l) AS peak FROM (SELECT *, sqrt(re*re+im*im) AS power FROM spectrum))))")
+    back = _dft(_dft(shrunk, "u", "x", "+"), "v", "y", "+").split("|")[1]
+    hann = "(0.5-0.5*cos(6.283185307179586*y/31))*(0.5-0.5*cos(6.283185307179586*x/31))"
+    return (f"WITH z AS (SELECT row, col, cos(value/10) AS re, sin(value/10) AS im FROM vel), "
+            "tops AS (SELECT unnest(range(0, (SELECT max(row)-30 FROM z), 24)) AS t), lefts AS (SELECT unnest(range(0, (SELECT max(col)-30 FROM z), 24)) AS l), "
+            f"spectrum AS (SELECT * FROM {spectrum}), smooth AS (SELECT * FROM {back}), "
+            "shares AS (SELECT t, l, count(re)/1024.0 AS s FROM tops, lefts, z WHERE row BETWEEN t AND t+31 AND col BETWEEN l AND l+31 GROUP BY t, l), "
+            f"summed AS (SELECT t+y AS row, l+x AS col, sum(re*s*{hann})/1024 AS re, sum(im*s*{hann})/1024 AS im, sum(s*{hann}) AS w "
+            "FROM smooth JOIN shares USING (t, l) GROUP BY 1, 2) SELECT z.row, z.col, CASE WHEN z.re IS NULL THEN NULL WHEN w>0 THEN s.re/w ELSE z.re END AS re, "
+            "CASE WHEN z.re IS NULL THEN NULL WHEN w>0 THEN s.im/w ELSE z.im END AS im FROM z LEFT JOIN summed s ON s.row=z.row AND s.col=z.col")
+
+
+@query("goldstein", sql("vel", goldstein_sql(0.8), "re im", digits=5), digits=5)
 def _(d):
-    """Adaptive phase filter; checked against a patch loop in the tests."""
-    phase = F.coalesce(val(), F.lit(0.0)) / 10
+    """Adaptive phase filter; pixels without data stay so."""
+    phase = val() / 10
     return FO.goldstein(d.vel.select(
         "row", "col", F.cos(phase).alias("re"), F.sin(phase).alias("im")))

@@ -288,7 +288,8 @@ def goldstein(
     """Adaptive phase filter on overlapping Fourier patches of ``re`` and ``im``.
 
     Tiles are a whole number of patch steps and carry a margin of one patch, so every
-    patch touching a tile's core is computed there: one shuffle, no second pass.
+    patch touching a tile's core is computed there: one shuffle, no second pass.  No data counts as zero
+    in a patch's spectrum and stays no data; a patch counts by the share of its pixels that are there.
     """
     if not 0.0 <= alpha <= 1.0:
         raise ValueError(f"alpha must be in [0, 1], got {alpha}")
@@ -300,6 +301,7 @@ def goldstein(
 
     def fn(bands, r0, c0):
         z = bands["re"] + 1j * bands["im"]
+        there = ~np.isnan(z)
         total, weight = np.zeros(z.shape, complex), np.zeros(z.shape)
         tops = np.arange(-r0 % step, z.shape[0] - patch + 1, step)
         lefts = np.arange(-c0 % step, z.shape[1] - patch + 1, step)
@@ -310,11 +312,12 @@ def goldstein(
             power = np.abs(spectrum)
             peak = power.max(axis=(1, 2), keepdims=True)
             shrink = np.where(peak > 0, power / np.where(peak > 0, peak, 1), 1.0) ** alpha
+            share = np.stack([there[t : t + patch, l : l + patch] for t, l in spots]).mean((1, 2))
             smooth = np.fft.ifft2(np.where(peak > 0, spectrum * shrink, spectrum)) * hann
-            for (t, l), part in zip(spots, smooth):
-                total[t : t + patch, l : l + patch] += part
-                weight[t : t + patch, l : l + patch] += hann
-        done = weight > 0
+            for (t, l), part, s in zip(spots, smooth, share):
+                total[t : t + patch, l : l + patch] += part * s
+                weight[t : t + patch, l : l + patch] += hann * s
+        done = there & (weight > 0)
         z = np.where(done, total / np.where(done, weight, 1), z)
         return {"re": z.real, "im": z.imag}
 

@@ -208,6 +208,30 @@ def test_goldstein(spark, rng, tile):
     np.testing.assert_allclose(to_array(same, z.shape, "re"), z.real, atol=1e-9)
 
 
+def test_goldstein_keeps_no_data(spark, rng):
+    z = np.exp(1j * 0.4 * rng.normal(size=(70, 70)))
+    gone = rng.random(z.shape) < 0.1
+    gone[:32, :32] = True
+    df = to_pixels(spark, np.where(gone, np.nan, z.real), "re").join(to_pixels(spark, np.where(gone, np.nan, z.imag), "im"), ["row", "col"])
+    out = FO.goldstein(df, 0.7)
+    got = to_array(out, z.shape, "re") + 1j * to_array(out, z.shape, "im")
+    assert (np.isnan(got) == gone).all()
+    total, weight = np.zeros_like(z), np.zeros(z.shape)
+    hann = np.outer(np.hanning(32), np.hanning(32))
+    for r in (0, 24):
+        for c in (0, 24):
+            part = (slice(r, r + 32), slice(c, c + 32))
+            s = np.fft.fft2(np.where(gone, 0, z)[part])
+            share = (~gone[part]).mean()
+            if share:
+                total[part] += np.fft.ifft2(s * (abs(s) / abs(s).max()) ** 0.7) * hann * share
+                weight[part] += hann * share
+    want = np.where(weight > 0, total / np.where(weight > 0, weight, 1), z)
+    np.testing.assert_allclose(got[~gone], want[~gone], atol=1e-9)
+    sparse = FO.goldstein(df.where("re IS NOT NULL"), 0.7, dims=(70, 70))
+    assert sparse.count() == (~gone).sum()
+
+
 def test_goldstein_alpha_range(spark):
     df = spark.createDataFrame([(0, 0, 1.0, 0.0)], "row int, col int, re double, im double")
     with pytest.raises(ValueError):
