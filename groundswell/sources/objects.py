@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from groundswell.sources.files import opened
+
 
 def sync_plan(remote: DataFrame, local: DataFrame, suffix: str | None = None) -> DataFrame:
     """Remote objects to fetch: not present locally, or present with another known size."""
@@ -32,11 +33,9 @@ def file_checksums(
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         for batch in batches:
             for name, length in zip(*(c.to_pylist() for c in batch.columns)):
-                system, at = fs.FileSystem.from_uri(quote(name, safe=":/%"))
+                system, at = opened(name)
                 digest = hashlib.md5()
                 with system.open_input_stream(at) as f:
                     while part := f.read(chunk):

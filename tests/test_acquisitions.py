@@ -116,3 +116,21 @@ def test_catalog_keeps_the_first_and_replaces_products(spark):
     assert [(r["platform"], r["download_status"]) for r in once.collect()] == [("early", "pending")]
     again = C.register_scenes(once, C.conform(new, C.SCENES).drop("download_status"))
     assert again.count() == 1
+
+
+def test_store_uris_and_odd_file_names(spark, tmp_path):
+    import hashlib
+
+    from groundswell.sources.files import arrow_uri
+
+    assert arrow_uri("s3a://bucket/a=1/x y.bin") == "s3://bucket/a%3D1/x%20y.bin".replace("%3D", "=")
+    assert arrow_uri("s3n://b/k") == "s3://b/k" and arrow_uri("hdfs://n:9000/k") == "hdfs://n:9000/k"
+    assert arrow_uri("/plain/path") == "file:///plain/path" == arrow_uri("file:/plain/path")
+    with pytest.raises(ValueError):
+        arrow_uri("viewfs://store/in")
+    want = {}
+    for k, name in enumerate(["plain.bin", "with space.bin", "per%20cent.bin", "a=b+c.bin", "ünï.bin", "hash#1.bin"]):
+        (tmp_path / name).write_bytes(bytes([k]) * 1000)
+        want[name] = hashlib.md5(bytes([k]) * 1000).hexdigest()
+    got = {r["path"].rsplit("/", 1)[1]: r["md5"] for r in O.file_checksums(spark, str(tmp_path), chunk=300).collect()}
+    assert got == want
