@@ -9,6 +9,7 @@ from urllib.parse import urlparse
 from pyspark.sql import SparkSession
 
 from groundswell.frames import ensure_checkpoint_dir
+from groundswell.sources.files import opened
 
 
 def run_folder(spark: SparkSession, kind: str) -> str:
@@ -18,16 +19,9 @@ def run_folder(spark: SparkSession, kind: str) -> str:
     return f"{base if urlparse(base).scheme else 'file://' + base}/{kind}-{uuid.uuid4().hex}"
 
 
-def _opened(uri: str):
-    from pyarrow import fs
-
-    system, path = fs.FileSystem.from_uri(uri)
-    return system, path
-
-
 def put_file(uri: str, parts: Iterable[bytes]) -> int:
     """Write a file whole: under another name first, so that a lost task leaves no half file."""
-    system, path = _opened(uri)
+    system, path = opened(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
     size, other = 0, f"{path}.{uuid.uuid4().hex}"
     with system.open_output_stream(other) as out:
@@ -40,5 +34,5 @@ def put_file(uri: str, parts: Iterable[bytes]) -> int:
 
 def read_file(uri: str):
     """The file, opened for reads at any place."""
-    system, path = _opened(uri)
+    system, path = opened(uri)
     return system.open_input_file(path)
