@@ -205,8 +205,8 @@ def _(d):
     base = f"{d.spark.sparkContext.getCheckpointDir()}/published-{uuid.uuid4().hex}"
     all_ = d.table("orders").select(
         F.col("o_orderkey").alias("name"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("run_date"), F.lit(1).alias("version"))
-    O.publish_products(all_, base, 2)
-    O.publish_products(all_.where("month(run_date) % 2 = 0").withColumn("version", F.lit(2)), base, 2)
+    O.publish_products(all_, base)
+    O.publish_products(all_.where("month(run_date) % 2 = 0").withColumn("version", F.lit(2)), base)
     return d.spark.read.parquet(f"{base}/products").select("name", F.col("run_date").cast("date").alias("run_date"), "version")
 
 

@@ -14,6 +14,8 @@ from groundswell.functions import scalar as S
 from groundswell.functions.geodesy import Grid
 from groundswell.operators import algebra as A
 from groundswell.operators import refpoints
+from groundswell.plans import flows as FL
+from groundswell.plans import products as P
 from groundswell.sources.raster import canonical
 
 
@@ -51,9 +53,27 @@ def _(d):
     "los/cos(radians(37.0))*1000.0/(120.0/365.25) AS velocity FROM "
     f"(SELECT row, col, value*0.056/{4 * math.pi!r} AS los FROM vel)", "los vertical velocity"))
 def _(d):
-    los = d.vel.select("row", "col", S.phase_to_los(val()).alias("los"))
-    up = los.withColumn("vertical", S.los_to_vertical(F.col("los")))
-    return up.withColumn("velocity", S.displacement_to_velocity(F.col("vertical"), 120.0))
+    return P.displacement_products(d.vel, 120.0)
+
+
+@query("displacement_by_angle", sql(
+    "vel coh", "SELECT row, col, los, CASE WHEN cosine>0 THEN los/cosine END AS vertical, "
+    "CASE WHEN cosine>0 THEN los/cosine END*1000.0/(120.0/365.25) AS velocity FROM "
+    f"(SELECT vel.row, vel.col, vel.value*0.056/{4 * math.pi!r} AS los, cos(radians(coh.value*80)) AS cosine FROM vel LEFT JOIN coh "
+    "USING (row, col))", "los vertical velocity"))
+def _(d):
+    """Each pixel at its own incidence angle."""
+    return P.displacement_products(d.vel, 120.0, incidence=d.coh.withColumn("value", val() * 80))
+
+
+@query("export_by_angle", sql(
+    "vel coh", "SELECT vel.row, vel.col, CASE WHEN vel.value IS NOT NULL AND coalesce(coh.value>=0.5, true) AND cos(radians(coh.value*80))>0 THEN "
+    "greatest(least(vel.value/1000/cos(radians(coh.value*80))*1000, 200), -200) END AS value FROM vel LEFT JOIN coh USING (row, col)",
+    "value"))
+def _(d):
+    """Vertical velocity of the export, each pixel at its own incidence angle."""
+    v = d.vel.select("row", "col", (val() / 1000).alias("velocity"), F.lit(0.001).alias("velocity_std"))
+    return FL.export_velocity(v, d.coh, incidence=d.coh.withColumn("value", val() * 80))["subsidence_velocity"]
 
 
 @query("los_to_vertical_by_angle", sql(

@@ -93,14 +93,19 @@ def timeseries_from_listing(
 def export_velocity(
     velocity: DataFrame, coherence: DataFrame, settings: Settings = Settings(),
     grid: Grid | None = None, aoi: Sequence[float] | None = None,
-    target: Grid | None = None,
+    target: Grid | None = None, incidence: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Vertical velocity in mm/yr: clamp, clip to the area, mask by coherence, in that order.
 
-    The standard error is scaled to mm/yr only.
+    ``incidence`` gives each pixel's angle in degrees; without it the sensor's mean angle counts.  The
+    standard error is scaled to mm/yr only.
     """
     ts = settings.timeseries
-    vertical = S.los_to_vertical(F.col("velocity"), settings.sensor.incidence_deg)
+    if incidence is None:
+        vertical = S.los_to_vertical(F.col("velocity"), settings.sensor.incidence_deg)
+    else:
+        velocity = velocity.join(incidence.select("row", "col", val().alias("_angle")), ["row", "col"], "left")
+        vertical = S.los_to_vertical_by_angle(F.col("velocity"), F.col("_angle"))
     out = velocity.select(
         "row", "col", S.clamp_velocity(vertical, ts.export_limit).alias("value"),
         (F.col("velocity_std") * 1000.0).alias("std"),

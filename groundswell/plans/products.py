@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundswell.config import (
-    CanalSettings, FusionSettings, PeatSettings, RiskSettings, WaterSettings,
+    CanalSettings, FusionSettings, PeatSettings, RiskSettings, Sensor, WaterSettings,
 )
 from groundswell.frames import attach, extent, val
 from groundswell.functions import scalar as S
@@ -22,6 +22,24 @@ from groundswell.operators.focal import median_filter
 from groundswell.operators.quantiles import exact_percentiles
 
 
+def displacement_products(
+    phase: DataFrame, days: float, sensor: Sensor = Sensor(), incidence: DataFrame | None = None, by: Sequence[str] = (),
+) -> DataFrame:
+    """``los`` and ``vertical`` displacement (m) and ``velocity`` (mm/yr) of an unwrapped phase over ``days``.
+
+    ``incidence`` gives each pixel's angle in degrees; without it the sensor's mean angle counts.  A
+    pixel without phase or angle, or seen at 90 degrees or more, has no vertical value.
+    """
+    los = phase.select(*by, "row", "col", S.phase_to_los(val(), sensor.wavelength_m).alias("los"))
+    if incidence is None:
+        up = los.withColumn("vertical", S.los_to_vertical(F.col("los"), sensor.incidence_deg))
+    else:
+        angle = incidence.select(*by, "row", "col", val().alias("_angle"))
+        up = los.join(angle, [*by, "row", "col"], "left").withColumn(
+            "vertical", S.los_to_vertical_by_angle(F.col("los"), F.col("_angle"))).drop("_angle")
+    return up.withColumn("velocity", S.displacement_to_velocity(F.col("vertical"), days))
+
+
 def threshold_canals(vv: DataFrame, percentile: float = 10.0, by: Sequence[str] = ()) -> DataFrame:
     """Pixels darker than the percentile of positive backscatter."""
     positive = vv.where(val() > 0)

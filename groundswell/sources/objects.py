@@ -77,13 +77,13 @@ def product_inventory(products: DataFrame) -> DataFrame:
     return found.select("name", "path").withColumn("product_count", n).orderBy("name")
 
 
-def publish_products(df: DataFrame, path: str, files_per_run: int = 8) -> None:
+def publish_products(df: DataFrame, path: str) -> None:
     """Write products under ``run_date=...`` and replace only the runs written.
 
-    A run's rows are spread over several tasks and files, so one large run is not one task's work.
+    Rows are gathered by run and cut by size (the session's advisory partition size): a large run is
+    many tasks and files, small ones share a task.
     """
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_run))
-    df.repartition("run_date", part).write.mode("overwrite").option(
+    df.hint("rebalance", "run_date").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("run_date").parquet(f"{path}/products")
 
