@@ -108,13 +108,13 @@ def _(d):
 
 
 @query("heavy_tail_percentile", sql(
-    "vv", "SELECT round(quantile_cont(log10(v), 0.5), 4) AS p50, round(quantile_cont(log10(v), 0.999), 4) AS p999 FROM (SELECT "
+    "vv", "SELECT round(quantile_cont(log10(v), 0.5), 2) AS p50, round(quantile_cont(log10(v), 0.999), 2) AS p999 FROM (SELECT "
     "pow(1000*value+1.5, 40) AS v FROM vv WHERE value IS NOT NULL)"), digits=None)
 def _(d):
     """Values over a hundred orders of magnitude; neighbours in rank, so logarithms interpolate alike."""
     v = F.pow(val() * 1000 + 1.5, F.lit(40.0))
     p = exact_percentiles(d.vv, v, [0.5, 0.999], names=["p50", "p999"])
-    return p.select(F.round(F.log10("p50"), 4).alias("p50"), F.round(F.log10("p999"), 4).alias("p999"))
+    return p.select(F.round(F.log10("p50"), 2).alias("p50"), F.round(F.log10("p999"), 2).alias("p999"))
 
 
 @query("exact_percentile_by_scene", sql(
